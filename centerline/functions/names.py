@@ -20,7 +20,12 @@ STATE_IN_NAME = r"tl_\d{4}_(0?%s)[0-9]{3}_"
 COUNTY_FILES = ("EDGES", "ADDR", "FACES", "FEATNAMES")
 NATIONAL_FILES = ("STATE",)
 
-LAYOUTS = ("year_statecounty", "year_state_type", "year_type")
+# Layouts: which parts of a name make up the folders.
+LAYOUTS = {
+    "year_statecounty": (r"tl_(\d{4})_(\d{5})", "$2/$3/$1"),
+    "year_state_type": (r"tl_(\d{4})_(\d{2})\d{3}_(\w+)", "$2/$3/$4/$1"),
+    "year_type": (r"tl_(\d{4})_\d{5}_(\w+)", "$2/$3/$1"),
+}
 
 
 def base_name(path: Column) -> Column:
@@ -145,18 +150,13 @@ def directory_parts(path: Column) -> Column:
     )
 
 
-def layout_path(layout: str, path: Column, name: Column) -> Column:
+def layout_path(layout: str, path: Column) -> Column:
     """New relative path under a layout; unchanged when a needed part is missing.
 
-    ``name`` is the result of :func:`parse_name`.
+    One replacement on the whole path: the file name is its first group, and a
+    name that does not match leaves the path as it is.
     """
-    file = base_name(path)
-    if layout == "year_statecounty":
-        ok, new = name.isNotNull(), (name["year"], F.concat(name["state"], name["county"]), file)
-    elif layout == "year_state_type":
-        ok, new = name["feature"].isNotNull(), (name["year"], name["state"], name["feature"], file)
-    elif layout == "year_type":
-        ok, new = name["feature"].isNotNull(), (name["year"], name["feature"], file)
-    else:
+    if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}; one of {', '.join(LAYOUTS)}")
-    return F.when(ok, F.concat_ws("/", *new)).otherwise(path)
+    pattern, target = LAYOUTS[layout]
+    return F.regexp_replace(path, rf"^(?:.*/)?({pattern}[^/]*)$", target)

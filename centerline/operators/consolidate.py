@@ -70,7 +70,7 @@ def _read_group(spark: SparkSession, group: list[Source]) -> DataFrame:
         ]
         return reduce(DataFrame.unionAll, parts)
     rows = spark.read.schema(group[0].schema).parquet(*[s.path for s in group])
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+    folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
     rows = rows.withColumn("source_table", folder)
     renamed = {f: n for f, n in names_by_folder.items() if f != n}
     return rows.replace(renamed, subset=["source_table"]) if renamed else rows

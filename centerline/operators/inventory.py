@@ -8,16 +8,25 @@ from pyspark.sql import functions as F
 from centerline.functions import names
 
 
+def with_name_parts(files: DataFrame, path: str = "path") -> DataFrame:
+    """Adds ``_file``, ``_stem`` and ``_name``, the parsed stem.
+
+    Each is a step of its own, so that no pattern is matched twice for a row.
+    """
+    named = files.withColumn("_file", names.base_name(F.col(path)))
+    stems = named.withColumn("_stem", names.file_stem(F.col("_file")))
+    return stems.withColumn("_name", names.parse_name(F.col("_stem")))
+
+
 def describe_files(files: DataFrame, path: str = "path") -> DataFrame:
     """Adds year, state, county, feature, type and the two validity flags.
 
     The name decides; folders are used only when it says nothing.  ``feature``
     comes from names only and ``type`` from folders only.
     """
-    parsed = files.withColumn("_name", names.parse_name(names.file_stem(names.base_name(F.col(path)))))
-    folders = F.when(F.col("_name").isNull(), names.directory_parts(F.col(path)))
-    parsed = parsed.withColumn("_dir", folders)
     valid = F.col("_name").isNotNull()
+    folders = F.when(~valid, names.directory_parts(F.col(path)))
+    parsed = with_name_parts(files, path).withColumn("_dir", folders)
     return parsed.select(
         *files.columns,
         *[F.coalesce(f"_name.{c}", f"_dir.{c}").alias(c) for c in ("year", "state", "county")],
@@ -47,10 +56,7 @@ def plan_layout(files: DataFrame, layout: str, path: str = "path") -> DataFrame:
     target combines on the map side, so a target shared by many copies costs one
     row per task, and the join back is one that Spark splits when a target is hot.
     """
-    name = names.parse_name(names.file_stem(names.base_name(F.col(path))))
-    placed = files.select(
-        F.col(path).alias("src"), names.layout_path(layout, F.col(path), name).alias("dst")
-    )
+    placed = files.select(F.col(path).alias("src"), names.layout_path(layout, F.col(path)).alias("dst"))
     shared = placed.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     moves = placed.where("src <> dst")
     return moves.join(shared, "dst", "left").select(

@@ -108,14 +108,14 @@ SELECT file_id, table_name, lower(table_name) AS lower_name,
   table_name LIKE 'tl_%_addr' AS addr_table, table_name LIKE 'tl_%_edges' AS edges_table
 FROM (SELECT *, {_STEM} AS table_name FROM fx_files)""")
 def type_filter(spark, sf):
-    path, name = F.col("path"), F.col("name")
-    return inputs.fx_files(spark, sf).select(
-        "file_id", names.table_name(path).alias("table_name"),
-        names.table_name(path, lower=True).alias("lower_name"),
+    name, stem = F.col("name"), F.col("table_name")
+    found = inputs.fx_files(spark, sf).withColumn("table_name", names.table_name(F.col("path")))
+    return found.select(
+        "file_id", "table_name", F.lower("table_name").alias("lower_name"),
         names.of_dataset(name, "addr").alias("has_addr"),
         names.of_dataset(name, "ADDR").alias("has_upper"),
-        names.table_of_type(names.table_name(path), "addr").alias("addr_table"),
-        names.table_of_type(names.table_name(path), "edges").alias("edges_table"),
+        names.table_of_type(stem, "addr").alias("addr_table"),
+        names.table_of_type(stem, "edges").alias("edges_table"),
     )
 
 

@@ -29,24 +29,20 @@ def epoch_seconds(ts: Column) -> Column:
 def fx_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of a download tree: shared stems, some without a county, some lone DBFs."""
     key = F.col("o_orderkey")
-    base = key - key % 3
-    kind = base % 4
-    feature = F.when(kind == 0, "edges").when(kind == 1, "addr").when(kind == 2, "featnames").otherwise("faces")
-    suffix = (
-        F.when(key % 3 == 0, ".zip").when(key % 3 == 1, ".dbf")
-        .when(base % 2 == 0, ".prj").otherwise(".shp")
-    )
-    year, state = (2020 + base % 6).cast("string"), code(base % 80, 2)
-    county = F.when(base % 10 == 0, "").otherwise(code(base % 1000, 3))
-    name = F.concat(F.lit("tl_"), year, F.lit("_"), state, county, F.lit("_"), feature, suffix)
-    folder = (
-        F.when(key % 4 == 1, F.concat_ws("/", year, state, F.lit("")))
-        .when(key % 4 == 2, F.concat_ws("/", year, state, code(base % 1000, 3), F.lit("")))
-        .when(key % 4 == 3, F.concat_ws("/", year, state, code(base % 1000, 3), feature, F.lit("")))
-        .otherwise("")
-    )
+    base, depth = key - key % 3, key % 4
+
+    def pick(index: Column, *values: str) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), index.cast("int") + 1)
+
+    year, state, county = (2020 + base % 6).cast("string"), code(base % 80, 2), code(base % 1000, 3)
+    feature = pick(base % 4, "edges", "addr", "featnames", "faces")
+    # A third member is a shapefile or, where the base is even, something else.
+    suffix = pick(key % 3 + F.when((key % 3 == 2) & (base % 2 == 0), 1).otherwise(0), ".zip", ".dbf", ".shp", ".prj")
+    in_name = F.when(base % 10 == 0, "").otherwise(county)
+    name = F.concat(F.lit("tl_"), year, F.lit("_"), state, in_name, F.lit("_"), feature, suffix)
+    folders = [F.when(depth >= at, part) for at, part in ((1, year), (1, state), (2, county), (3, feature))]
     return table(spark, sf_dir, "orders").select(
-        key.alias("file_id"), name.alias("name"), F.concat(folder, name).alias("path"),
+        key.alias("file_id"), name.alias("name"), F.concat_ws("/", *folders, name).alias("path"),
         year.alias("year"), F.upper(feature).alias("dataset"),
         F.floor(F.col("o_totalprice") * 100).cast("bigint").alias("size"),
     )
