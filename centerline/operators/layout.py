@@ -68,16 +68,27 @@ def write_partitioned(rows: DataFrame, table: str, keys: list[str], path: str |
     writer.saveAsTable(table)
 
 
+# Position of a row in its table: tells copies of a row apart.
+ROW_KEYS = ["_row_file", "_row_index"]
+
+
+def with_row_keys(table: DataFrame) -> DataFrame:
+    """Adds the position of each row of a Parquet table."""
+    return table.select(
+        "*", F.col("_metadata.file_name").alias(ROW_KEYS[0]), F.col("_metadata.row_index").alias(ROW_KEYS[1])
+    )
+
+
 def write_sorted(
     rows: DataFrame, table: str, keys: list[str], tie: list[str], path: str | None = None
 ) -> None:
     """A copy in key order, for pruning by Parquet statistics.
 
     ``tie`` names further columns of the range key, so that a key with very many
-    rows spans several ranges.
+    rows spans several ranges; row keys among them are not written.
     """
     ordered = rows.repartitionByRange(*keys, *tie).sortWithinPartitions(*keys, *tie)
-    writer = ordered.write.format("parquet").mode("overwrite")
+    writer = ordered.drop(*ROW_KEYS).write.format("parquet").mode("overwrite")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
@@ -103,8 +114,8 @@ def build_access_paths(
             elif keys[0] in PARTITION_KEYS:
                 write_partitioned(rows, target, keys)
             else:
-                others = [c for c in rows.columns if c not in keys and c != "geometry"]
-                write_sorted(rows, target, keys, [c for c in BUCKET_KEYS if c in others] or others)
+                ids = [c for c in BUCKET_KEYS if c in rows.columns]
+                write_sorted(with_row_keys(rows), target, keys, ids + ROW_KEYS)
             done.append(target)
     return done
 
@@ -157,11 +168,12 @@ def with_cell(rows: DataFrame, size: float) -> DataFrame:
 def write_spatial(rows: DataFrame, path: str, size: float = 0.1) -> None:
     """Sorted by grid cell, so that near boxes share row groups.
 
-    The corner follows the cell in the range key: a crowded cell is split.
+    The box and, if there, the row keys follow the cell in the range key: a crowded
+    cell is split.
     """
-    keys = ["cell", "xmin", "ymin"]
+    keys = ["cell", "xmin", "ymin", "xmax", "ymax", *[c for c in ROW_KEYS if c in rows.columns]]
     placed = with_cell(rows, size).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed.write.mode("overwrite").parquet(path)
+    placed.drop(*ROW_KEYS).write.mode("overwrite").parquet(path)
 
 
 def in_window(rows: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
@@ -180,7 +192,7 @@ def build_spatial_paths(
             continue
         rows = spark.table(f"{database}.{table}")
         if {"geometry", "xmin", "ymin", "xmax", "ymax"} <= set(rows.columns):
-            write_spatial(rows, f"{root}/{table}", size)
+            write_spatial(with_row_keys(rows), f"{root}/{table}", size)
             done.append(f"{root}/{table}")
     return done
 

@@ -112,7 +112,8 @@ def new_discoveries(known: DataFrame, call: DataFrame) -> DataFrame:
     return fresh.join(known, ["state_fips", "url"], "left_anti")
 
 
-def _mark_counters(marks: DataFrame) -> DataFrame:
+def count_marks(marks: DataFrame) -> DataFrame:
+    """Marks per state; calls without a state do not count."""
     ended = F.col("kind").isin("completed", "failed")
     return marks.where("state_fips <> ''").groupBy("state_fips").agg(
         F.count_if(F.col("kind") == "completed").alias("completed"),
@@ -122,7 +123,8 @@ def _mark_counters(marks: DataFrame) -> DataFrame:
     )
 
 
-def _call_counters(calls: DataFrame) -> DataFrame:
+def count_calls(calls: DataFrame) -> DataFrame:
+    """Size of the last discovered set per state."""
     # The first step has the URL in its key through the distinct count, so one
     # very long call is spread over many tasks.
     per_call = calls.groupBy("state_fips", "seq").agg(
@@ -133,18 +135,12 @@ def _call_counters(calls: DataFrame) -> DataFrame:
     )
 
 
-def fold_states(marks: DataFrame, calls: DataFrame | None = None) -> DataFrame:
-    """Counters per state.
-
-    ``completed`` and ``failed`` count marks, not files: a file marked twice counts
-    twice.  ``discovered`` is the size of the last set given.  A partial mark only
-    creates the row.
-    """
+def merge_counters(marked: DataFrame, called: DataFrame | None = None) -> DataFrame:
+    """State rows from the counts of marks and of discovery calls."""
     zero = F.lit(0).cast("bigint")
-    rows = _mark_counters(marks).withColumn("discovered", zero)
-    if calls is not None:
-        counted = _call_counters(calls).withColumns({"completed": zero, "failed": zero})
-        rows = rows.unionByName(counted)
+    rows = marked.withColumn("discovered", zero)
+    if called is not None:
+        rows = rows.unionByName(called.withColumns({"completed": zero, "failed": zero}))
     return rows.groupBy("state_fips").agg(
         names.default_state_name(F.col("state_fips")).alias("name"),
         F.sum("completed").alias("completed"),
@@ -154,6 +150,16 @@ def fold_states(marks: DataFrame, calls: DataFrame | None = None) -> DataFrame:
     )
 
 
+def fold_states(marks: DataFrame, calls: DataFrame | None = None) -> DataFrame:
+    """Counters per state.
+
+    ``completed`` and ``failed`` count marks, not files: a file marked twice counts
+    twice.  ``discovered`` is the size of the last set given.  A partial mark only
+    creates the row.
+    """
+    return merge_counters(count_marks(marks), None if calls is None else count_calls(calls))
+
+
 def name_states(states: DataFrame, dim: DataFrame) -> DataFrame:
     """States under their real names; the dimension has 56 rows."""
     real = dim.select("state_fips", F.col("name").alias("_real"))

@@ -911,7 +911,7 @@ def shp_roundtrip(spark, sf):
 def zip_expand(spark, sf):
     path = scratch_dir(spark, "zip")
     roundtrip.write_files(_parts(spark, sf), _PART_FIELDS, path, "parts", zipped=True)
-    members = files.expand_archives(files.read_archives(spark, path), (".dbf",))
+    members = files.expand_archives(files.list_archives(spark, path), (".dbf",))
     width, head = 1 + sum(f.width for f in _PART_FIELDS), 34 + 32 * len(_PART_FIELDS)
     records = ((F.length("content") - head) / width).cast("bigint")
     suffix = F.regexp_extract("member", r"(\.[^.]+)$", 1)
@@ -924,7 +924,7 @@ def zip_expand(spark, sf):
 def zip_tables(spark, sf):
     path = scratch_dir(spark, "zip")
     roundtrip.write_files(_parts(spark, sf), _PART_FIELDS, path, "parts", zipped=True)
-    archives = files.read_archives(spark, path)
+    archives = files.list_archives(spark, path)
     rows = archive_tables.read_tables(archives, archive_tables.archive_schema(archives))
     return rows.where("error IS NULL").drop("error", "source_table")
 
@@ -933,7 +933,7 @@ def zip_tables(spark, sf):
 def zip_shapes(spark, sf):
     path = scratch_dir(spark, "zip")
     roundtrip.write_files(_lines(spark, sf), _LINE_FIELDS, path, "lines", "points", [0, 2], zipped=True)
-    archives = files.read_archives(spark, path)
+    archives = files.list_archives(spark, path)
     rows = archive_tables.read_tables(archives, archive_tables.archive_schema(archives))
     rows = rows.where("error IS NULL").drop("error", "source_table")
     return rows.withColumn("n_bytes", F.length("geometry")).drop("geometry")

@@ -24,7 +24,7 @@ def load_dataset(
     The archives are read once.  Rows of ``error`` tell which archive or table
     failed; loading again replaces the counties it loads.
     """
-    archives = files.read_archives(spark, root, recursive, state, dataset)
+    archives = files.list_archives(spark, root, recursive, state, dataset)
     schema = schema or archive_tables.archive_schema(archives, dates_as_text)
     rows = archive_tables.read_tables(archives, schema)
     # The name test on archives also accepts longer dataset names.

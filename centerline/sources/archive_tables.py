@@ -1,4 +1,4 @@
-"""Tables read straight from zip archives, one archive per unit of work."""
+"""Tables read straight from zip archives."""
 
 from __future__ import annotations
 
@@ -13,33 +13,41 @@ from centerline.sources import dbf, files, ranges, shapefile
 
 SUFFIXES = (".shp", ".shx", ".dbf")
 
+# Tables up to this size are decoded once and held until they are complete.
+HOLD_BYTES = 128 << 20
 
-def _tables(data: bytes) -> dict[str, dict[str, bytes]]:
+
+def _tables(path: str, stem: str | None = None) -> dict[str, dict[str, bytes]]:
     """Bytes by table stem and suffix."""
     tables: dict[str, dict[str, bytes]] = {}
-    for member, content in files.zip_members(data, SUFFIXES):
+    for member, content in files.zip_members(path, SUFFIXES, stem):
         tables.setdefault(ranges.stem_of(member), {})[member[-4:].lower()] = content
     return tables
 
 
 def archive_schema(archives: DataFrame, dates_as_text: bool = False) -> T.StructType:
-    """Schema of the first table of one archive, taken from its header."""
-    row = archives.select("content").first()
-    if row is None:
-        raise ValueError("no archive to take a schema from")
-    for parts in _tables(bytes(row["content"])).values():
-        if ".dbf" in parts:
-            header = dbf.read_header(pa.BufferReader(parts[".dbf"]))
-            build = shapefile.shapefile_schema if ".shp" in parts else dbf.header_schema
-            return build(header, dates_as_text=dates_as_text)
-    raise ValueError("the archive holds no table")
-
-
-def read_tables(archives: DataFrame, schema: T.StructType, **options) -> DataFrame:
+    """Schema of the first table found, taken from its header."""
+    for row in archives.select("path").toLocalIterator():
+        try:
+            tables = _tables(row["path"])
+        except Exception:  # a bad archive is reported when it is read
+            continue
+        for parts in tables.values():
+            if ".dbf" in parts:
+                header = dbf.read_header(pa.BufferReader(parts[".dbf"]))
+                build = shapefile.shapefile_schema if ".shp" in parts else dbf.header_schema
+                return build(header, dates_as_text=dates_as_text)
+    raise ValueError("no archive holds a table to take a schema from")
+
+
+def read_tables(
+    archives: DataFrame, schema: T.StructType, large: int = files.LARGE_ARCHIVE, **options
+) -> DataFrame:
     """Rows of every table in the archives, with ``source_table`` and ``error``.
 
-    A table with a ``.shp`` member is read with its geometry; a lone ``.dbf``
-    is read as it is.  An archive or table that fails gives one error row.
+    ``archives`` is a listing with ``path`` and ``length``.  A table with a ``.shp``
+    member is read with its geometry; a lone ``.dbf`` is read as it is.  An archive
+    or table that fails gives one error row and no other.
     """
     out = T.StructType(schema.fields + [
         T.StructField("source_table", T.StringType()), T.StructField("error", T.StringType()),
@@ -56,20 +64,28 @@ def read_tables(archives: DataFrame, schema: T.StructType, **options) -> DataFra
         elif ".dbf" in parts:
             yield from dbf.dbf_batches(open_[".dbf"], arrow, options, stem)
 
+    def whole_table(stem: str, parts: dict[str, bytes]) -> Iterator[pa.RecordBatch]:
+        """Rows of a table that is known to decode to its end."""
+        if sum(map(len, parts.values())) <= HOLD_BYTES:
+            return iter(list(table_rows(stem, parts)))
+        for _ in table_rows(stem, parts):
+            pass
+        return table_rows(stem, parts)
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, data in zip(batch.column(0), batch.column(1)):
-                stem = ranges.stem_of(path.as_py())
+            for path, stem in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
-                    tables = _tables(data.as_py())
-                except Exception as problem:  # not a zip file
-                    yield ranges.error_batch(arrow, options, stem, problem)
+                    tables = _tables(path, stem)
+                except Exception as problem:  # no zip file
+                    yield ranges.error_batch(arrow, options, ranges.stem_of(path), problem)
                     continue
                 for table, parts in tables.items():
                     try:
-                        # Whole tables only: a table that fails midway gives no rows.
-                        yield from list(table_rows(table, parts))
+                        complete = whole_table(table, parts)
                     except Exception as problem:
                         yield ranges.error_batch(arrow, options, table, problem)
+                    else:
+                        yield from complete
 
-    return archives.select("path", "content").mapInArrow(decode, out)
+    return files.archive_units(archives, large).mapInArrow(decode, out)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterator
 
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centerline.functions import names
+from centerline.sources import ranges
 
 ARCHIVE_MEMBERS = "archive string, member string, content binary, error string"
 
@@ -18,6 +18,9 @@ _MEMBER_SCHEMA = pa.schema(
     [("archive", pa.string()), ("member", pa.string()), ("content", pa.binary()), ("error", pa.string())]
 )
 
+# Archives above this size are shared out by table instead of being one unit.
+LARGE_ARCHIVE = 512 << 20
+
 
 def list_files(
     spark: SparkSession, root: str, pattern: str | None = None, recursive: bool = True
@@ -39,8 +42,7 @@ def list_archives(
     state: str | None = None, dataset: str | None = None,
 ) -> DataFrame:
     """Zip archives of a folder, narrowed by state and dataset."""
-    listing = list_files(spark, root, "*.zip", recursive)
-    return listing.where(_narrow(F.col("name"), state, dataset))
+    return list_files(spark, root, "*.zip", recursive).where(_narrow(F.col("name"), state, dataset))
 
 
 def newest_file(files: DataFrame) -> DataFrame:
@@ -63,54 +65,72 @@ def _narrow(name: Column, state: str | None, dataset: str | None) -> Column:
     return keep
 
 
-def read_archives(
-    spark: SparkSession, root: str, recursive: bool = False,
-    state: str | None = None, dataset: str | None = None,
-) -> DataFrame:
-    """Archive path and bytes.
+def zip_members(
+    path: str, wanted: tuple[str, ...] | None = None, stem: str | None = None
+) -> Iterator[tuple[str, bytes]]:
+    """Names and bytes of the regular members with a wanted suffix and table stem.
 
-    The name tests are on file metadata, so Spark drops the other archives while
-    listing and never opens them.
+    The archive is read at random places, so other members are not touched.
     """
-    reader = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .option("pathGlobFilter", "*.zip")
-    )
-    kept = reader.load(root).where(_narrow(F.col("_metadata.file_name"), state, dataset))
-    return kept.select("path", "content")
-
-
-def zip_members(data: bytes, wanted: tuple[str, ...] | None = None) -> Iterator[tuple[str, bytes]]:
-    """Names and bytes of the regular members whose suffix is wanted."""
-    with zipfile.ZipFile(io.BytesIO(data)) as archive:
+    filesystem, plain = ranges.open_fs(path)
+    with filesystem.open_input_file(plain) as file, zipfile.ZipFile(file) as archive:
         for info in archive.infolist():
-            if not info.is_dir() and (wanted is None or info.filename.lower().endswith(wanted)):
-                yield info.filename, archive.read(info)
+            name = info.filename
+            if info.is_dir() or (wanted and not name.lower().endswith(wanted)):
+                continue
+            if stem is None or ranges.stem_of(name) == stem:
+                yield name, archive.read(info)
+
+
+def _table_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            filesystem, plain = ranges.open_fs(path)
+            try:
+                with filesystem.open_input_file(plain) as file, zipfile.ZipFile(file) as archive:
+                    stems = {ranges.stem_of(i.filename) for i in archive.infolist() if not i.is_dir()}
+            except Exception:  # no zip file
+                stems = {None}  # it is reported when the unit is read
+            yield pa.RecordBatch.from_pydict(
+                {"path": [path] * len(stems), "stem": pa.array(list(stems), pa.string())}
+            )
+
+
+def archive_units(archives: DataFrame, large: int = LARGE_ARCHIVE) -> DataFrame:
+    """Units of work ``(path, stem)`` of a listing ``(path, length)``.
+
+    A deflate stream cannot be split, but an archive can be read by member: an
+    archive above ``large`` bytes gives a unit per table, spread over the tasks;
+    any other is one unit (NULL stem), and Spark's listing has packed those into
+    tasks by size.
+    """
+    whole = archives.where(F.col("length") <= large)
+    shared = archives.where(F.col("length") > large).select("path")
+    parts = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_table = shared.mapInArrow(_table_stems, "path string, stem string").repartition(parts, "path", "stem")
+    return whole.select("path", F.lit(None).cast("string").alias("stem")).unionByName(by_table)
 
 
-def expand_archives(archives: DataFrame, suffixes: tuple[str, ...] | None = None) -> DataFrame:
-    """One row per archive member; a bad archive becomes one row with its error.
+def expand_archives(
+    archives: DataFrame, suffixes: tuple[str, ...] | None = None, large: int = LARGE_ARCHIVE
+) -> DataFrame:
+    """One row per archive member; a bad archive gives a row with its error.
 
-    ``archives`` has ``path`` and ``content``.  The table stem of the archive
-    names the group of members.  A deflate stream cannot be split, so the unit
-    of work is one archive.
+    ``archives`` is a listing with ``path`` and ``length``.
     """
     wanted = tuple(s.lower() for s in suffixes) if suffixes else None
 
+    def row(*values: object) -> pa.RecordBatch:
+        arrays = [pa.array([v], f.type) for v, f in zip(values, _MEMBER_SCHEMA)]
+        return pa.RecordBatch.from_arrays(arrays, schema=_MEMBER_SCHEMA)
+
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, data in zip(batch.column(0), batch.column(1)):
-                # One archive at a time keeps a task at the size of one archive.
-                name, rows = path.as_py(), []
+            for path, stem in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
-                    rows = [(name, m, c, None) for m, c in zip_members(data.as_py(), wanted)]
+                    for member, content in zip_members(path, wanted, stem):
+                        yield row(path, member, content, None)
                 except Exception as problem:  # any fault marks this archive only
-                    rows = [(name, None, None, f"{type(problem).__name__}: {problem}")]
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(zip(*rows), _MEMBER_SCHEMA)],
-                        schema=_MEMBER_SCHEMA,
-                    )
-
-    return archives.select("path", "content").mapInArrow(expand, ARCHIVE_MEMBERS)
+                    yield row(path, None, None, f"{type(problem).__name__}: {problem}")
+
+    return archive_units(archives, large).mapInArrow(expand, ARCHIVE_MEMBERS)

@@ -87,46 +87,38 @@ def document_lines(tables: dict[str, DataFrame]) -> DataFrame:
 
     ``section, part, step, entry``: sections follow each other, a part is one
     state's list, a step is its opening, its entries or its end.  A comma goes in
-    front of every entry but the first of its list; the firsts are a minimum per
-    list.
+    front of every entry but the first of its list, which is the list's minimum.
     """
     files, states = tables["files"], tables["states"]
     lists, discovered = tables["url_lists"], tables["discovered_urls"]
     spark = files.sparkSession
 
-    def entries(rows: DataFrame, section: int, part: Column, key: Column, text: Column) -> DataFrame:
+    no_part = F.lit(None).cast("string")
+
+    def entries(rows: DataFrame, section: int, key: str, value: Column | None = None) -> DataFrame:
+        """Entries of a list that is a section of its own."""
+        first = rows.agg(F.min(key)).scalar()
+        comma = F.when(F.col(key) == first, "").otherwise(",")
+        text = F.concat(comma, _quoted(F.col(key)), *([F.lit(": "), value] if value is not None else []))
         return rows.select(
-            F.lit(section).alias("section"), part.alias("part"), F.lit(1).alias("step"),
-            key.alias("entry"), text.alias("text"),
+            F.lit(section).alias("section"), no_part.alias("part"), F.lit(1).alias("step"),
+            F.col(key).alias("entry"), text.alias("text"),
         )
 
-    no_part = F.lit(None).cast("string")
-    body = entries(
-        files, 1, no_part, F.col("path"), F.concat(_quoted(F.col("path")), F.lit(": "), _row_json(files))
-    )
+    body = entries(files, 1, "path", _row_json(files))
     for section, kind in ((2, "completed"), (3, "failed")):
-        listed = lists.where(F.col("list_type") == kind)
-        body = body.unionAll(entries(listed, section, no_part, F.col("url"), _quoted(F.col("url"))))
-    body = body.unionAll(entries(
-        states, 4, no_part, F.col("state_fips"),
-        F.concat(_quoted(F.col("state_fips")), F.lit(": "), _row_json(states)),
+        body = body.unionAll(entries(lists.where(F.col("list_type") == kind), section, "url"))
+    body = body.unionAll(entries(states, 4, "state_fips", _row_json(states)))
+    # The last section has a list per state.
+    parts = discovered.groupBy(F.col("state_fips").alias("part")).agg(F.min("url").alias("first_url"))
+    comma = F.when(F.col("url") == F.col("first_url"), "").otherwise(",")
+    body = body.unionAll(discovered.join(parts, F.col("state_fips") == F.col("part")).select(
+        F.lit(5).alias("section"), "part", F.lit(1).alias("step"), F.col("url").alias("entry"),
+        F.concat(comma, _quoted(F.col("url"))).alias("text"),
     ))
-    body = body.unionAll(
-        entries(discovered, 5, F.col("state_fips"), F.col("url"), _quoted(F.col("url")))
-    )
-    firsts = body.groupBy("section", "part").agg(F.min("entry").alias("first_entry"))
-    parts = firsts.where("section = 5").select("part")
-    firsts = firsts.withColumnsRenamed({"section": "list_section", "part": "list_part"})
-    same_list = (F.col("section") == F.col("list_section")) & F.col("part").eqNullSafe(F.col("list_part"))
-    comma = F.when(F.col("entry") == F.col("first_entry"), "").otherwise(",")
-    body = body.join(firsts, same_list).select(
-        "section", "part", "step", "entry", F.concat(comma, "text").alias("text")
-    )
-    # Openings and ends of the state lists inside the last section.
-    first_part = parts.agg(F.min("part").alias("first_part"))
-    parts = parts.join(first_part, F.col("part") == F.col("first_part"), "left")
+    first_part = discovered.agg(F.min("state_fips")).scalar()
     opening = F.concat(
-        F.when(F.col("first_part").isNull(), ",").otherwise(""), _quoted(F.col("part")), F.lit(": [")
+        F.when(F.col("part") == first_part, "").otherwise(","), _quoted(F.col("part")), F.lit(": [")
     )
     frames = parts.select("part", F.explode(F.array(
         F.struct(F.lit(0).alias("step"), opening.alias("text")),

@@ -37,7 +37,8 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
     if re.match(r"^file:/[^/]", path):
         path = "file://" + path[len("file:"):]
     if "://" in path:
-        return fs.FileSystem.from_uri(path)
+        # Spark names the same store s3a.
+        return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
     return fs.LocalFileSystem(), path
 
 

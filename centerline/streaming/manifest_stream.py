@@ -11,21 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from centerline.operators import manifest
 
-
-def _counters(marks: DataFrame) -> DataFrame:
-    return manifest.fold_states(marks)
-
-
+# Key columns and fold of each table kept by a stream.
 VIEWS: dict[str, tuple[list[str], Callable[[DataFrame], DataFrame]]] = {
     "files": (["path"], manifest.fold_files),
     "url_lists": (["url"], manifest.fold_url_lists),
-    "mark_counters": (["state_fips"], manifest._mark_counters),
+    "mark_counters": (["state_fips"], manifest.count_marks),
     "discovered_urls": (["state_fips", "url"], manifest.fold_discovered),
 }
 
@@ -41,22 +38,45 @@ def start_view(
     _, fold = VIEWS[view]
 
     def write(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{root}/{view}/batch={batch}")
+        changed.write.mode("overwrite").parquet(f"{root}/{view}/changes/batch={batch}")
 
     writer = fold(events).writeStream.outputMode("update").foreachBatch(write)
-    writer = writer.option("checkpointLocation", f"{root}/_checkpoint/{view}").queryName(f"{view}")
+    writer = writer.option("checkpointLocation", f"{root}/{view}/checkpoint").queryName(view)
     return writer.trigger(**({"availableNow": True} if available_now else trigger)).start()
 
 
+def _compacted(spark: SparkSession, view: str, root: str) -> int | None:
+    """Last batch a complete compaction covers."""
+    try:
+        done = spark.read.schema("batch bigint").parquet(f"{root}/{view}/compactions")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return done.agg(F.max("batch")).first()[0]
+
+
 def current(spark: SparkSession, view: str, root: str) -> DataFrame:
-    """The table as of the last batch written."""
+    """The table as of the last batch: the last compaction and the changes since."""
     keys, _ = VIEWS[view]
-    written = spark.read.parquet(f"{root}/{view}")
-    values = [c for c in written.columns if c not in (*keys, "batch")]
-    latest = written.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("row"))
+    rows = spark.read.parquet(f"{root}/{view}/changes").withColumn("batch", F.col("batch").cast("bigint"))
+    base = _compacted(spark, view, root)
+    if base is not None:
+        whole = spark.read.parquet(f"{root}/{view}/whole/batch={base}").withColumn("batch", F.lit(base))
+        rows = whole.unionByName(rows.where(F.col("batch") > base))
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("row"))
     return latest.select(*keys, "row.*")
 
 
-def compact(spark: SparkSession, view: str, root: str, target: str) -> None:
-    """Write the current table to a new folder, one row per key."""
-    current(spark, view, root).write.mode("overwrite").parquet(target)
+def compact(spark: SparkSession, view: str, root: str) -> int:
+    """Write the table as of the last batch as a whole, for readers to start from.
+
+    It counts only once its batch is noted, which is the last step; folders of
+    earlier changes may be removed after that.
+    """
+    last = spark.read.parquet(f"{root}/{view}/changes").agg(F.max("batch")).first()[0]
+    current(spark, view, root).write.mode("overwrite").parquet(f"{root}/{view}/whole/batch={last}")
+    note = spark.createDataFrame([(last,)], "batch bigint")
+    note.write.mode("append").parquet(f"{root}/{view}/compactions")
+    return last

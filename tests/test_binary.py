@@ -183,7 +183,7 @@ def test_inventory_and_archives(spark, archive_dir):
     assert files.newest_file(files.list_files(spark, root)).first().name == "tl_2025_06001_addr.zip"
     assert "content" not in files.list_files(spark, root).columns
 
-    members = files.expand_archives(files.read_archives(spark, root, True, "13", "addr"))
+    members = files.expand_archives(files.list_archives(spark, root, True, "13", "addr"))
     got = sorted((r.archive.rsplit("/", 1)[1], r.member, r.error is None) for r in members.collect())
     assert got == [
         ("tl_2025_13001_addr.zip", "tl_2025_13001_addr.dbf", True),
@@ -194,17 +194,32 @@ def test_inventory_and_archives(spark, archive_dir):
     ]
 
 
-def test_archives_not_wanted_are_never_opened(spark, archive_dir):
-    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "600")
-    try:
-        (archive_dir / "tl_2025_48001_addr.zip").write_bytes(b"x" * 5000)
-        assert files.read_archives(spark, str(archive_dir), state="06", dataset="addr").count() == 1
-    finally:
-        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+def test_large_archives_are_shared_out_by_table(spark, archive_dir):
+    tables = {f"tl_2025_13{n:03d}_addr.dbf": formats.dbf([("TLID", "N", 9, 0)], [[b"%d" % n]]) for n in range(20)}
+    (archive_dir / "tl_2025_13999_addr.zip").write_bytes(formats.archive(tables))
+    listing = files.list_archives(spark, str(archive_dir), state="13", dataset="addr")
+    units = files.archive_units(listing, large=1200).collect()
+    assert sum(u.stem is not None for u in units) == 20 and len(units) == 20 + listing.count() - 1
+    schema = T.StructType([T.StructField("tlid", T.LongType())])
+    for large in (1, 1200, files.LARGE_ARCHIVE):
+        got = archive_tables.read_tables(listing, schema, large=large)
+        assert sorted(r.tlid for r in got.where("tlid < 100").collect()) == list(range(20))
+        assert got.where("error IS NOT NULL").count() == 2
+        members = files.expand_archives(listing, large=large)
+        assert members.where("error IS NULL").count() == 23 and members.where("error IS NOT NULL").count() == 1
+
+
+def test_table_that_fails_midway_gives_no_rows(spark, tmp_path, monkeypatch):
+    shapes = [formats.poly(3, [[(0, 0), (1, 1)]]), b"\x63\0\0\0" + bytes(40)]
+    members = write_shapefile(None, "tl_2025_13001_edges", shapes, [[b"1", b"13"], [b"2", b"13"]])
+    (tmp_path / "tl_2025_13001_edges.zip").write_bytes(formats.archive(members))
+    listing = files.list_archives(spark, str(tmp_path))
+    (row,) = archive_tables.read_tables(listing, archive_tables.archive_schema(listing)).collect()
+    assert row.source_table == "tl_2025_13001_edges" and "shape type 99" in row.error
 
 
 def test_tables_of_archives(spark, archive_dir):
-    archives = files.read_archives(spark, str(archive_dir), True, "13", "addr")
+    archives = files.list_archives(spark, str(archive_dir), True, "13", "addr")
     schema = T.StructType([T.StructField("tlid", T.LongType()), T.StructField("zip", T.StringType())])
     got = archive_tables.read_tables(archives, schema)
     assert sorted(r.tlid for r in got.where("error IS NULL").collect()) == [
