@@ -68,6 +68,15 @@ def srid(value: int | None = None) -> Column:
     return F.lit(DEFAULT_SRID if value is None else value).cast("int")
 
 
+def to_geometry(wkb: Column, value: int | None = None) -> Column:
+    """Spark's own GEOMETRY with its spatial reference.
+
+    For use at the edge only: it needs ``spark.sql.geospatial.enabled`` and cannot
+    be written to Parquet.
+    """
+    return F.call_function("st_setsrid", F.call_function("st_geomfromwkb", wkb), srid(value))
+
+
 def grid_cell(x: Column, y: Column, size: float) -> Column:
     """Grid cell of a coordinate as one BIGINT that keeps near cells near.
 

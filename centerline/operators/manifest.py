@@ -183,8 +183,13 @@ def pending(discovered: DataFrame, url_lists: DataFrame, states: list[str] | Non
     """
     if states is not None:
         discovered = discovered.where(F.col("state_fips").isin(*states))
-    ended = url_lists.where(F.col("list_type").isin("completed", "failed")).select("url")
-    return discovered.join(ended, "url", "left_anti").select("state_fips", "url")
+    ended = url_lists.where(F.col("list_type").isin("completed", "failed")).select(
+        "url", F.lit(True).alias("ended")
+    )
+    # Spark would move an anti-join below the fold of the calls, where a URL still
+    # has all its rows; an outer join stays above it.
+    rows = discovered.join(ended, "url", "left").where("ended IS NULL")
+    return rows.select("state_fips", "url")
 
 
 def look_up(files: DataFrame, paths: DataFrame) -> DataFrame:

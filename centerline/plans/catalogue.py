@@ -740,13 +740,23 @@ def consolidate_report(spark, sf):
 SELECT c_custkey AS c_custkey, c_name AS c_name FROM customer
 UNION ALL SELECT s_suppkey, s_name FROM supplier""")
 def append_by_position(spark, sf):
-    name, _ = _scratch_table(spark, "appended")
-    spark.sql(f"CREATE TABLE {name} (c_custkey BIGINT, c_name STRING) USING parquet LOCATION '{_}'")
+    name, path = _scratch_table(spark, "appended")
+    spark.sql(f"CREATE TABLE {name} (c_custkey BIGINT, c_name STRING) USING parquet LOCATION '{path}'")
     con.create_or_append(table(spark, sf, "customer").select("c_custkey", "c_name"), name)
     con.create_or_append(table(spark, sf, "supplier").select("s_suppkey", "s_name"), name)
     return spark.table(name)
 
 
+@query("load_twice", "SELECT l_orderkey, l_quantity, l_returnflag, l_linestatus FROM lineitem")
+def load_twice(spark, sf):
+    path = scratch_dir(spark, "loaded")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag", "l_linestatus")
+    keys = ["l_returnflag", "l_linestatus"]
+    for _ in range(2):  # the second load replaces the first
+        con.write_partitions(rows, path, keys)
+    return con.read_partitions(spark, path, keys)
+
+
 def _edges(spark, sf):
     return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("tlid"), F.col("o_orderpriority").alias("fullname"),
@@ -800,6 +810,23 @@ def lookup_name(spark, sf):
     )
 
 
+@query("lookup_place", """
+SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip, substr(c_mktsegment, 1, 1) AS priority,
+  count(*) AS n_places, min(c_name) AS first_city
+FROM customer WHERE c_nationkey IN (SELECT s_nationkey FROM supplier) GROUP BY 1, 2""")
+def lookup_place(spark, sf):
+    name, path = _scratch_table(spark, "place_by_zip_priority")
+    places = table(spark, sf, "customer").select(
+        code(F.col("c_nationkey"), 5).alias("zip"), F.col("c_name").alias("city"),
+        F.substring("c_mktsegment", 1, 1).alias("priority"), F.col("c_custkey").alias("id"),
+    )
+    layout.write_sorted(places, name, ["zip", "priority"], ["id"], path)
+    asked = table(spark, sf, "supplier").select(code(F.col("s_nationkey"), 5).alias("zip")).distinct()
+    return spark.table(name).join(asked, "zip", "left_semi").groupBy("zip", "priority").agg(
+        F.count(F.lit(1)).alias("n_places"), F.min("city").alias("first_city")
+    )
+
+
 @query("lookup_county", """
 SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS statefp, lower(c_mktsegment) AS countyfp,
   count(*) AS n_lines, CAST(sum(CAST(floor(c_acctbal * 100) AS BIGINT)) AS BIGINT) AS cents

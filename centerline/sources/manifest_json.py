@@ -7,6 +7,8 @@ part files of the document, taken in name order, are the document.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,10 +157,13 @@ def write_document(tables: dict[str, DataFrame], path: str) -> None:
 
 
 def write_entries(tables: dict[str, DataFrame], path: str) -> None:
-    """One manifest row per line, each under the name of its table."""
-    for name, table in tables.items():
-        row = F.struct(*table.columns).alias(name)
-        table.select(F.lit(name).alias("section"), row).write.mode("append").json(path)
+    """One manifest row per line, under the name of its table; one write for all."""
+    parts = [
+        table.select(F.lit(name).alias("section"), F.struct(*table.columns).alias(name))
+        for name, table in tables.items()
+    ]
+    entries = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    entries.write.json(path)
 
 
 def read_entries(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -135,6 +135,17 @@ def test_points_as_wkb(spark):
     assert [tuple(r.p) for r in back] == [(1.0, 2.0), (None, None), (-0.5, 1e300)]
 
 
+def test_geometry_at_the_edge(spark):
+    spark.conf.set("spark.sql.geospatial.enabled", "true")
+    try:
+        wkb = geometry.point_wkb(F.lit(1.5), F.lit(-2.0))
+        one = spark.range(1).select(wkb.alias("wkb")).select("wkb", geometry.to_geometry(F.col("wkb")).alias("g"))
+        row = one.select(F.expr("st_srid(g)").alias("srid"), F.expr("st_asbinary(g)").alias("back"), "wkb").first()
+        assert row.srid == 4326 and row.back == row.wkb
+    finally:
+        spark.conf.unset("spark.sql.geospatial.enabled")
+
+
 def test_grid_cells_against_bits(spark):
     def want(x, y):
         a, b = (int(v // 0.5) + 2**19 for v in (x, y))
