@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ def _point_to_wkb(x: pa.Array, y: pa.Array) -> pa.Array:
     points = pa.Array.from_buffers(
         pa.binary(_POINT_SIZE), len(xs), [None, pa.py_buffer(out.tobytes())]
     )
-    return pa.compute.if_else(pa.array(missing), pa.scalar(None, pa.binary()), points.cast(pa.binary()))
+    return pc.if_else(pa.array(missing), pa.scalar(None, pa.binary()), points.cast(pa.binary()))
 
 
 def _wkb_to_points(wkb: pa.Array) -> pa.Array:

@@ -50,7 +50,8 @@ def parse_name(stem: Column) -> Column:
     Anchored at the start only.  The first three groups have fixed widths, so a
     single match decides them and they are cut by position.
     """
-    feature = F.nullif(F.regexp_extract(stem, NAME_PREFIX + r"_(\w+)", 1), F.lit(""))
+    # The first of all matches is NULL where there is none, in one pass.
+    feature = F.get(F.regexp_extract_all(stem, F.lit(NAME_PREFIX + r"_(\w+)"), F.lit(1)), F.lit(0))
     return F.when(
         stem.rlike(NAME_PREFIX),
         F.struct(

@@ -44,7 +44,7 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
 
 def list_sizes(options: dict, suffix: str) -> list[tuple[str, int]]:
     """Path and size of the files a scan covers, in path order."""
-    root = options.get("path")
+    root = options.get("path", "").rstrip("/")
     if not root:
         raise ValueError("the source needs a path")
     filesystem, plain = open_fs(root)
