@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centerline.llm import decontaminate, sharding
+import public_tokenizers
+
+from centerline.llm import decontaminate, sharding, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +32,16 @@ def op3_balanced_shards(spark, sf):
     )
 
 
+@query
+def op4_token_counts(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counted = tokens.with_token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "n_tokens",
+        (F.col("n_tokens") > 1024).alias("over_limit"),
+    )
+
+
 def _items_digest(items: Column) -> Column:
     return F.sha2(F.array_join(items, ","), 256)
 
