@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from centerline.llm import decontaminate, sharding, tokens
+from centerline.llm import decontaminate, quality, sharding, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_quality_rules(spark, sf):
+    judged = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "stratum", "broken",
+    )
+
+
 @query
 def op3_balanced_shards(spark, sf):
     return sharding.balanced_shards(table(spark, sf, "documents"), 8).select(
