@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from centerline.llm import decontaminate, quality, sharding, tokens
+from centerline.llm import decontaminate, quality, recompression, sharding, simhash, suffixes, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,42 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_suffix_dedup(spark, sf):
+    found = suffixes.suffix_dedup(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", _span_list(F.col("spans")).alias("spans"))
+
+
+def _span_list(spans: Column) -> Column:
+    """Spans as text: ``start-stop`` in word positions from 0, parted by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat(s["start"], F.lit("-"), s["stop"])), ",")
+
+
+def _repeats_sql(window: int) -> str:
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS id,
+    coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+x AS (
+  SELECT r, id, s, array_to_string(w[s:s + {window - 1}], ' ') AS passage
+  FROM (SELECT r, id, w, unnest(range(1, len(w) - {window} + 2)) AS s FROM d)),
+e AS (SELECT passage, min(row(id, s)) AS earliest FROM x GROUP BY passage HAVING count(*) > 1),
+c AS (
+  SELECT DISTINCT r, unnest(range(s, s + {window})) AS pos FROM x JOIN e USING (passage) WHERE row(id, s) <> earliest),
+p AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+k AS (
+  SELECT r, string_agg(word, ' ' ORDER BY pos) AS kept FROM p ANTI JOIN c USING (r, pos) GROUP BY r),
+i AS (SELECT r, pos, pos - row_number() OVER (PARTITION BY r ORDER BY pos) AS island FROM c),
+s AS (SELECT r, min(pos) - 1 AS a, max(pos) AS b FROM i GROUP BY r, island),
+n AS (SELECT r, sum(b - a) AS n_removed, string_agg(a || '-' || b, ',' ORDER BY a) AS spans FROM s GROUP BY r)
+SELECT doc_id, len(w) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN k USING (r) LEFT JOIN n USING (r)"""
+
+
+ORACLES["op1_suffix_dedup"] = _repeats_sql(50)
+
+
 @query
 def op2_quality_rules(spark, sf):
     judged = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -51,6 +87,21 @@ def op4_token_counts(spark, sf):
     )
 
 
+@query
+def op5_simhash_near_dedup(spark, sf):
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op6_recompression_dedup(spark, sf):
+    found = recompression.recompression_dedup(table(spark, sf, "documents"), 20)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", _span_list(F.col("spans")).alias("spans"))
+
+
+ORACLES["op6_recompression_dedup"] = _repeats_sql(20)
+
+
 def _items_digest(items: Column) -> Column:
     return F.sha2(F.array_join(items, ","), 256)
 
