@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from centerline.llm import decontaminate, quality, recompression, sharding, simhash, suffixes, tokens
+from centerline.llm import decontaminate, pieces, quality, recompression, sharding, simhash, suffixes, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,6 +102,11 @@ def op6_recompression_dedup(spark, sf):
 ORACLES["op6_recompression_dedup"] = _repeats_sql(20)
 
 
+@query
+def op8_sampled_pieces(spark, sf):
+    return pieces.with_pieces(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def _items_digest(items: Column) -> Column:
     return F.sha2(F.array_join(items, ","), 256)
 
