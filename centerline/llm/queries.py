@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from centerline.llm import decontaminate, pieces, quality, recompression, sharding, simhash, suffixes, tokens
+from centerline.llm import decontaminate, pages, pieces, quality, recompression, sharding, simhash, suffixes, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,6 +102,13 @@ def op6_recompression_dedup(spark, sf):
 ORACLES["op6_recompression_dedup"] = _repeats_sql(20)
 
 
+@query
+def op7_main_text(spark, sf):
+    rows = table(spark, sf, "pages").select("page_id", "url", "html")
+    found = pages.with_main_text(rows).select("page_id", "url", "text")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op8_sampled_pieces(spark, sf):
     return pieces.with_pieces(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
