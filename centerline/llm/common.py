@@ -144,3 +144,14 @@ def _tail(words: dict, start: int) -> list[bytes]:
             break
         out.append(word)
     return out[::-1]
+
+
+def worker_store() -> dict:
+    """A dictionary that lives as long as the Python worker, for what several tasks can share.
+
+    Functions travel by value, so their module's own variables are new in each task.
+    """
+    import sys
+    import types
+
+    return sys.modules.setdefault("_centerline_worker_store", types.ModuleType("_centerline_worker_store")).__dict__

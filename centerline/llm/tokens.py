@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from centerline.llm.common import batch_of, mapped
+from centerline.llm.common import batch_of, in_blocks, mapped, worker_store
 
 # Fixed value: the pre-token pattern of the vocabulary file, in the syntax of the ``regex`` module.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -32,6 +33,15 @@ def load(path: str):
     return tokenizer, sorted(special, key=len, reverse=True)
 
 
+def shared(path: str):
+    """``load``, once for each Python worker."""
+    store = worker_store()
+    if f"tokenizer {path}" not in store:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        store[f"tokenizer {path}"] = load(path)
+    return store[f"tokenizer {path}"]
+
+
 def splitter(special: list[str]):
     """A function that cuts a text into pre-tokens and counts the special strings in it.
 
@@ -71,18 +81,20 @@ def frequent_pre_tokens(docs: DataFrame, path: str, text: str = "text", size: in
     moves is one summary per task. No pre-token is a shuffle key.
     """
 
+    _, special = load(path)
+
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        _, special = load(path)
         split = splitter(special)
         counts: Counter = Counter()
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                if value:
-                    counts.update(split(value)[0])
-            if len(counts) > 64 * size:
-                counts = Counter(_trimmed(counts, 8 * size))
+            for block in in_blocks([batch], "text", 1 << 20):
+                for value in block.column(0).to_pylist():
+                    if value:
+                        counts.update(split(value)[0])
+                if len(counts) > 16 * size:
+                    counts = Counter(_trimmed(counts, 8 * size))
         top = _trimmed(counts, size)
         yield batch_of({
             "grp": pa.array([TaskContext.get().partitionId()], pa.int64()),
@@ -114,13 +126,14 @@ def frequent_pre_tokens(docs: DataFrame, path: str, text: str = "text", size: in
 
 
 def with_token_counts(
-    docs: DataFrame, path: str, text: str = "text", size: int = 8192, cache: int = 500_000, name: str = "n_tokens",
+    docs: DataFrame, path: str, text: str = "text", size: int = 8192, cache: int = 200_000, name: str = "n_tokens",
 ) -> DataFrame:
     """``docs`` with the number of tokens of each whole text, as the tokenizer file at ``path`` gives them without
     added tokens, truncation or padding.
 
     The lengths of the most frequent pre-tokens (``frequent_pre_tokens``, at most ``size``) are broadcast. All other
-    pre-tokens are encoded where they stand and remembered by the worker, up to ``cache`` of them. Both tables only
+    pre-tokens are encoded where they stand, once per block of texts, and remembered by the Python worker across its
+    tasks, up to ``cache`` of them. Both tables only
     save work: counts are the same without them. A null or empty text has 0 tokens; repeated rows are counted each.
     """
     tokenizer, _ = load(path)
@@ -130,29 +143,30 @@ def with_token_counts(
 
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, special = load(path)
+        encoder, special = shared(path)
         split = splitter(special)
         unsettled = re.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in SETTLED) + "]")
-        known = dict(table.value)
+        known = worker_store().setdefault(f"token lengths {path}", {})
+        known.update(table.value)
+
+        def counts(texts: list[str | None]) -> Iterator[int]:
+            found = [
+                None if t and not t.isascii() and unsettled.search(t) else split(t) if t else ((), 0) for t in texts
+            ]
+            new = list({p for f in found if f for p in f[0]} - known.keys())
+            if len(known) + len(new) > cache + size:
+                known.clear()
+                known.update(table.value)
+                new = list({p for f in found if f for p in f[0]} - known.keys())
+            for at in range(0, len(new), 4096):
+                some = new[at:at + 4096]
+                known.update(zip(some, map(len, encoder.encode_batch_fast(some, add_special_tokens=False))))
+            for t, f in zip(texts, found):
+                yield len(encoder.encode(t, add_special_tokens=False)) if f is None else f[1] + sum(map(known.__getitem__, f[0]))
+
         for texts in batches:
-            if len(known) > cache + size:
-                known = dict(table.value)
-            out = []
-            for value in texts.to_pylist():
-                if not value:
-                    out.append(0)
-                    continue
-                if not value.isascii() and unsettled.search(value):
-                    out.append(len(encoder.encode(value, add_special_tokens=False)))
-                    continue
-                parts, n = split(value)
-                try:
-                    n += sum(map(known.__getitem__, parts))
-                except KeyError:
-                    new = [p for p in set(parts) if p not in known]
-                    known.update(zip(new, [len(e) for e in encoder.encode_batch_fast(new, add_special_tokens=False)]))
-                    n += sum(map(known.__getitem__, parts))
-                out.append(n)
+            blocks = in_blocks([pa.RecordBatch.from_arrays([texts], ["text"])], "text", 1 << 20)
+            out = [n for block in blocks for n in counts(block.column(0).to_pylist())]
             yield pa.array(out, pa.int64())
 
     return docs.withColumn(name, count(F.col(text).cast("string")))
