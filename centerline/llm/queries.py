@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from centerline.llm import decontaminate, pages, pieces, quality, recompression, sharding, simhash, suffixes, tokens
+from centerline.llm import decontaminate, language_model, pages, pieces, quality, recompression, sharding, simhash, suffixes, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +154,8 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)"""
+
+
+@query
+def op10_deleted_interpolation(spark, sf):
+    return language_model.score_documents(table(spark, sf, "documents"))
