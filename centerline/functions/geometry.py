@@ -33,12 +33,15 @@ def _point_to_wkb(x: pa.Array, y: pa.Array) -> pa.Array:
 
 
 def _wkb_to_points(wkb: pa.Array) -> pa.Array:
-    blobs = wkb.fill_null(b"").to_pylist()
-    known = np.array([len(b) == _POINT_SIZE and b[:5] == _POINT_HEAD.tobytes() for b in blobs])
-    packed = b"".join(b if ok else bytes(_POINT_SIZE) for b, ok in zip(blobs, known))
-    raw = np.frombuffer(packed, dtype="u1").reshape(-1, _POINT_SIZE)
+    wkb = wkb.cast(pa.large_binary())
+    offsets = np.frombuffer(wkb.buffers()[1], "<i8")[wkb.offset:wkb.offset + len(wkb) + 1] if len(wkb) else np.zeros(1, "<i8")
+    known = (np.diff(offsets) == _POINT_SIZE) & np.asarray(wkb.is_valid())
+    data = np.frombuffer(wkb.buffers()[2] or b"", dtype="u1")
+    raw = np.zeros((len(wkb), _POINT_SIZE), dtype="u1")
+    raw[known] = data[offsets[:-1][known, None] + np.arange(_POINT_SIZE)]
+    known &= (raw[:, :5] == _POINT_HEAD).all(axis=1)
     xy = np.ascontiguousarray(raw[:, 5:]).view("<f8").reshape(-1, 2)
-    gone = ~known.astype(bool)
+    gone = ~known
     return pa.StructArray.from_arrays(
         [pa.array(xy[:, 0], mask=gone), pa.array(xy[:, 1], mask=gone)], names=["x", "y"]
     )
@@ -64,6 +67,32 @@ def wkb_point(wkb: Column) -> Column:
     return decode(wkb)
 
 
+def wkb_coordinates(wkb: Column) -> Column:
+    """Coordinates of all points of a line or several, in order: ``array<double>``; NULL for other shapes."""
+
+    @F.arrow_udf("array<double>")
+    def decode(wkb: pa.Array) -> pa.Array:
+        return pa.array([_line_coordinates(b) for b in wkb.to_pylist()], pa.list_(pa.float64()))
+
+    return decode(wkb)
+
+
+def _line_coordinates(blob: bytes | None) -> np.ndarray | None:
+    if blob is None or blob[:1] != b"\x01":
+        return None
+    kind, count = np.frombuffer(blob, "<u4", 2, 1).tolist()
+    if kind == 2:
+        return np.frombuffer(blob, "<f8", 2 * count, 9)
+    if kind != 5:
+        return None
+    parts, at = [], 9
+    for _ in range(count):
+        points = int(np.frombuffer(blob, "<u4", 1, at + 5)[0])
+        parts.append(np.frombuffer(blob, "<f8", 2 * points, at + 9))
+        at += 9 + 16 * points
+    return np.concatenate(parts)
+
+
 def srid(value: int | None = None) -> Column:
     """Spatial reference tag of a table."""
     return F.lit(DEFAULT_SRID if value is None else value).cast("int")
@@ -78,11 +107,13 @@ def to_geometry(wkb: Column, value: int | None = None) -> Column:
     return F.call_function("st_setsrid", F.call_function("st_geomfromwkb", wkb), srid(value))
 
 
-def grid_cell(x: Column, y: Column, size: float) -> Column:
+def grid_cell(x: Column, y: Column, size: float, origin: tuple[float, float] = (0.0, 0.0)) -> Column:
     """Grid cell of a coordinate as one BIGINT that keeps near cells near.
 
     The bits of the two cell numbers are interleaved (Z-order), so a sort by the
-    result keeps both axes local.  Each axis has 2**20 cells around zero.
+    result keeps both axes local.  Each axis has 2**20 cells around ``origin``; a
+    coordinate outside of them is an error that asks for larger cells or another
+    origin.
     """
 
     def spread(cell: Column) -> Column:
@@ -93,11 +124,12 @@ def grid_cell(x: Column, y: Column, size: float) -> Column:
             cell = cell.bitwiseOR(F.shiftleft(cell, shift)).bitwiseAND(F.lit(mask))
         return cell
 
-    def axis(v: Column) -> Column:
-        cell = F.floor(v / F.lit(float(size))).cast("bigint") + F.lit(1 << 19).cast("bigint")
-        return F.greatest(F.lit(0).cast("bigint"), F.least(cell, F.lit((1 << 20) - 1).cast("bigint")))
+    def axis(v: Column, zero: float) -> Column:
+        cell = F.floor((v - F.lit(float(zero))) / F.lit(float(size))).cast("bigint") + F.lit(1 << 19).cast("bigint")
+        outside = F.raise_error(F.concat(F.lit("no grid cell for coordinate "), v.cast("string"))).cast("bigint")
+        return F.when(v.isNull() | cell.between(0, (1 << 20) - 1), cell).otherwise(outside)
 
-    return spread(axis(x)).bitwiseOR(F.shiftleft(spread(axis(y)), 1))
+    return spread(axis(x, origin[0])).bitwiseOR(F.shiftleft(spread(axis(y, origin[1])), 1))
 
 
 def box_overlaps(xmin: float, ymin: float, xmax: float, ymax: float) -> Column:

@@ -20,7 +20,7 @@ STATE_IN_NAME = r"tl_\d{4}_(0?%s)[0-9]{3}_"
 COUNTY_FILES = ("EDGES", "ADDR", "FACES", "FEATNAMES")
 NATIONAL_FILES = ("STATE",)
 
-# Layouts: which parts of a name make up the folders.
+# The layouts, with the parts of a name that make up the folders.
 LAYOUTS = {
     "year_statecounty": (r"tl_(\d{4})_(\d{5})", "$2/$3/$1"),
     "year_state_type": (r"tl_(\d{4})_(\d{2})\d{3}_(\w+)", "$2/$3/$4/$1"),

@@ -1,4 +1,4 @@
-"""Field types of DBF and OGR schemas as Spark types."""
+"""Field types of DBF files as Spark types, and what a field becomes whose type differs between files."""
 
 from __future__ import annotations
 
@@ -31,22 +31,28 @@ def dbf_spark_type(
 ) -> T.DataType:
     """Spark type of a DBF field.
 
-    A numeric field without decimals keeps whole numbers exact as BIGINT;
-    ``strict`` loads every numeric field as DOUBLE instead.
+    A numeric field without decimals keeps whole numbers exact, as BIGINT or, where
+    that is too narrow, as DECIMAL; ``strict`` loads every numeric field as DOUBLE.
     """
-    if code == "N" and not strict and decimals == 0 and width <= BIGINT_DIGITS:
-        return T.LongType()
+    if code == "N" and not strict and decimals == 0:
+        return T.LongType() if width <= BIGINT_DIGITS else T.DecimalType(min(width, 38), 0)
     if code == "D" and dates_as_text:
         return T.StringType()
     return SPARK_TYPES[DBF_SQL_TYPES.get(code, "VARCHAR")]
 
 
-def ogr_spark_type(ogr_type: str, dates_as_text: bool = True) -> T.DataType:
-    """Spark type of an OGR field type such as ``int:10`` or ``str:100``."""
-    if ogr_type.startswith("int"):
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """Type that holds the values of both; None if only text does."""
+    if a == b:
+        return a
+    whole = {T.IntegerType: 10, T.LongType: 19}
+    if type(a) in whole and type(b) in whole:
         return T.LongType()
-    if ogr_type.startswith(("float", "double", "real")):
+    digits = [t.precision if isinstance(t, T.DecimalType) else whole.get(type(t)) for t in (a, b)]
+    if all(digits):
+        return T.DecimalType(max(digits), 0)
+    numbers = (T.IntegerType, T.LongType, T.DoubleType, T.DecimalType)
+    # A fraction next to whole numbers that a double cannot hold stays text.
+    if isinstance(a, numbers) and isinstance(b, numbers) and not any(isinstance(t, T.DecimalType) for t in (a, b)):
         return T.DoubleType()
-    if ogr_type.startswith("date") and not dates_as_text:
-        return T.DateType()
-    return T.StringType()
+    return None

@@ -23,11 +23,12 @@ REJECTS = "source_table string, reason string"
 
 @dataclass
 class Source:
-    """A table to append: its name, folder and columns."""
+    """A table to append: its name, Parquet folder or catalog name, and columns."""
 
     name: str
-    path: str
+    path: str | None
     schema: T.StructType
+    table: str | None = None  # for tables of another format
 
 
 @dataclass
@@ -37,18 +38,19 @@ class Consolidation:
     written: list[str]  # names of the sources in ``rows``
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    detail = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'")
-    return detail.first()["data_type"]
+def _parquet_folder(spark: SparkSession, table: str) -> str | None:
+    """Folder of a Parquet table; None for any other."""
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    return detail.get("Location") if detail.get("Provider", "").lower() == "parquet" else None
 
 
 def catalog_sources(spark: SparkSession, table_type: str, database: str = "default") -> list[Source]:
     """Per-county tables of a type, in name order; catalog metadata only."""
-    named = [r.table_name for r in catalog.list_tables(spark, database, table_type).collect()]
-    return [
-        Source(n, table_location(spark, f"{database}.{n}"), spark.table(f"{database}.{n}").schema)
-        for n in named
-    ]
+    out = []
+    for row in catalog.list_tables(spark, database, table_type).collect():
+        table = f"{database}.{row.table_name}"
+        out.append(Source(row.table_name, _parquet_folder(spark, table), spark.table(table).schema, table))
+    return out
 
 
 def path_sources(spark: SparkSession, paths: dict[str, str]) -> list[Source]:
@@ -62,6 +64,15 @@ def _folder(path: str) -> str:
 
 def _read_group(spark: SparkSession, group: list[Source]) -> DataFrame:
     """All rows of tables with the same columns, with ``source_table``."""
+    others = [s for s in group if s.path is None]
+    group = [s for s in group if s.path is not None]
+    parts = [spark.table(s.table).withColumn("source_table", F.lit(s.name)) for s in others]
+    if group:
+        parts.append(_read_folders(spark, group))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _read_folders(spark: SparkSession, group: list[Source]) -> DataFrame:
     names_by_folder = {_folder(s.path): s.name for s in group}
     if len(names_by_folder) < len(group):
         parts = [
@@ -103,16 +114,27 @@ def _aligned(group: list[Source], target: T.StructType, by_name: bool) -> list[t
     return out
 
 
-def _uncastable(rows: DataFrame, group: list[Source], aligned: list[tuple[str, Column]]) -> dict[str, str]:
+def _lost(have: T.DataType, value: Column, cast: Column) -> Column:
+    """Whether a value does not survive its cast.
+
+    Text is lost if it cannot be read; anything else if it does not come back.
+    """
+    gone = value.isNotNull() & cast.isNull()
+    return gone if isinstance(have, T.StringType) else gone | ~cast.try_cast(have).eqNullSafe(value)
+
+
+def _uncastable(rows: DataFrame, group: list[Source], target: T.StructType, by_name: bool) -> dict[str, str]:
     """Tables of the group in which some value does not fit its target column.
 
     One aggregation over the tables whose types differ; it returns a row per table.
     """
-    source = {f.name for f in group[0].schema}
+    columns = group[0].schema.fields
+    wanted = [target[f.name] for f in columns] if by_name else target.fields
     lost = F.lit(False)
-    for (_, cast), have in zip(aligned, group[0].schema):
-        if have.name in source:
-            lost = lost | (F.col(have.name).isNotNull() & cast.isNull())
+    for have, want in zip(columns, wanted):
+        if have.dataType != want.dataType:
+            value = F.col(have.name)
+            lost = lost | _lost(have.dataType, value, value.try_cast(want.dataType))
     bad = rows.groupBy("source_table").agg(F.count_if(lost).alias("n")).where("n > 0")
     return {r.source_table: f"{r.n} rows do not fit" for r in bad.collect()}
 
@@ -124,7 +146,9 @@ def consolidate(
 
     A source with another number of columns, or with a value its target column
     cannot hold, is left out as a whole and reported.  ``by_name`` matches columns
-    by name and fills absent ones with NULL.
+    by name and fills absent ones with NULL.  Tables whose types differ from the
+    target are read once more, before anything else, to find such values: what is
+    written must be known before the write.
     """
     if not sources:
         raise ValueError("nothing to consolidate")
@@ -139,9 +163,9 @@ def consolidate(
             rejects += [(s.name, aligned) for s in group]
             continue
         rows = _read_group(spark, group)
-        same_types = [f.dataType for f in group[0].schema] == [f.dataType for f in target]
-        if not by_name and not same_types:
-            bad = _uncastable(rows, group, aligned)
+        wanted = [target[f.name] for f in group[0].schema] if by_name else target.fields
+        if any(f.dataType != w.dataType for f, w in zip(group[0].schema, wanted)):
+            bad = _uncastable(rows, group, target, by_name)
             rejects += sorted(bad.items())
             if bad:
                 group = [s for s in group if s.name not in bad]
@@ -157,13 +181,26 @@ def consolidate(
 
 
 def replace_table(rows: DataFrame, table: str) -> None:
-    """Write beside the old table and take its name when the write is complete."""
+    """Write beside the old table and take its name when the write is complete.
+
+    The old table keeps its rows under another name until the new one has taken its
+    place, and gets its name back if that fails.
+    """
     spark = rows.sparkSession
-    staged = f"{table}__staged"
+    staged, old = f"{table}__staged", f"{table}__old"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
     rows.write.format("parquet").saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    had = spark.catalog.tableExists(table)
+    if had:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def create_or_append(rows: DataFrame, table: str) -> None:
@@ -192,7 +229,7 @@ def write_partitions(rows: DataFrame, path: str, keys: list[str], idempotent: bo
 
 def read_partitions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """A partitioned folder with its keys as text, so that codes keep their zeros."""
-    found = spark.read.parquet(path).schema
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
     typed = [T.StructField(f.name, T.StringType()) if f.name in keys else f for f in found]
     return spark.read.schema(T.StructType(typed)).parquet(path)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centerline.functions import geometry
-from centerline.operators.consolidate import table_location
+from centerline.operators.consolidate import read_partitions
 from centerline.plans import schemas
 
 # The columns looked up in each table.
@@ -25,15 +25,21 @@ ACCESS_PATHS = {
     "range": [["tlid"]],
 }
 
+# What a lookup by another key gives besides the ids, by table.
+COPIED = {
+    "edges": ["fullname", "statefp", "countyfp", "zipl", "zipr", "lfromadd", "ltoadd", "rfromadd", "rtoadd"],
+    "featnames": ["fullname", "name"],
+    "addr": ["fromhn", "tohn", "side", "zip", "plus4"],
+    "place": ["zip", "city", "state", "priority", "lat", "lon"],
+    "feature": ["street", "paflag", "zip"],
+}
+
 # Tables with a spatial access path, if they hold a geometry.
 SPATIAL_TABLES = ["edges", "places", "counties", "zcta5"]
 
 BUCKET_KEYS = ("tlid", "fid")
 PARTITION_KEYS = ("statefp", "countyfp")
 
-# Largest bucket one task should read.
-BUCKET_LIMIT = 2 << 30
-
 
 def create_star_schema(spark: SparkSession, database: str = "default") -> None:
     """Create the empty address tables that do not exist yet."""
@@ -95,68 +101,64 @@ def write_sorted(
 
 
 def build_access_paths(
-    spark: SparkSession, database: str = "default", buckets: int = 64,
-    tables: dict[str, list[list[str]]] = ACCESS_PATHS,
+    spark: SparkSession, database: str = "default", buckets: int | None = None,
+    tables: dict[str, list[list[str]]] = ACCESS_PATHS, columns: dict[str, list[str]] = COPIED,
 ) -> list[str]:
     """Write every access path of the tables that exist; names of what was written.
 
-    An existing copy is replaced.
+    A copy has its keys, the table's ids and the ``columns`` of the table that are
+    looked up by them, not the geometry; the whole row is found by its id.  There
+    are as many buckets as the session has shuffle partitions, unless told.  An
+    existing copy is replaced.
     """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     done = []
     for table, paths in tables.items():
         if not spark.catalog.tableExists(f"{database}.{table}"):
             continue
-        rows = spark.table(f"{database}.{table}")
+        whole = spark.table(f"{database}.{table}")
+        ids = [c for c in BUCKET_KEYS if c in whole.columns]
         for keys in paths:
             target = f"{database}.{access_table(table, keys)}"
             if keys[0] in BUCKET_KEYS:
-                write_bucketed(rows, target, keys[0], buckets)
-            elif keys[0] in PARTITION_KEYS:
-                write_partitioned(rows, target, keys)
+                # The id leads to the row, so this copy alone has all of it.
+                write_bucketed(whole, target, keys[0], buckets)
+                done.append(target)
+                continue
+            wanted = dict.fromkeys([*keys, *ids, *columns.get(table, ())])
+            kept = [c for c in wanted if c in whole.columns]
+            if keys[0] in PARTITION_KEYS:
+                write_partitioned(whole.select(*kept), target, keys)
             else:
-                ids = [c for c in BUCKET_KEYS if c in rows.columns]
-                write_sorted(with_row_keys(rows), target, keys, ids + ROW_KEYS)
+                write_sorted(with_row_keys(whole).select(*kept, *ROW_KEYS), target, keys, ids + ROW_KEYS)
             done.append(target)
     return done
 
 
-def _lookup_session(spark: SparkSession, bucketed: bool) -> SparkSession:
+def _lookup_session(spark: SparkSession) -> SparkSession:
     # A session of its own: the settings must hold when the lookup is planned.
     session = spark.newSession()
-    session.conf.set("spark.sql.sources.bucketing.enabled", str(bucketed).lower())
+    session.conf.set("spark.sql.sources.bucketing.enabled", "true")
     session.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
     return session
 
 
 def look_up(spark: SparkSession, table: str, **keys) -> DataFrame:
     """Rows of an access path with the given key values; prunes buckets too."""
-    rows = _lookup_session(spark, True).table(table)
+    rows = _lookup_session(spark).table(table)
     for column, value in keys.items():
         rows = rows.where(F.col(column) == F.lit(value))
     return rows
 
 
-def largest_bucket(spark: SparkSession, table: str) -> int:
-    """Bytes of the largest bucket, from the file listing."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    sizes = listing.load(table_location(spark, table)).select(
-        F.regexp_extract("_metadata.file_name", r"_(\d+)\.c\d+", 1).alias("bucket"), "length"
-    )
-    top = sizes.groupBy("bucket").agg(F.sum("length").alias("bytes")).agg(F.max("bytes").alias("bytes"))
-    return top.first()["bytes"] or 0
-
-
-def join_on_id(
-    spark: SparkSession, left: str, right: str, key: str = "tlid", how: str = "inner",
-    limit: int = BUCKET_LIMIT,
-) -> DataFrame:
+def join_on_id(spark: SparkSession, left: str, right: str, key: str = "tlid", how: str = "inner") -> DataFrame:
     """Join two tables bucketed by an id, without a shuffle.
 
-    When one bucket is too large for a task the bucketing is ignored: the join
-    then shuffles, and Spark splits the hot keys at run time.
+    A bucket is one task's work: the number of buckets is chosen when the tables
+    are written.  For an id so crowded that no number helps, join the tables
+    themselves and let Spark split it.
     """
-    fits = all(largest_bucket(spark, t) <= limit for t in (left, right))
-    session = _lookup_session(spark, fits)
+    session = _lookup_session(spark)
     return session.table(left).join(session.table(right), key, how)
 
 
@@ -198,9 +200,22 @@ def build_spatial_paths(
 
 
 def write_manifest(files: DataFrame, path: str) -> None:
-    """Manifest files in one folder per state; status is pruned by statistics."""
-    near = files.hint("rebalance", F.col("state_fips")).sortWithinPartitions("state_fips", "status")
-    near.write.mode("overwrite").partitionBy("state_fips").parquet(path)
+    """Manifest files in one folder per state; status is pruned by statistics.
+
+    The code stays a column of the data, since a folder's name cannot tell an empty
+    code from none.
+    """
+    keyed = files.withColumn("state_folder", F.col("state_fips"))
+    near = keyed.hint("rebalance", F.col("state_folder")).sortWithinPartitions("state_folder", "status")
+    near.write.mode("overwrite").partitionBy("state_folder").parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str, state: str | None = None) -> DataFrame:
+    """Manifest files as they were written; ``state`` reads one state's folder."""
+    rows = read_partitions(spark, path, ["state_folder"])
+    if state:
+        rows = rows.where(F.col("state_folder") == state)
+    return rows.drop("state_folder")
 
 
 def write_relaid(described: DataFrame, path: str) -> None:

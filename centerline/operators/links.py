@@ -35,16 +35,18 @@ def link_counts(grouped: DataFrame) -> DataFrame:
     """Distinct links per dataset and state, per state, and the sum over states.
 
     ``level`` is 0 for a dataset of a state, 1 for a state over its datasets and
-    2 for the sum.  Spark spreads the distinct step by link, so a large group is
-    no large task.
+    2 for the sum.  The rows are distinct already, so only a URL that several
+    datasets of a state share has to be told apart, by level 1.
     """
-    levels = grouped.withColumn("of_state", F.col("state_fips")).groupingSets(
-        [["dataset", "state_fips"], ["state_fips"], []], "dataset", "state_fips"
+    none = F.lit(None).cast("string")
+    fine = grouped.groupBy("dataset", "state_fips").agg(F.count(F.lit(1)).alias("n_links")).select(
+        "dataset", "state_fips", F.lit(0).alias("level"), "n_links"
     )
-    return levels.agg(
-        (F.grouping("dataset") + F.grouping("state_fips")).cast("int").alias("level"),
-        F.count_distinct("of_state", "url").alias("n_links"),
-    ).select("dataset", "state_fips", "level", "n_links")
+    states = grouped.select("state_fips", "url").distinct().groupBy("state_fips").agg(F.count(F.lit(1)).alias("n"))
+    coarse = states.rollup("state_fips").agg(F.grouping("state_fips").cast("int").alias("total"), F.sum("n").alias("n_links"))
+    return fine.unionByName(coarse.where("total = 0 OR n_links IS NOT NULL").select(
+        none.alias("dataset"), "state_fips", (F.col("total") + 1).cast("int").alias("level"), "n_links"
+    ))
 
 
 def discovered_by_state(grouped: DataFrame) -> DataFrame:

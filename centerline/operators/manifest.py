@@ -123,6 +123,11 @@ def count_marks(marks: DataFrame) -> DataFrame:
     )
 
 
+def fold_calls(calls: DataFrame) -> DataFrame:
+    """The URLs of each call, once each."""
+    return calls.groupBy("state_fips", "seq", "url").agg(F.max("ts").alias("ts"))
+
+
 def count_calls(calls: DataFrame) -> DataFrame:
     """Size of the last discovered set per state."""
     # The first step has the URL in its key through the distinct count, so one
@@ -185,7 +190,7 @@ def pending(discovered: DataFrame, url_lists: DataFrame, states: list[str] | Non
         discovered = discovered.where(F.col("state_fips").isin(*states))
     ended = url_lists.where(F.col("list_type").isin("completed", "failed")).select(
         "url", F.lit(True).alias("ended")
-    )
+    ).distinct()
     # Spark would move an anti-join below the fold of the calls, where a URL still
     # has all its rows; an outer join stays above it.
     rows = discovered.join(ended, "url", "left").where("ended IS NULL")

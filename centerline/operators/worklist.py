@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from centerline.functions import names
+from centerline.operators.numbering import numbered
+
+# The words, or the status as a number of its own.
+NOT_FOUND = r"(?i)not found|(?<!\d)404(?!\d)"
 
 
 def plan_urls(
@@ -47,11 +51,10 @@ def worklist(planned: DataFrame, discovered: DataFrame, pending: DataFrame, retr
 def outcome_counts(marks: DataFrame, not_found_from_error: bool = True) -> DataFrame:
     """Fetches per state that succeeded, failed or found nothing, and their sum.
 
-    The sum is the row of ``level`` 1.  "Not found" is told from the stored error
-    text; without that it counts as failed.
+    The sum is the row of ``level`` 1.  "Not found" is told from the words or the
+    status number in the stored error text; without that it counts as failed.
     """
-    text = F.lower(F.coalesce("error", F.lit("")))
-    absent = (text.contains("not found") | text.contains("404")) & F.lit(not_found_from_error)
+    absent = F.coalesce(F.col("error").rlike(NOT_FOUND), F.lit(False)) & F.lit(not_found_from_error)
     failed = F.col("kind") == "failed"
     ended = marks.where(F.col("kind").isin("completed", "failed"))
     levels = ended.groupingSets([["state_fips"], []], "state_fips")
@@ -72,25 +75,50 @@ def reconcile(
     its size, once per file.  missing: a completed file that is not there.
     ``discovered`` is the pending or the full set, as wanted; ``recorded_paths``
     looks for completed files where they were recorded instead of below ``root``.
-    All joins are on the path, so each input is shuffled once.
+    All inputs meet once, by path, and every input is read once.
     """
-    there = listing.select("path", F.col("length").alias("size"))
     expected = names.target_path(root, F.col("state_fips"), F.col("url"))
-    done = files.where("status = 'completed'")
-    candidates = discovered.withColumn("path", expected).groupBy("path").agg(
-        F.min("state_fips").alias("state_fips"), F.min("url").alias("url")
-    )
-    updated = candidates.join(done.select("path"), "path", "left_anti").join(there, "path").select(
-        F.lit("updated").alias("outcome"), "path", "state_fips", "url", "size"
+    nothing = F.lit(None)
+    place = {"text": nothing.cast("string"), "size": nothing.cast("bigint")}
+
+    def rows(df: DataFrame, kind: str, path: Column, known: bool, size: Column = place["size"]) -> DataFrame:
+        state, url = (F.col(c) if known else place["text"] for c in ("state_fips", "url"))
+        return df.select(path.alias("path"), F.lit(kind).alias("kind"), state.alias("state_fips"), url.alias("url"), size.alias("size"))
+
+    # A completed file stands where it was recorded, and is sought there or below the root.
+    sought = F.col("path") if recorded_paths else expected
+    done = files.where("status = 'completed'").select("state_fips", "url", F.explode(F.array(
+        F.struct(F.lit("done").alias("kind"), F.col("path").alias("path")),
+        F.struct(F.lit("sought").alias("kind"), sought.alias("path")),
+    )).alias("at")).select("at.path", "at.kind", "state_fips", "url", place["size"].alias("size"))
+    together = rows(discovered, "wanted", expected, True).unionAll(done).unionAll(
+        rows(listing, "there", F.col("path"), False, F.col("length"))
     )
-    sought = done.select(
-        (F.col("path") if recorded_paths else expected).alias("path"), "state_fips", "url"
+
+    def has(kind: str) -> Column:
+        return F.bool_or(F.col("kind") == kind)
+
+    def of(kind: str, column: str) -> Column:
+        return F.when(F.col("kind") == kind, F.col(column))
+
+    by_path = together.groupBy("path").agg(
+        has("there").alias("there"), has("done").alias("done"), has("wanted").alias("wanted"),
+        F.max(of("there", "size")).alias("size"), F.min(of("wanted", "state_fips")).alias("state_fips"),
+        F.min(of("wanted", "url")).alias("url"),
+        F.collect_list(F.when(F.col("kind") == "sought", F.struct("state_fips", "url"))).alias("sought"),
     )
-    missing = sought.join(there, "path", "left_anti").select(
-        F.lit("missing").alias("outcome"), "path", "state_fips", "url",
-        F.lit(None).cast("bigint").alias("size"),
+    kind = "struct<outcome:string,state_fips:string,url:string,size:bigint>"
+    updated = F.when(
+        F.col("wanted") & F.col("there") & ~F.col("done"),
+        F.array(F.struct(F.lit("updated").alias("outcome"), "state_fips", "url", "size")),
+    ).otherwise(F.array().cast(f"array<{kind}>"))
+    missing = F.when(~F.col("there"), F.transform("sought", lambda s: F.struct(
+        F.lit("missing").alias("outcome"), s["state_fips"].alias("state_fips"), s["url"].alias("url"),
+        place["size"].alias("size"),
+    ))).otherwise(F.array().cast(f"array<{kind}>"))
+    return by_path.select("path", F.explode(F.concat(updated, missing)).alias("d")).select(
+        "d.outcome", "path", "d.state_fips", "d.url", "d.size"
     )
-    return updated.unionByName(missing)
 
 
 def reconcile_counts(differences: DataFrame) -> DataFrame:
@@ -103,11 +131,12 @@ def reconcile_counts(differences: DataFrame) -> DataFrame:
 def reconcile_marks(differences: DataFrame, first_seq: int, ts: float) -> DataFrame:
     """Completed marks for the updated files, to append to the events.
 
-    Numbers are distinct and not below ``first_seq``; their order is free, since
-    every path occurs once.
+    Numbers follow each other from ``first_seq`` on, in the order of the paths, so
+    the next event may take the number after the last.
     """
-    return differences.where("outcome = 'updated'").select(
-        (F.monotonically_increasing_id() + F.lit(first_seq)).alias("seq"),
+    marks = numbered(differences.where("outcome = 'updated'"), ["path", "url"])
+    return marks.select(
+        (F.col("number") + F.lit(first_seq)).alias("seq"),
         F.lit(float(ts)).alias("ts"),
         F.lit("completed").alias("kind"),
         "url", "path", "state_fips", "size",

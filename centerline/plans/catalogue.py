@@ -174,7 +174,7 @@ def standalone_dbf(spark, sf):
 
 # URLs, links and requests ---------------------------------------------------
 
-_DATASETS = ", ".join(f"('{d}')" for d, _ in dims.DATASETS)
+_DATASETS = ", ".join(f"('{d}')" for d in dims.DATASETS)
 _BASE = f"{names.BASE_URL}2025/"
 _URL = f"""'{_BASE}' || upper(dataset) || '/tl_2025_' ||
   CASE WHEN dataset IN ('EDGES', 'ADDR', 'FACES', 'FEATNAMES') THEN state_fips || county
@@ -186,7 +186,7 @@ SELECT dataset, state_fips, county, url, 'out/' || state_fips || '/' || regexp_e
 FROM (SELECT *, {_URL} AS url
   FROM fx_counties, (VALUES {_DATASETS}, ('edges')) d(dataset))""")
 def url_build(spark, sf):
-    wanted = [d for d, _ in dims.DATASETS] + ["edges"]
+    wanted = [*dims.DATASETS, "edges"]
     return worklist.plan_urls(inputs.fx_counties(spark, sf), 2025, wanted, "out", repeat=True)
 
 
@@ -199,25 +199,19 @@ SELECT dataset, state_fips, county, url FROM (
       (VALUES {_DATASETS}) d(dataset)
     WHERE dataset NOT IN ('EDGES', 'ADDR', 'FACES', 'FEATNAMES')))""")
 def url_plan(spark, sf):
-    planned = worklist.plan_urls(inputs.fx_counties(spark, sf), 2025, [d for d, _ in dims.DATASETS])
+    planned = worklist.plan_urls(inputs.fx_counties(spark, sf), 2025, list(dims.DATASETS))
     return planned.select("dataset", "state_fips", "county", "url")
 
 
-def _links_sql() -> str:
-    pattern = pages.ANCHOR_HREF.replace("'", "''")
-    skipped = pages.NOT_MARKUP.replace("'", "''")
-    text = "CASE WHEN raw LIKE '\"%' OR raw LIKE '''%' THEN substr(raw, 2, length(raw) - 2) ELSE raw END"
-    for reference, character in pages.REFERENCES:
-        text = f"replace({text}, '{reference}', '{character.replace(chr(39), chr(39) * 2)}')"
-    return f"""
+# Anchors of these pages have one attribute, in double quotes.
+_LINKS_SQL = """
 SELECT DISTINCT page_id, href, url || href AS absolute FROM (
-  SELECT page_id, url, {text} AS href FROM (
-    SELECT page_id, url, unnest(regexp_extract_all(
-      regexp_replace(html, '{skipped}', '', 'g'), '{pattern}', 1)) AS raw FROM pages))
+  SELECT page_id, url, replace(split_part(piece, '"', 1), '&amp;', '&') AS href
+  FROM (SELECT page_id, url, unnest(string_split(html, '<a href="')[2:]) AS piece FROM pages))
 WHERE href <> '' AND href NOT LIKE '../%'"""
 
 
-@query("link_extract", _links_sql())
+@query("link_extract", _LINKS_SQL)
 def link_extract(spark, sf):
     found = pages.page_links(table(spark, sf, "pages"), ["page_id", "url"])
     absolute = names.absolute_link(F.col("url"), F.col("href"))
@@ -312,7 +306,7 @@ _CHECK_STATES = _request_sql(
     "states", "state_fips", _PAD, dims.default_states(True), dims.default_states()
 )
 _CHECK_DATASETS = _request_sql(
-    "datasets", "dataset", "upper(trim(list[i]))", [d for d, _ in dims.DATASETS], dims.DEFAULT_DATASETS
+    "datasets", "dataset", "upper(trim(list[i]))", list(dims.DATASETS), dims.DEFAULT_DATASETS
 )
 
 
@@ -578,7 +572,7 @@ def worklist_retry(spark, sf):
 
 
 @query("outcome_counts", f"WITH {FX_MARKS}" + """,
-o AS (SELECT state_fips, kind, kind = 'failed' AND (lower(error) LIKE '%not found%' OR error LIKE '%404%') AS absent
+o AS (SELECT state_fips, kind, kind = 'failed' AND (lower(error) LIKE '%not found%' OR list_contains(string_split_regex(error, '[^0-9]+'), '404')) AS absent
   FROM fx_marks WHERE kind IN ('completed', 'failed'))
 SELECT state_fips, 0 AS level, count(*) FILTER (WHERE kind = 'completed') AS successful,
   count(*) FILTER (WHERE kind = 'failed' AND NOT absent) AS failed, count(*) FILTER (WHERE absent) AS not_found
@@ -639,28 +633,41 @@ def manifest_entries(spark, sf):
 
 
 @query("manifest_document", f"WITH {_ALL}" + """
-SELECT section, part, count(*) AS n_entries FROM (
-  SELECT 'files' AS section, NULL AS part FROM files
-  UNION ALL SELECT list_type, NULL FROM url_lists
-  UNION ALL SELECT 'states', NULL FROM states
-  UNION ALL SELECT 'discovered_urls', state_fips FROM discovered)
-GROUP BY section, part""")
+SELECT 'files' AS section, state_fips AS part, path AS entry, status || ' ' || url || ' ' || coalesce(error, '') AS note,
+  size AS first, bytes_downloaded AS second, timestamp AS at FROM files
+UNION ALL SELECT list_type, NULL, url, NULL, NULL, NULL, NULL FROM url_lists
+UNION ALL SELECT 'states', state_fips, name, CAST(discovered AS VARCHAR), completed, failed, last_updated FROM states
+UNION ALL SELECT 'discovered_urls', state_fips, url, NULL, NULL, NULL, NULL FROM discovered""")
 def manifest_document(spark, sf):
-    lines = manifest_json.document_lines({
+    """The manifest written as several documents, read back and put together."""
+    path = scratch_dir(spark, "documents")
+    manifest_json.write_document({
         "files": _files(spark, sf), "url_lists": _lists(spark, sf),
         "states": _states(spark, sf), "discovered_urls": _discovered(spark, sf),
-    })
-    sections = F.array(*map(F.lit, ("files", "completed", "failed", "states", "discovered_urls")))
-    counted = lines.where("step = 1").groupBy("section", "part").agg(F.count(F.lit(1)).alias("n_entries"))
-    return counted.select(F.get(sections, F.col("section") - 1).alias("section"), "part", "n_entries")
+    }, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    back = manifest_json.read_document(spark, path)
+
+    def section(name, part="NULL", entry="url", note="NULL", first="NULL", second="NULL", at="NULL", source=None):
+        return back[source or name].selectExpr(
+            f"'{name}' AS section" if name != "url_lists" else "list_type AS section", f"CAST({part} AS STRING) AS part",
+            f"{entry} AS entry", f"CAST({note} AS STRING) AS note", f"CAST({first} AS BIGINT) AS first",
+            f"CAST({second} AS BIGINT) AS second", f"CAST({at} AS DOUBLE) AS at",
+        )
+
+    note = "concat_ws(' ', status, url, coalesce(error, ''))"
+    return section("files", "state_fips", "path", note, "size", "bytes_downloaded", "timestamp").unionAll(
+        section("url_lists")
+    ).unionAll(section("states", "state_fips", "name", "discovered", "completed", "failed", "last_updated")).unionAll(
+        section("discovered_urls", "state_fips")
+    )
 
 
 def _stream(spark, sf, view: str, events: Callable) -> DataFrame:
     """Write the events in call order, several files to a batch, and run the stream dry."""
     root = scratch_dir(spark, "stream")
     rows = events(spark, sf)
-    rows.repartitionByRange(4, "seq").write.parquet(f"{root}/events")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/events")
+    rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "seq").write.parquet(f"{root}/events")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/events")
     manifest_stream.start_view(stream, view, root).awaitTermination()
     return manifest_stream.current(spark, view, root)
 
@@ -684,6 +691,17 @@ def counters_stream(spark, sf):
     return _stream(spark, sf, "mark_counters", inputs.fx_marks)
 
 
+@query("states_stream", f"WITH {FX_MARKS}, {FX_CALLS}, {_STATES} SELECT * FROM states")
+def states_stream(spark, sf):
+    root = scratch_dir(spark, "stream")
+    for view, events in (("mark_counters", inputs.fx_marks), ("called_urls", inputs.fx_calls)):
+        rows = events(spark, sf)
+        rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "seq").write.parquet(f"{root}/{view}_in")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/{view}_in")
+        manifest_stream.start_view(stream, view, root).awaitTermination()
+    return manifest_stream.states(spark, root)
+
+
 @query("discovered_stream", f"WITH {_DISCOVERED} SELECT * FROM discovered")
 def discovered_stream(spark, sf):
     return _stream(spark, sf, "discovered_urls", inputs.fx_calls)
@@ -736,6 +754,35 @@ def consolidate_report(spark, sf):
     )
 
 
+@query("consolidate_by_name", """
+SELECT l_orderkey AS tlid, CAST(l_partkey AS VARCHAR) AS fromhn, l_linestatus AS side, 'tl_2025_13000_addr' AS source_table,
+  NULL AS reason FROM lineitem WHERE l_returnflag = 'A'
+UNION ALL
+SELECT l_orderkey, NULL, l_linestatus, 'tl_2025_13001_addr', NULL FROM lineitem WHERE l_returnflag = 'N'
+UNION ALL
+SELECT NULL, NULL, NULL, name, (SELECT CAST(count(*) AS VARCHAR) || ' rows do not fit' FROM lineitem WHERE l_returnflag = 'R')
+FROM (VALUES ('tl_2025_13002_addr'), ('tl_2025_13003_addr')) r(name)""")
+def consolidate_by_name(spark, sf):
+    """By name: columns in another order and one too few fit; fractions and words for whole numbers do not."""
+    root = scratch_dir(spark, "counties")
+    item = table(spark, sf, "lineitem")
+    shapes = (
+        ("A", ("l_orderkey AS tlid", "CAST(l_partkey AS STRING) AS fromhn", "l_linestatus AS side")),
+        ("N", ("l_linestatus AS side", "CAST(l_orderkey AS STRING) AS tlid")),
+        ("R", ("l_linestatus AS side", "l_orderkey + 0.5D AS tlid")),
+        ("R", ("l_linestatus AS side", "concat('x', l_orderkey) AS tlid")),
+    )
+    paths = {}
+    for number, (flag, columns) in enumerate(shapes):
+        name = f"tl_2025_1300{number}_addr"
+        item.where(F.col("l_returnflag") == flag).selectExpr(*columns).write.parquet(f"{root}/{name}")
+        paths[name] = f"{root}/{name}"
+    result = con.consolidate(spark, con.path_sources(spark, paths), by_name=True)
+    return result.rows.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        result.rejects, allowMissingColumns=True
+    )
+
+
 @query("append_by_position", """
 SELECT c_custkey AS c_custkey, c_name AS c_name FROM customer
 UNION ALL SELECT s_suppkey, s_name FROM supplier""")
@@ -777,8 +824,9 @@ SELECT o_orderkey AS tlid, o_orderpriority AS fullname, count(*) AS n_ranges,
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2""")
 def lookup_tlid(spark, sf):
     (edges, edges_path), (addr, addr_path) = (_scratch_table(spark, n) for n in ("edges", "addr"))
-    layout.write_bucketed(_edges(spark, sf), edges, "tlid", 8, edges_path)
-    layout.write_bucketed(_addr(spark, sf), addr, "tlid", 8, addr_path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layout.write_bucketed(_edges(spark, sf), edges, "tlid", buckets, edges_path)
+    layout.write_bucketed(_addr(spark, sf), addr, "tlid", buckets, addr_path)
     joined = layout.join_on_id(spark, edges, addr)
     return joined.groupBy("tlid", "fullname").agg(
         F.count(F.lit(1)).alias("n_ranges"), F.sum("quantity").alias("quantity")
@@ -793,21 +841,20 @@ def lookup_zip(spark, sf):
     name, path = _scratch_table(spark, "addr_by_zip")
     layout.write_sorted(_addr(spark, sf), name, ["zip"], ["tlid"], path)
     asked = table(spark, sf, "supplier").select("s_name", code(F.col("s_suppkey"), 5).alias("zip"))
-    return asked.join(spark.table(name), "zip", "left").groupBy("s_name", "zip").agg(
-        F.count("tlid").alias("n_ranges"), F.count_distinct("tlid").alias("n_lines")
-    )
+    # Summed up by zip first: a crowded zip is then one row on either side of the join.
+    by_line = spark.table(name).groupBy("zip", "tlid").agg(F.count(F.lit(1)).alias("n"))
+    by_zip = by_line.groupBy("zip").agg(F.sum("n").alias("n_ranges"), F.count("tlid").alias("n_lines"))
+    return asked.join(by_zip, "zip", "left").na.fill(0, ["n_ranges", "n_lines"])
 
 
 @query("lookup_name", """
-SELECT o_orderpriority AS fullname, count(*) AS n_lines,
-  CAST(sum(CAST(floor(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
-FROM orders GROUP BY 1""")
+SELECT o_orderkey AS tlid, o_orderpriority AS fullname, CAST(floor(o_totalprice * 100) AS BIGINT) AS cents
+FROM orders WHERE o_orderpriority = (SELECT max(o_orderpriority) FROM orders)""")
 def lookup_name(spark, sf):
     name, path = _scratch_table(spark, "edges_by_fullname")
     layout.write_sorted(_edges(spark, sf), name, ["fullname"], ["tlid"], path)
-    return spark.table(name).groupBy("fullname").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum("cents").alias("cents")
-    )
+    last = _edges(spark, sf).agg(F.max("fullname")).first()[0]
+    return layout.look_up(spark, name, fullname=last)
 
 
 @query("lookup_place", """
@@ -828,9 +875,10 @@ def lookup_place(spark, sf):
 
 
 @query("lookup_county", """
-SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS statefp, lower(c_mktsegment) AS countyfp,
-  count(*) AS n_lines, CAST(sum(CAST(floor(c_acctbal * 100) AS BIGINT)) AS BIGINT) AS cents
-FROM customer GROUP BY 1, 2""")
+SELECT c_custkey AS tlid, CAST(floor(c_acctbal * 100) AS BIGINT) AS cents,
+  lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS statefp, lower(c_mktsegment) AS countyfp
+FROM customer WHERE c_nationkey = (SELECT max(c_nationkey) FROM customer)
+  AND lower(c_mktsegment) = (SELECT min(lower(c_mktsegment)) FROM customer)""")
 def lookup_county(spark, sf):
     name, path = _scratch_table(spark, "edges_by_county")
     rows = table(spark, sf, "customer").select(
@@ -838,16 +886,15 @@ def lookup_county(spark, sf):
         code(F.col("c_nationkey"), 2).alias("statefp"), F.lower("c_mktsegment").alias("countyfp"),
     )
     layout.write_partitioned(rows, name, ["statefp", "countyfp"], path)
-    return spark.table(name).groupBy("statefp", "countyfp").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum("cents").alias("cents")
-    )
+    asked = rows.agg(F.max("statefp").alias("statefp"), F.min("countyfp").alias("countyfp")).first()
+    return layout.look_up(spark, name, statefp=asked.statefp, countyfp=asked.countyfp)
 
 
 @query("manifest_by_state", "WITH " + _FILES + " SELECT * FROM files")
 def manifest_by_state(spark, sf):
     path = scratch_dir(spark, "manifest")
     layout.write_manifest(_files(spark, sf), path)
-    return con.read_partitions(spark, path, ["state_fips"])
+    return layout.read_manifest(spark, path)
 
 
 @query("relaid_files", ORACLES["name_parse"])
@@ -860,35 +907,37 @@ def relaid_files(spark, sf):
 # Geometry and files ---------------------------------------------------------
 
 def _points(spark, sf):
-    dimension = [F.get("embedding", F.lit(i)).cast("double") for i in range(2)]
+    """All 64 values of an embedding as 32 points."""
+    pair = [F.get("embedding", F.col("n") * 2 + i).cast("double") for i in range(2)]
     return table(spark, sf, "embeddings").select(
-        "vec_id", dimension[0].alias("x"), dimension[1].alias("y")
-    )
+        "vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("n")
+    ).select("vec_id", "n", pair[0].alias("x"), pair[1].alias("y"))
+
 
+_POINTS = """
+points AS (
+  SELECT vec_id, n, CAST(embedding[2 * n + 1] AS DOUBLE) AS x, CAST(embedding[2 * n + 2] AS DOUBLE) AS y
+  FROM embeddings, (SELECT CAST(unnest(range(32)) AS INTEGER) AS n))"""
 
-@query("bbox_window", """
-SELECT vec_id, xmin, ymin FROM (
-  SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS xmin, CAST(embedding[2] AS DOUBLE) AS ymin FROM embeddings)
-WHERE xmin BETWEEN -0.1 AND 0.15 AND ymin BETWEEN -0.05 AND 0.2""")
+
+@query("bbox_window", f"WITH {_POINTS}" + """
+SELECT vec_id, n, x AS xmin, y AS ymin FROM points WHERE x BETWEEN -0.1 AND 0.15 AND y BETWEEN -0.05 AND 0.2""")
 def bbox_window(spark, sf):
     path = scratch_dir(spark, "spatial")
     boxes = _points(spark, sf).select(
-        "vec_id", F.col("x").alias("xmin"), F.col("y").alias("ymin"),
+        "vec_id", "n", F.col("x").alias("xmin"), F.col("y").alias("ymin"),
         F.col("x").alias("xmax"), F.col("y").alias("ymax"),
     )
     layout.write_spatial(boxes, path, size=0.02)
     found = layout.in_window(spark.read.parquet(path), -0.1, -0.05, 0.15, 0.2)
-    return found.select("vec_id", "xmin", "ymin")
+    return found.select("vec_id", "n", "xmin", "ymin")
 
 
-@query("wkb_roundtrip", """
-SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, 4326 AS srid,
-  21 AS n_bytes FROM embeddings""")
+@query("wkb_roundtrip", f"WITH {_POINTS} SELECT vec_id, n, x, y, 4326 AS srid, 21 AS n_bytes FROM points")
 def wkb_roundtrip(spark, sf):
-    coded = _points(spark, sf).select("vec_id", geometry.point_wkb(F.col("x"), F.col("y")).alias("wkb"))
-    return coded.select("vec_id", geometry.wkb_point(F.col("wkb")).alias("p"), F.length("wkb").alias("n_bytes")).select(
-        "vec_id", "p.x", "p.y", geometry.srid().alias("srid"), "n_bytes"
-    )
+    coded = _points(spark, sf).select("vec_id", "n", geometry.point_wkb(F.col("x"), F.col("y")).alias("wkb"))
+    found = coded.select("vec_id", "n", geometry.wkb_point(F.col("wkb")).alias("p"), F.length("wkb").alias("n_bytes"))
+    return found.select("vec_id", "n", "p.x", "p.y", geometry.srid().alias("srid"), "n_bytes")
 
 
 _PART_FIELDS = [
@@ -897,41 +946,74 @@ _PART_FIELDS = [
     roundtrip.DbfField("p_brand", "C", 20),
     roundtrip.DbfField("p_size", "N", 6),
     roundtrip.DbfField("price", "N", 14, 2),
+    roundtrip.DbfField("ratio", "F", 20, 6),
+    roundtrip.DbfField("wide", "N", 20),
+    roundtrip.DbfField("day", "D", 8),
+    roundtrip.DbfField("flag", "L", 1),
 ]
 
 
 def _parts(spark, sf):
-    return table(spark, sf, "part").withColumn("price", F.col("p_retailprice").cast("decimal(12,2)"))
+    """Parts with every type that a text field can hold, blanks among them; every seventh is deleted."""
+    key = F.col("p_partkey")
+    return table(spark, sf, "part").withColumns({
+        "price": F.col("p_retailprice").cast("decimal(12,2)"),
+        "p_size": F.when(key % 5 != 0, F.col("p_size")),
+        "ratio": F.col("p_retailprice") / 8,
+        "wide": key.cast("decimal(20,0)") + F.lit("10000000000000000000").cast("decimal(20,0)"),
+        "day": F.when(key % 3 != 0, F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (key % 999).cast("int")), "yyyyMMdd")),
+        "flag": F.when(key % 4 == 0, "T").when(key % 4 == 1, "F"),
+        "deleted": key % 7 == 0,
+    })
+
 
+_PART_SQL = """
+SELECT p_partkey, p_name, p_brand, CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_size AS BIGINT) END AS p_size,
+  p_retailprice AS price, p_retailprice / 8 AS ratio, CAST(10000000000000000000 + p_partkey AS VARCHAR) AS wide,
+  CASE WHEN p_partkey % 3 <> 0 THEN CAST(DATE '2020-01-01' + CAST(p_partkey % 999 AS INTEGER) AS VARCHAR) END AS day,
+  CASE p_partkey % 4 WHEN 0 THEN true WHEN 1 THEN false END AS flag
+FROM part WHERE p_partkey % 7 <> 0"""
 
-_PART_SQL = "SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size, p_retailprice AS price FROM part"
+
+def _plain(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"wide": F.col("wide").cast("string"), "day": F.col("day").cast("string")})
 
 
 @query("dbf_roundtrip", _PART_SQL)
 def dbf_roundtrip(spark, sf):
     path = scratch_dir(spark, "dbf")
-    roundtrip.write_files(_parts(spark, sf), _PART_FIELDS, path, "parts")
-    return dbf.read_dbf(spark, path)
+    roundtrip.write_files(_parts(spark, sf), _PART_FIELDS, path, "parts", deleted="deleted")
+    return _plain(dbf.read_dbf(spark, path))
 
 
 _LINE_FIELDS = [roundtrip.DbfField("vec_id", "N", 12), roundtrip.DbfField("label", "N", 8)]
-_LINE_SQL = """
-SELECT vec_id, CAST(label AS BIGINT) AS label, least(p[1], p[3], p[5], p[7]) AS xmin, least(p[2], p[4], p[6], p[8]) AS ymin,
-  greatest(p[1], p[3], p[5], p[7]) AS xmax, greatest(p[2], p[4], p[6], p[8]) AS ymax, {extra}
-FROM (SELECT vec_id, label, CAST(embedding[1:8] AS DOUBLE[]) AS p FROM embeddings)"""
+_LINE_SQL = f"WITH {_POINTS}" + """
+SELECT vec_id, CAST(label AS BIGINT) AS label, n, x, y, xmin, ymin, xmax, ymax, 4269 AS srid FROM points
+JOIN (SELECT vec_id, min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax FROM points GROUP BY 1) USING (vec_id)
+JOIN embeddings USING (vec_id)"""
 
 
 def _lines(spark, sf):
-    return table(spark, sf, "embeddings").withColumn("points", F.slice("embedding", 1, 8))
+    return table(spark, sf, "embeddings").withColumn("points", F.col("embedding"))
+
+
+def _line_points(rows: DataFrame) -> DataFrame:
+    """One row per point of the geometry."""
+    flat = geometry.wkb_coordinates(F.col("geometry"))
+    apart = rows.select(
+        "vec_id", "label", "xmin", "ymin", "xmax", "ymax", "srid", flat.alias("flat")
+    ).select("*", F.explode(F.expr("sequence(0, cast(size(flat) div 2 AS int) - 1)")).alias("n"))
+    return apart.select(
+        "vec_id", "label", "n", F.get("flat", F.col("n") * 2).alias("x"), F.get("flat", F.col("n") * 2 + 1).alias("y"),
+        "xmin", "ymin", "xmax", "ymax", "srid",
+    )
 
 
-@query("shp_roundtrip", _LINE_SQL.format(extra="91 AS n_bytes"))
+@query("shp_roundtrip", _LINE_SQL)
 def shp_roundtrip(spark, sf):
-    # Two parts of two points: a multi-line of 9 + 2 * (9 + 32) bytes.
     path = scratch_dir(spark, "shp")
-    roundtrip.write_files(_lines(spark, sf), _LINE_FIELDS, path, "lines", "points", [0, 2])
-    rows = shapefile.read_shapefile(spark, path)
-    return rows.withColumn("n_bytes", F.length("geometry")).drop("geometry")
+    roundtrip.write_files(_lines(spark, sf), _LINE_FIELDS, path, "lines", "points", [0])
+    return _line_points(shapefile.read_shapefile(spark, path))
 
 
 @query("zip_expand", "SELECT count(*) AS n_records, '.dbf' AS suffix, 0 AS n_errors FROM part")
@@ -950,20 +1032,19 @@ def zip_expand(spark, sf):
 @query("zip_tables", _PART_SQL)
 def zip_tables(spark, sf):
     path = scratch_dir(spark, "zip")
-    roundtrip.write_files(_parts(spark, sf), _PART_FIELDS, path, "parts", zipped=True)
+    roundtrip.write_files(_parts(spark, sf), _PART_FIELDS, path, "parts", zipped=True, deleted="deleted")
     archives = files.list_archives(spark, path)
     rows = archive_tables.read_tables(archives, archive_tables.archive_schema(archives))
-    return rows.where("error IS NULL").drop("error", "source_table")
+    return _plain(rows.where("error IS NULL").drop("error", "source_table"))
 
 
-@query("zip_shapes", _LINE_SQL.format(extra="91 AS n_bytes"))
+@query("zip_shapes", _LINE_SQL)
 def zip_shapes(spark, sf):
     path = scratch_dir(spark, "zip")
-    roundtrip.write_files(_lines(spark, sf), _LINE_FIELDS, path, "lines", "points", [0, 2], zipped=True)
+    roundtrip.write_files(_lines(spark, sf), _LINE_FIELDS, path, "lines", "points", [0, 16], zipped=True)
     archives = files.list_archives(spark, path)
     rows = archive_tables.read_tables(archives, archive_tables.archive_schema(archives))
-    rows = rows.where("error IS NULL").drop("error", "source_table")
-    return rows.withColumn("n_bytes", F.length("geometry")).drop("geometry")
+    return _line_points(rows.where("error IS NULL"))
 
 
 # Orders and limits ----------------------------------------------------------

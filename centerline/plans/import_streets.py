@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from centerline.functions import names
 from centerline.operators import consolidate
 from centerline.plans import schemas
+from centerline.session import scratch_dir
 from centerline.sources import archive_tables, files
 
 FILE_KEYS = ["file_year", "file_state", "file_county"]
@@ -21,39 +22,48 @@ def load_dataset(
 ) -> str:
     """Load the archives of a dataset below ``out``, in folders by year, state, county.
 
-    The archives are read once.  Rows of ``error`` tell which archive or table
-    failed; loading again replaces the counties it loads.
+    The archives are read once, into the scratch folder.  Rows then replace the
+    counties they belong to; what could not be read is listed beside the data
+    (``load_errors``) and leaves the counties loaded before as they are.
     """
     archives = files.list_archives(spark, root, recursive, state, dataset)
     schema = schema or archive_tables.archive_schema(archives, dates_as_text)
-    rows = archive_tables.read_tables(archives, schema)
+    staged = scratch_dir(spark, "load")
+    archive_tables.read_tables(archives, schema).write.parquet(staged)
+    rows = spark.read.parquet(staged)
     # The name test on archives also accepts longer dataset names.
-    rows = rows.where(names.table_of_type(F.col("source_table"), dataset) | F.col("error").isNotNull())
+    good = rows.where(names.table_of_type(F.col("source_table"), dataset) & F.col("error").isNull()).drop("error")
     parsed = names.parse_name(F.col("source_table"))
-    keyed = rows.withColumns({
+    keyed = good.withColumns({
         key: parsed[part] for key, part in zip(FILE_KEYS, ("year", "state", "county"))
     })
     target = f"{out}/{dataset}"
     consolidate.write_partitions(keyed, target, FILE_KEYS, idempotent)
+    failed = rows.where("error IS NOT NULL").select("source_table", "error").distinct()
+    failed.write.mode("overwrite").parquet(_errors(target))
     return target
 
 
+def _errors(loaded: str) -> str:
+    return f"{loaded.rstrip('/')}_errors"
+
+
 def load_errors(spark: SparkSession, loaded: str) -> DataFrame:
-    failed = consolidate.read_partitions(spark, loaded, FILE_KEYS).where("error IS NOT NULL")
-    return failed.select("source_table", "error").distinct()
+    """What the last load could not read."""
+    return spark.read.schema("source_table string, error string").parquet(_errors(loaded))
 
 
 def loaded_rows(spark: SparkSession, loaded: str, dataset: str, year: str | None = None) -> DataFrame:
-    """Consolidated rows of a dataset: the declared columns that the files hold.
+    """Consolidated rows of a dataset with all columns of the files, the declared ones first.
 
     One scan of the partitioned folder; ``year`` prunes folders.
     """
-    rows = consolidate.read_partitions(spark, loaded, FILE_KEYS).where("error IS NULL")
+    rows = consolidate.read_partitions(spark, loaded, FILE_KEYS)
     if year:
         rows = rows.where(F.col("file_year") == year)
-    declared = spark.createDataFrame([], schemas.CONSOLIDATED[dataset]).columns
-    boxes = [c for c in ("xmin", "ymin", "xmax", "ymax") if c in rows.columns]
-    return rows.select(*[c for c in declared if c in rows.columns], *boxes)
+    declared = [c for c in spark.createDataFrame([], schemas.CONSOLIDATED[dataset]).columns if c in rows.columns]
+    others = [c for c in rows.columns if c not in (*declared, *FILE_KEYS, "source_table")]
+    return rows.select(*declared, *others)
 
 
 def import_streets(

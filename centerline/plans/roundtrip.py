@@ -29,12 +29,14 @@ class DbfField:
     decimals: int = 0
 
 
-def record_text(fields: list[DbfField]) -> Column:
+def record_text(fields: list[DbfField], deleted: str | None = None) -> Column:
     """One record as text: a live flag, then each field padded to its width."""
-    parts = [F.lit(" ")]
+    parts = [F.when(F.col(deleted), "*").otherwise(" ") if deleted else F.lit(" ")]
     for f in fields:
         value = F.coalesce(F.col(f.name).cast("string"), F.lit(""))
-        parts.append(F.rpad(value, f.width, " ") if f.code == "C" else F.lpad(value, f.width, " "))
+        wide = F.raise_error(F.concat(F.lit(f"too wide for {f.name}: "), value)).cast("string")
+        value = F.when(F.length(value) <= f.width, value).otherwise(wide)
+        parts.append(F.rpad(value, f.width, " ") if f.code in "CDL" else F.lpad(value, f.width, " "))
     return F.concat(*parts)
 
 
@@ -87,12 +89,13 @@ def zip_bytes(members: dict[str, bytes]) -> bytes:
 def write_files(
     rows: DataFrame, fields: list[DbfField], path: str, stem: str,
     points: str | None = None, parts: list[int] | None = None, zipped: bool = False,
+    deleted: str | None = None,
 ) -> None:
     """Write the rows as DBF files, shapefiles (with a point list), or zip archives.
 
     A file is named by its task and batch, so a repeated task writes it again.
     """
-    columns = [record_text(fields).alias("record")]
+    columns = [record_text(fields, deleted).alias("record")]
     if points:
         columns.append(F.col(points).cast("array<double>").alias("points"))
 
@@ -105,6 +108,7 @@ def write_files(
             members = {f"{name}.dbf": dbf_bytes(fields, batch.column(0).to_pylist())}
             if points:
                 flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+                members[f"{name}.prj"] = b'GEOGCS["GCS_North_American_1983",DATUM["D_North_American_1983"]]'
                 members[f"{name}.shp"], members[f"{name}.shx"] = line_bytes(
                     flat.reshape(batch.num_rows, -1, 2), parts or [0]
                 )

@@ -2,52 +2,72 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from centerline.sources import dbf, files, ranges, shapefile
 
-SUFFIXES = (".shp", ".shx", ".dbf")
+SUFFIXES = (".shp", ".shx", ".dbf", ".cpg", ".prj")
 
-# Tables up to this size are decoded once and held until they are complete.
-HOLD_BYTES = 128 << 20
+# What a table that is no good raises; faults of the store are not among them.
+BAD_TABLE = (*files.BAD_ARCHIVE, struct.error, LookupError)
 
-
-def _tables(path: str, stem: str | None = None) -> dict[str, dict[str, bytes]]:
-    """Bytes by table stem and suffix."""
-    tables: dict[str, dict[str, bytes]] = {}
-    for member, content in files.zip_members(path, SUFFIXES, stem):
-        tables.setdefault(ranges.stem_of(member), {})[member[-4:].lower()] = content
-    return tables
+_FIELDS = "shaped boolean, position int, name string, kind string"
 
 
 def archive_schema(archives: DataFrame, dates_as_text: bool = False) -> T.StructType:
-    """Schema of the first table found, taken from its header."""
-    for row in archives.select("path").toLocalIterator():
-        try:
-            tables = _tables(row["path"])
-        except Exception:  # a bad archive is reported when it is read
-            continue
-        for parts in tables.values():
-            if ".dbf" in parts:
-                header = dbf.read_header(pa.BufferReader(parts[".dbf"]))
-                build = shapefile.shapefile_schema if ".shp" in parts else dbf.header_schema
-                return build(header, dates_as_text=dates_as_text)
-    raise ValueError("no archive holds a table to take a schema from")
-
-
-def read_tables(
-    archives: DataFrame, schema: T.StructType, large: int = files.LARGE_ARCHIVE, **options
-) -> DataFrame:
+    """Merged columns of all tables in the archives.
+
+    Tasks read the headers, each only as far as it reaches; what comes back is one
+    row per different field.  Tables that are no good are left to the reading.
+    """
+
+    def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, stem in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                try:
+                    with files.open_archive(path) as archive:
+                        members = files.members_of(archive, SUFFIXES, stem)
+                        shaped = any(m.filename.lower().endswith(".shp") for m in members)
+                        for member in members:
+                            if not member.filename.lower().endswith(".dbf"):
+                                continue
+                            with archive.open(member) as file:
+                                start = file.read(32)
+                                body = file.read(max(int.from_bytes(start[8:10], "little") - 32, 0))
+                            header = dbf.read_header(pa.BufferReader(start + body), whole=False)
+                            fields = dbf.header_schema(header, dates_as_text=dates_as_text).fields
+                            yield pa.RecordBatch.from_pydict({
+                                "shaped": pa.array([shaped] * len(fields), pa.bool_()),
+                                "position": pa.array(range(len(fields)), pa.int32()),
+                                "name": pa.array([f.name for f in fields], pa.string()),
+                                "kind": pa.array([f.dataType.simpleString() for f in fields], pa.string()),
+                            })
+                except BAD_TABLE:
+                    continue
+
+    found = files.archive_units(archives).mapInArrow(headers, _FIELDS)
+    rows = found.groupBy("name", "kind").agg(
+        F.min("position").alias("position"), F.bool_or("shaped").alias("shaped")
+    ).orderBy("position", "name", "kind").collect()
+    if not rows:
+        raise ValueError("no archive holds a table to take a schema from")
+    merged = dbf.merged_schema((r.name, T.DataType.fromDDL(r.kind)) for r in rows)
+    return T.StructType(merged.fields + (shapefile.GEOMETRY_FIELDS if any(r.shaped for r in rows) else []))
+
+
+def read_tables(archives: DataFrame, schema: T.StructType, **options) -> DataFrame:
     """Rows of every table in the archives, with ``source_table`` and ``error``.
 
-    ``archives`` is a listing with ``path`` and ``length``.  A table with a ``.shp``
-    member is read with its geometry; a lone ``.dbf`` is read as it is.  An archive
-    or table that fails gives one error row and no other.
+    ``archives`` is a listing with ``path``.  A table with a ``.shp`` member is read
+    with its geometry; a lone ``.dbf`` is read as it is.  A table that fails gives
+    one error row and no other; other tables of its archive are read.
     """
     out = T.StructType(schema.fields + [
         T.StructField("source_table", T.StringType()), T.StructField("error", T.StringType()),
@@ -55,37 +75,28 @@ def read_tables(
     options = ranges.lower_options(options) | {"sourcecolumn": "source_table", "errorcolumn": "error"}
     arrow = to_arrow_schema(out)
 
-    def table_rows(stem: str, parts: dict[str, bytes]) -> Iterator[pa.RecordBatch]:
+    def rows(stem: str, parts: dict[str, bytes]) -> list[pa.RecordBatch]:
         open_ = {suffix: pa.BufferReader(content) for suffix, content in parts.items()}
+        lacking = [s for s in (".shx", ".dbf") if ".shp" in parts and s not in parts]
+        if lacking:
+            raise ValueError(f"no {' and no '.join(lacking)} member")
         if ".shp" in parts:
-            yield from shapefile.shapefile_batches(
-                open_[".shp"], open_[".shx"], open_[".dbf"], arrow, options, stem
-            )
-        elif ".dbf" in parts:
-            yield from dbf.dbf_batches(open_[".dbf"], arrow, options, stem)
-
-    def whole_table(stem: str, parts: dict[str, bytes]) -> Iterator[pa.RecordBatch]:
-        """Rows of a table that is known to decode to its end."""
-        if sum(map(len, parts.values())) <= HOLD_BYTES:
-            return iter(list(table_rows(stem, parts)))
-        for _ in table_rows(stem, parts):
-            pass
-        return table_rows(stem, parts)
+            return list(shapefile.shapefile_batches(
+                open_[".shp"], open_[".shx"], open_[".dbf"], arrow, options, stem, page=parts.get(".cpg"),
+                projection=parts.get(".prj", b"").decode("latin-1"),
+            ))
+        return list(dbf.dbf_batches(open_[".dbf"], arrow, options, stem, page=parts.get(".cpg"))) if ".dbf" in parts else []
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, stem in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
-                    tables = _tables(path, stem)
-                except Exception as problem:  # no zip file
-                    yield ranges.error_batch(arrow, options, ranges.stem_of(path), problem)
-                    continue
-                for table, parts in tables.items():
-                    try:
-                        complete = whole_table(table, parts)
-                    except Exception as problem:
-                        yield ranges.error_batch(arrow, options, table, problem)
-                    else:
-                        yield from complete
-
-    return files.archive_units(archives, large).mapInArrow(decode, out)
+                    with files.open_archive(path) as archive:
+                        members = files.members_of(archive, SUFFIXES, stem)
+                        parts = {m.filename[-4:].lower(): archive.read(m) for m in members}
+                    # A table counts as a whole or not at all, so its rows wait until the last is decoded.
+                    yield from rows(stem, parts)
+                except BAD_TABLE as problem:
+                    yield ranges.error_batch(arrow, options, stem or ranges.stem_of(path), problem)
+
+    return files.archive_units(archives).mapInArrow(decode, out)

@@ -1,28 +1,46 @@
 """DBF tables as a Spark source.
 
 A DBF file is a header and fixed-width text records, so a task reads its own
-range of records; fields are decoded a whole column at a time.
+range of records; fields are decoded a whole column at a time.  The text of a
+table is in the encoding its header or its ``.cpg`` file names.
 """
 
 from __future__ import annotations
 
+import codecs
+import re
 import struct
 import warnings
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from centerline.functions.typemap import dbf_spark_type
+from centerline.functions.typemap import dbf_spark_type, wider_type
 from centerline.sources import ranges
 
 
+# Language bytes of a header and the encodings they stand for.
+LANGUAGES = {
+    0x01: "cp437", 0x02: "cp850", 0x03: "cp1252", 0x08: "cp865", 0x09: "cp437", 0x0A: "cp850", 0x0B: "cp437",
+    0x0D: "cp437", 0x0E: "cp850", 0x0F: "cp437", 0x10: "cp850", 0x11: "cp437", 0x12: "cp850", 0x13: "cp932",
+    0x14: "cp850", 0x15: "cp437", 0x16: "cp850", 0x17: "cp865", 0x18: "cp437", 0x19: "cp437", 0x1A: "cp850",
+    0x1B: "cp437", 0x1C: "cp863", 0x1D: "cp850", 0x1F: "cp852", 0x22: "cp852", 0x23: "cp852", 0x24: "cp860",
+    0x25: "cp850", 0x26: "cp866", 0x37: "cp850", 0x40: "cp852", 0x4D: "cp936", 0x4E: "cp949", 0x4F: "cp950",
+    0x50: "cp874", 0x57: "cp1252", 0x58: "cp1252", 0x59: "cp1252", 0x64: "cp852", 0x65: "cp866", 0x66: "cp865",
+    0x67: "cp861", 0x6A: "cp737", 0x6B: "cp857", 0x6C: "cp863", 0x78: "cp950", 0x79: "cp949", 0x7A: "cp936",
+    0x7B: "cp932", 0x7C: "cp874", 0x86: "cp737", 0x87: "cp852", 0x88: "cp857", 0xC8: "cp1250", 0xC9: "cp1251",
+    0xCA: "cp1254", 0xCB: "cp1253", 0xCC: "cp1257",
+}
+
+
 @dataclass
 class Field:
     name: str
@@ -38,10 +56,14 @@ class Header:
     length: int
     record_length: int
     fields: list[Field]
+    encoding: str | None = None  # None: UTF-8, and Latin-1 for a value that is not
 
 
-def read_header(file: pa.NativeFile) -> Header:
-    """Header of an open DBF file."""
+def read_header(file: pa.NativeFile, whole: bool = True) -> Header:
+    """Header of an open DBF file.
+
+    With ``whole`` the records it counts must all be there.
+    """
     start = file.read_at(32, 0)
     if len(start) < 32:
         raise ValueError("no DBF header")
@@ -59,8 +81,21 @@ def read_header(file: pa.NativeFile) -> Header:
         offset += width
     if offset > record_length:
         raise ValueError("DBF fields exceed the record")
-    whole = (file.size() - length) // record_length
-    return Header(min(records, max(whole, 0)), length, record_length, fields)
+    if whole and file.size() < length + records * record_length:
+        raise ValueError(f"cut off: {records} records need {length + records * record_length} bytes, {file.size()} are there")
+    return Header(records, length, record_length, fields, LANGUAGES.get(start[29]))
+
+
+def code_page(text: bytes) -> str | None:
+    """Encoding that the text of a ``.cpg`` file names."""
+    name = text.decode("ascii", "replace").strip().lower()
+    if name in ("", "utf-8", "utf8", "65001"):
+        return "utf-8" if name else None
+    name = re.sub(r"^(ansi|oem|windows-?|cp|ibm)\s*", "cp", name)
+    name = re.sub(r"^(?:iso[ -]?)?8859[ -]?(\d+)$", r"iso8859-\1", name)
+    name = f"cp{name}" if name.isdigit() else name
+    codecs.lookup(name)
+    return name
 
 
 def header_schema(header: Header, strict: bool = False, dates_as_text: bool = False) -> T.StructType:
@@ -71,15 +106,22 @@ def header_schema(header: Header, strict: bool = False, dates_as_text: bool = Fa
 
 
 def _text(raw: np.ndarray, encoding: str | None) -> pa.Array:
+    """Text of a field; a value that is not in the encoding is decoded by itself."""
     count, width = raw.shape
-    fixed = pa.Array.from_buffers(pa.binary(width), count, [None, pa.py_buffer(raw.tobytes())])
-    if encoding:
-        whole = np.char.decode(np.ascontiguousarray(raw).view(f"S{width}").ravel(), encoding)
-        return pa.array(whole, pa.string())
-    try:
-        return fixed.cast(pa.binary()).cast(pa.string())
-    except pa.ArrowInvalid:  # older files are not UTF-8
-        return _text(raw, "latin-1")
+    fixed = pa.Array.from_buffers(pa.binary(width), count, [None, pa.py_buffer(raw.tobytes())]).cast(pa.binary())
+    if encoding in (None, "utf-8") or raw.size == 0 or raw.max() < 0x80:
+        try:
+            return fixed.cast(pa.string())
+        except pa.ArrowInvalid:
+            pass
+
+    def value(found: bytes) -> str:
+        try:
+            return found.decode(encoding or "utf-8")
+        except UnicodeDecodeError:
+            return found.decode(encoding, "replace") if encoding else found.decode("latin-1")
+
+    return pa.array([value(v) for v in fixed.to_pylist()], pa.string())
 
 
 def decode_field(
@@ -89,6 +131,9 @@ def decode_field(
     if code == "I":
         whole = np.ascontiguousarray(raw[:, :4]).view("<i4").ravel()
         return pa.array(whole).cast(want)
+    if code in "NF" and pa.types.is_string(want):  # numbers in one file, text in another
+        text = pc.utf8_trim(_text(raw, encoding), characters=" \0*")
+        return pc.if_else(pc.equal(text, ""), None, text)
     text = _text(raw, encoding)
     if pa.types.is_string(want) and code != "D":
         text = pc.utf8_rtrim(text, characters=" \0")
@@ -113,7 +158,7 @@ def decode_records(
     """Batches of records ``[first, last)``: start, live flags, columns by name."""
     by_name = {f.name: f for f in header.fields}
     step = max(1, ranges.BATCH_BYTES // header.record_length)
-    encoding = options.get("encoding")
+    encoding = options.get("encoding") or header.encoding
     blank_null = options.get("blankasnull", "true") == "true"
     for start in range(first, last, step):
         count = min(step, last - start)
@@ -140,10 +185,15 @@ def to_batch(schema: pa.Schema, columns: dict[str, pa.Array], keep: np.ndarray)
 
 def dbf_batches(
     file: pa.NativeFile, schema: pa.Schema, options: dict, stem: str,
-    start: int = 0, stop: int | None = None,
+    start: int = 0, stop: int | None = None, page: bytes | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """Rows of the records that begin in bytes ``[start, stop)`` of a file."""
+    """Rows of the records that begin in bytes ``[start, stop)`` of a file.
+
+    ``page`` is the text of its ``.cpg`` file, if it has one.
+    """
     header = read_header(file)
+    if page is not None:
+        header.encoding = code_page(page) or header.encoding
     edges = [
         min(max(-(-(at - header.length) // header.record_length), 0), header.records)
         for at in (start, file.size() if stop is None else stop)
@@ -155,6 +205,46 @@ def dbf_batches(
         yield to_batch(schema, columns, keep)
 
 
+def merged_schema(found: Iterable[tuple[str, T.DataType]]) -> T.StructType:
+    """Fields of several files, by name, in the order they are met.
+
+    A field whose types differ gets the wider one; where only text holds both it
+    becomes text, and a warning names it.
+    """
+    fields: dict[str, T.DataType] = {}
+    for name, kind in found:
+        known = fields.setdefault(name, kind)
+        if known != kind:
+            wide = wider_type(known, kind)
+            if wide is None:
+                if not isinstance(known, T.StringType):
+                    warnings.warn(f"column {name} is {known.simpleString()} and {kind.simpleString()}: read as text")
+                wide = T.StringType()
+            fields[name] = wide
+    return T.StructType([T.StructField(n, k) for n, k in fields.items()])
+
+
+def sibling(filesystem: fs.FileSystem, plain: str, suffix: str) -> str | None:
+    """Path of the file of the same name with another suffix, if it exists."""
+    for s in (suffix, suffix.upper()):
+        if filesystem.get_file_info(plain[:-4] + s).type == fs.FileType.File:
+            return plain[:-4] + s
+    return None
+
+
+def report_fault(schema: pa.Schema, options: dict, path: str, problem: Exception) -> Iterator[pa.RecordBatch]:
+    """A row in ``errorColumn`` for a file that is no good; without that column an error.
+
+    ``mode=DROPMALFORMED`` leaves the file out, ``FAILFAST`` always raises.
+    """
+    mode = options.get("mode", "permissive").lower()
+    report = ranges.error_batch(schema, options, ranges.stem_of(path), problem)
+    if mode == "failfast" or (report is None and mode != "dropmalformed"):
+        raise problem
+    if report is not None:
+        yield report
+
+
 class _DbfReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict):
         self.arrow = to_arrow_schema(schema)
@@ -166,20 +256,42 @@ class _DbfReader(DataSourceReader):
 
     def read(self, partition: ranges.Pieces):
         for piece in partition.pieces:
-            stem = ranges.stem_of(piece.path)
-            try:
-                filesystem, plain = ranges.open_fs(piece.path)
-                with filesystem.open_input_file(plain) as file:
+            filesystem, plain = ranges.open_fs(piece.path)
+            page = sibling(filesystem, plain, ".cpg")
+            text = None
+            if page:
+                with filesystem.open_input_file(page) as file:
+                    text = file.read()
+            with filesystem.open_input_file(plain) as file:
+                try:
                     yield from dbf_batches(
-                        file, self.arrow, self.options, stem, piece.start, piece.stop
+                        file, self.arrow, self.options, ranges.stem_of(piece.path), piece.start, piece.stop, text
                     )
-            except (ValueError, OSError) as problem:  # Arrow's errors are ValueErrors
-                if self.options.get("mode", "permissive").lower() == "failfast":
-                    raise
-                warnings.warn(f"skipped {piece.path}: {problem}")
-                report = ranges.error_batch(self.arrow, self.options, stem, problem)
-                if report is not None:
-                    yield report
+                except (ValueError, LookupError) as problem:  # a bad format; faults of the store end the task
+                    yield from report_fault(self.arrow, self.options, piece.path, problem)
+
+
+def scan_schema(options: dict, suffix: str, fields: list[T.StructField]) -> T.StructType:
+    """Merged columns of all tables a scan covers, then ``fields``; bad files are left to the scan."""
+
+    def columns() -> Iterator[tuple[str, T.DataType]]:
+        for path, _ in ranges.list_sizes(options, suffix):
+            filesystem, plain = ranges.open_fs(path)
+            table = plain if suffix == ".dbf" else sibling(filesystem, plain, ".dbf")
+            if table is None:
+                continue
+            with filesystem.open_input_file(table) as file:
+                try:
+                    header = read_header(file, whole=False)
+                except ValueError:
+                    continue
+            strict, as_text = (options.get(o) == "true" for o in ("stricttypes", "datesastext"))
+            yield from ((f.name, f.dataType) for f in header_schema(header, strict, as_text))
+
+    found = merged_schema(columns())
+    if not found.fields:
+        raise ValueError("no readable file to take a schema from")
+    return ranges.pick_columns(T.StructType(found.fields + fields), options)
 
 
 class DbfSource(DataSource):
@@ -187,7 +299,8 @@ class DbfSource(DataSource):
 
     Options: ``columns``, ``state``, ``dataset``, ``recursiveFileLookup``,
     ``encoding``, ``blankAsNull``, ``strictTypes``, ``datesAsText``,
-    ``sourceColumn``, ``errorColumn``, ``mode`` and ``splitBytes``.
+    ``sourceColumn``, ``errorColumn``, ``mode`` and ``splitBytes``.  Without a
+    schema the headers of all files are read first and merged.
     """
 
     @classmethod
@@ -195,21 +308,7 @@ class DbfSource(DataSource):
         return "dbf"
 
     def schema(self) -> T.StructType:
-        options = ranges.lower_options(self.options)
-        for path, _ in ranges.list_sizes(options, ".dbf"):
-            filesystem, plain = ranges.open_fs(path)
-            with filesystem.open_input_file(plain) as file:
-                try:
-                    header = read_header(file)
-                except (ValueError, OSError):
-                    continue
-            found = header_schema(
-                header,
-                strict=options.get("stricttypes") == "true",
-                dates_as_text=options.get("datesastext") == "true",
-            )
-            return ranges.pick_columns(found, options)
-        raise ValueError("no readable DBF file to take a schema from")
+        return scan_schema(ranges.lower_options(self.options), ".dbf", [])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return _DbfReader(schema, ranges.lower_options(self.options))

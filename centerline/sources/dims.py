@@ -69,26 +69,10 @@ STATES = [
 # District of Columbia, make up the default request.
 TERRITORIES = ["60", "66", "69", "72", "78"]
 
-# Dataset types with their titles.
+# Dataset types.
 DATASETS = [
-    ("EDGES", "All Lines (roads, railroads, etc.)"),
-    ("ADDR", "Address Ranges"),
-    ("FACES", "Topological Faces (polygons)"),
-    ("FEATNAMES", "Feature Names"),
-    ("PLACE", "Places (cities, towns)"),
-    ("COUSUB", "County Subdivisions"),
-    ("TRACT", "Census Tracts"),
-    ("BG", "Block Groups"),
-    ("TABBLOCK20", "Tabulation Blocks (2020)"),
-    ("ZCTA520", "ZIP Code Tabulation Areas (2020)"),
-    ("COUNTY", "Counties"),
-    ("STATE", "States"),
-    ("CD118", "Congressional Districts (118th)"),
-    ("SLDL", "State Legislative Districts (Lower)"),
-    ("SLDU", "State Legislative Districts (Upper)"),
-    ("UNSD", "Unified School Districts"),
-    ("ELSD", "Elementary School Districts"),
-    ("SCSD", "Secondary School Districts"),
+    "EDGES", "ADDR", "FACES", "FEATNAMES", "PLACE", "COUSUB", "TRACT", "BG", "TABBLOCK20", "ZCTA520", "COUNTY",
+    "STATE", "CD118", "SLDL", "SLDU", "UNSD", "ELSD", "SCSD",
 ]
 
 # Datasets requested when none is named.
@@ -103,8 +87,8 @@ def states(spark: SparkSession) -> DataFrame:
 
 
 def datasets(spark: SparkSession) -> DataFrame:
-    """18 rows: dataset type, title and whether it is requested by default."""
-    return spark.createDataFrame(DATASETS, "dataset string, title string").withColumn(
+    """18 rows: dataset type and whether it is requested by default."""
+    return spark.createDataFrame([(d,) for d in DATASETS], "dataset string").withColumn(
         "by_default", F.col("dataset").isin(*DEFAULT_DATASETS)
     )
 

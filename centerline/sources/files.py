@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,8 +20,8 @@ _MEMBER_SCHEMA = pa.schema(
     [("archive", pa.string()), ("member", pa.string()), ("content", pa.binary()), ("error", pa.string())]
 )
 
-# Archives above this size are shared out by table instead of being one unit.
-LARGE_ARCHIVE = 512 << 20
+# What a zip archive that is no good raises; faults of the store are not among them.
+BAD_ARCHIVE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, ValueError)
 
 
 def list_files(
@@ -65,58 +67,55 @@ def _narrow(name: Column, state: str | None, dataset: str | None) -> Column:
     return keep
 
 
-def zip_members(
-    path: str, wanted: tuple[str, ...] | None = None, stem: str | None = None
-) -> Iterator[tuple[str, bytes]]:
-    """Names and bytes of the regular members with a wanted suffix and table stem.
+def open_archive(path: str) -> contextlib.AbstractContextManager[zipfile.ZipFile]:
+    """An archive of any store, read at random places."""
 
-    The archive is read at random places, so other members are not touched.
-    """
-    filesystem, plain = ranges.open_fs(path)
-    with filesystem.open_input_file(plain) as file, zipfile.ZipFile(file) as archive:
-        for info in archive.infolist():
-            name = info.filename
-            if info.is_dir() or (wanted and not name.lower().endswith(wanted)):
-                continue
-            if stem is None or ranges.stem_of(name) == stem:
-                yield name, archive.read(info)
-
-
-def _table_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path in batch.column(0).to_pylist():
-            filesystem, plain = ranges.open_fs(path)
-            try:
-                with filesystem.open_input_file(plain) as file, zipfile.ZipFile(file) as archive:
-                    stems = {ranges.stem_of(i.filename) for i in archive.infolist() if not i.is_dir()}
-            except Exception:  # no zip file
-                stems = {None}  # it is reported when the unit is read
-            yield pa.RecordBatch.from_pydict(
-                {"path": [path] * len(stems), "stem": pa.array(list(stems), pa.string())}
-            )
-
-
-def archive_units(archives: DataFrame, large: int = LARGE_ARCHIVE) -> DataFrame:
-    """Units of work ``(path, stem)`` of a listing ``(path, length)``.
-
-    A deflate stream cannot be split, but an archive can be read by member: an
-    archive above ``large`` bytes gives a unit per table, spread over the tasks;
-    any other is one unit (NULL stem), and Spark's listing has packed those into
-    tasks by size.
+    @contextlib.contextmanager
+    def opened():
+        filesystem, plain = ranges.open_fs(path)
+        with filesystem.open_input_file(plain) as file, zipfile.ZipFile(file) as archive:
+            yield archive
+
+    return opened()
+
+
+def members_of(archive: zipfile.ZipFile, wanted: tuple[str, ...] | None, stem: str | None) -> list[zipfile.ZipInfo]:
+    """Regular members with a wanted suffix and table stem."""
+    return [
+        i for i in archive.infolist()
+        if not i.is_dir() and (not wanted or i.filename.lower().endswith(wanted))
+        and (stem is None or ranges.stem_of(i.filename) == stem)
+    ]
+
+
+def archive_units(archives: DataFrame) -> DataFrame:
+    """Units of work ``(path, stem)``: a table of an archive, spread over the tasks.
+
+    A deflate stream cannot be split, but an archive can be read by member.  An
+    archive that cannot be opened is one unit without stem, which reports it.
     """
-    whole = archives.where(F.col("length") <= large)
-    shared = archives.where(F.col("length") > large).select("path")
+
+    def stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                try:
+                    with open_archive(path) as archive:
+                        found = sorted({ranges.stem_of(i.filename) for i in members_of(archive, None, None)})
+                except BAD_ARCHIVE:
+                    found = [None]
+                yield pa.RecordBatch.from_pydict(
+                    {"path": pa.array([path] * len(found), pa.string()), "stem": pa.array(found, pa.string())}
+                )
+
     parts = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_table = shared.mapInArrow(_table_stems, "path string, stem string").repartition(parts, "path", "stem")
-    return whole.select("path", F.lit(None).cast("string").alias("stem")).unionByName(by_table)
+    return archives.select("path").mapInArrow(stems, "path string, stem string").repartition(parts, "path", "stem")
 
 
-def expand_archives(
-    archives: DataFrame, suffixes: tuple[str, ...] | None = None, large: int = LARGE_ARCHIVE
-) -> DataFrame:
-    """One row per archive member; a bad archive gives a row with its error.
+def expand_archives(archives: DataFrame, suffixes: tuple[str, ...] | None = None) -> DataFrame:
+    """One row per archive member; what is no good gives a row with its error.
 
-    ``archives`` is a listing with ``path`` and ``length``.
+    A member that fails leaves the other members alone.  ``archives`` is a listing
+    with ``path``.
     """
     wanted = tuple(s.lower() for s in suffixes) if suffixes else None
 
@@ -128,9 +127,15 @@ def expand_archives(
         for batch in batches:
             for path, stem in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
-                    for member, content in zip_members(path, wanted, stem):
-                        yield row(path, member, content, None)
-                except Exception as problem:  # any fault marks this archive only
+                    with open_archive(path) as archive:
+                        for info in members_of(archive, wanted, stem):
+                            try:
+                                content = archive.read(info)
+                            except BAD_ARCHIVE as problem:
+                                yield row(path, info.filename, None, f"{type(problem).__name__}: {problem}")
+                            else:
+                                yield row(path, info.filename, content, None)
+                except BAD_ARCHIVE as problem:
                     yield row(path, None, None, f"{type(problem).__name__}: {problem}")
 
-    return archive_units(archives, large).mapInArrow(expand, ARCHIVE_MEMBERS)
+    return archive_units(archives).mapInArrow(expand, ARCHIVE_MEMBERS)

@@ -1,8 +1,8 @@
-"""The manifest as JSON: one document, or one entry per line.
+"""The manifest as JSON: documents, or one entry per line.
 
-The document is one value, so reading it is one task's work; the entry form
-splits and is the one to use at scale.  Writing either form is distributed: the
-part files of the document, taken in name order, are the document.
+A document is one value, so it is one task's work to write or to read.  A large
+manifest is written as many documents, each with a share of the entries and whole
+by itself; the entry form splits anywhere.
 """
 
 from __future__ import annotations
@@ -39,12 +39,16 @@ def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
 
 
 def read_document(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Manifest tables of a JSON document; an absent file is an empty manifest.
+    """Manifest tables of JSON documents; an absent file is an empty manifest.
 
-    The document carries no times for its lists, so those columns are NULL.
+    A ``.json`` file is one document, on any number of lines; a folder has a document
+    on each line of its files, as ``write_document`` leaves it.  What is no such
+    document is an error.  Documents carry no times for their lists, so those columns
+    are NULL.
     """
     try:
-        document = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
+        reader = spark.read.schema(DOCUMENT).option("mode", "FAILFAST")
+        document = reader.option("multiLine", path.endswith(".json")).json(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -74,86 +78,49 @@ def read_document(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     }
 
 
-def _row_json(table: DataFrame) -> Column:
-    return F.to_json(F.struct(*table.columns), {"ignoreNullFields": "false"})
+def documents(tables: dict[str, DataFrame], count: int) -> DataFrame:
+    """The manifest as ``count`` documents at most, each whole by itself with a share of the entries.
 
-
-def _quoted(text: Column) -> Column:
-    # An array of one string, without its brackets, is the string in JSON.
-    whole = F.to_json(F.array(text))
-    return F.substring(whole, F.lit(2), F.length(whole) - 2)
-
-
-def document_lines(tables: dict[str, DataFrame]) -> DataFrame:
-    """Lines of the document with the columns that order them.
-
-    ``section, part, step, entry``: sections follow each other, a part is one
-    state's list, a step is its opening, its entries or its end.  A comma goes in
-    front of every entry but the first of its list, which is the list's minimum.
+    An entry goes to the document that its key's hash names, so all documents
+    together are the manifest, and one of them is a task's work.
     """
     files, states = tables["files"], tables["states"]
     lists, discovered = tables["url_lists"], tables["discovered_urls"]
-    spark = files.sparkSession
-
-    no_part = F.lit(None).cast("string")
-
-    def entries(rows: DataFrame, section: int, key: str, value: Column | None = None) -> DataFrame:
-        """Entries of a list that is a section of its own."""
-        first = rows.agg(F.min(key)).scalar()
-        comma = F.when(F.col(key) == first, "").otherwise(",")
-        text = F.concat(comma, _quoted(F.col(key)), *([F.lit(": "), value] if value is not None else []))
-        return rows.select(
-            F.lit(section).alias("section"), no_part.alias("part"), F.lit(1).alias("step"),
-            F.col(key).alias("entry"), text.alias("text"),
-        )
 
-    body = entries(files, 1, "path", _row_json(files))
-    for section, kind in ((2, "completed"), (3, "failed")):
-        body = body.unionAll(entries(lists.where(F.col("list_type") == kind), section, "url"))
-    body = body.unionAll(entries(states, 4, "state_fips", _row_json(states)))
-    # The last section has a list per state.
-    parts = discovered.groupBy(F.col("state_fips").alias("part")).agg(F.min("url").alias("first_url"))
-    comma = F.when(F.col("url") == F.col("first_url"), "").otherwise(",")
-    body = body.unionAll(discovered.join(parts, F.col("state_fips") == F.col("part")).select(
-        F.lit(5).alias("section"), "part", F.lit(1).alias("step"), F.col("url").alias("entry"),
-        F.concat(comma, _quoted(F.col("url"))).alias("text"),
-    ))
-    first_part = discovered.agg(F.min("state_fips")).scalar()
-    opening = F.concat(
-        F.when(F.col("part") == first_part, "").otherwise(","), _quoted(F.col("part")), F.lit(": [")
+    def share(section: str, *key: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(section), *key), F.lit(count)).alias("share")
+
+    def entries(rows: DataFrame, section: str, key: str) -> DataFrame:
+        entry = F.struct(F.col(key).alias("key"), F.struct(*rows.columns).alias("value"))
+        return rows.groupBy(share(section, key)).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(section))
+
+    def urls(kind: str) -> DataFrame:
+        own = lists.where(F.col("list_type") == kind)
+        return own.groupBy(share(kind, "url")).agg(F.array_sort(F.collect_list("url")).alias(kind))
+
+    of_state = discovered.groupBy(share("discovered_urls", "state_fips", "url"), "state_fips").agg(
+        F.array_sort(F.collect_list("url")).alias("urls")
     )
-    frames = parts.select("part", F.explode(F.array(
-        F.struct(F.lit(0).alias("step"), opening.alias("text")),
-        F.struct(F.lit(2).alias("step"), F.lit("]").alias("text")),
-    )).alias("line"))
-    frames = frames.select(
-        F.lit(5).alias("section"), "part", "line.step", no_part.alias("entry"), "line.text"
+    found = of_state.groupBy("share").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("state_fips", "urls")))).alias("discovered_urls")
     )
-    # Openings of the sections; each also ends the section before.
-    marks = [
-        (1, '{\n"files": {'),
-        (2, '},\n"completed": ['),
-        (3, '],\n"failed": ['),
-        (4, '],\n"states": {'),
-        (5, '},\n"discovered_urls": {'),
-        (6, "}\n}"),
+    parts = [
+        entries(files, "files", "path"), urls("completed"), urls("failed"), entries(states, "states", "state_fips"), found,
     ]
-    heads = spark.createDataFrame(marks, "section int, text string").select(
-        "section", no_part.alias("part"), F.lit(0).alias("step"), no_part.alias("entry"), "text"
-    )
-    return body.unionAll(frames).unionAll(heads)
+    whole = files.sparkSession.range(count).select(F.col("id").alias("share"))
+    for part in parts:
+        whole = whole.join(part, "share", "left")
+    schema = files.sparkSession.createDataFrame([], DOCUMENT).schema
+    empty = {f.name: F.from_json(F.lit("[]" if f.dataType.typeName() == "array" else "{}"), f.dataType) for f in schema}
+    return whole.select(*[F.coalesce(name, value).alias(name) for name, value in empty.items()])
 
 
-def write_document(tables: dict[str, DataFrame], path: str) -> None:
-    """Write the document as text parts; in name order they make up the document.
+def write_document(tables: dict[str, DataFrame], path: str, count: int = 1) -> None:
+    """Write the manifest as documents, one per line; one document unless told otherwise.
 
-    The range sort is by list and entry, so a long list spreads over many parts.
+    A large manifest should have as many documents as tasks shall write it.
     """
-    lines = document_lines(tables)
-    ordered = lines.orderBy(
-        "section", F.asc_nulls_first("part"), "step", F.asc_nulls_first("entry")
-    )
-    ordered.select("text").write.text(path)
+    documents(tables, count).write.option("ignoreNullFields", "false").json(path)
 
 
 def write_entries(tables: dict[str, DataFrame], path: str) -> None:

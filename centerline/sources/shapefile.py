@@ -7,8 +7,8 @@ to be looked at one by one.
 
 from __future__ import annotations
 
+import re
 import struct
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +26,16 @@ GEOMETRY_FIELDS = [
     T.StructField("ymin", T.DoubleType()),
     T.StructField("xmax", T.DoubleType()),
     T.StructField("ymax", T.DoubleType()),
+    T.StructField("srid", T.IntegerType()),
 ]
 BOX = ["xmin", "ymin", "xmax", "ymax"]
 
+# Names of coordinate systems in ``.prj`` files and their numbers.
+SRIDS = {
+    "GCS_NORTH_AMERICAN_1983": 4269, "NAD83": 4269, "GCS_WGS_1984": 4326, "WGS 84": 4326,
+    "GCS_NORTH_AMERICAN_1927": 4267, "NAD27": 4267, "WGS_1984_WEB_MERCATOR_AUXILIARY_SPHERE": 3857,
+}
+
 # WKB geometry types.
 POINT, LINE, POLYGON, MULTIPOINT, MULTILINE, MULTIPOLYGON = range(1, 7)
 
@@ -98,6 +105,35 @@ def shape_to_wkb(content: bytes) -> tuple[bytes | None, tuple | None]:
     return lines[0] if count == 1 else _head(MULTILINE, count) + b"".join(lines), box
 
 
+def srid_of(projection: str | None) -> int | None:
+    """Number of the coordinate system a ``.prj`` text describes, if it is told.
+
+    The authority code of the whole system counts, which comes last; else its name.
+    """
+    if not projection:
+        return None
+    codes = re.findall(r'AUTHORITY\s*\[\s*"EPSG"\s*,\s*"?(\d+)"?\s*\]\s*\]\s*$', projection.strip())
+    name = re.match(r'\s*(?:PROJCS|GEOGCS|PROJCRS|GEOGCRS)\s*\[\s*"([^"]*)"', projection, re.I)
+    return int(codes[-1]) if codes else SRIDS.get(name[1].upper()) if name else None
+
+
+def _same_lines(block: bytes, at: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray] | None:
+    """WKB and boxes of records of one size, if all are lines of one part; None otherwise."""
+    raw = np.frombuffer(block, dtype="u1")[at[:, None] + np.arange(size)]
+    kinds = np.ascontiguousarray(raw[:, :4]).view("<i4").ravel()
+    if size < 64 or not np.isin(kinds, (3, 13, 23)).all() or not (kinds == kinds[0]).all():
+        return None
+    counts = np.ascontiguousarray(raw[:, 36:44]).view("<i4").reshape(-1, 2)
+    points = int(counts[0, 1])
+    if not (counts == (1, points)).all() or points < 1 or size < 48 + 16 * points:
+        return None
+    wkb = np.empty((len(at), 9 + 16 * points), dtype="u1")
+    wkb[:, :9] = np.frombuffer(_head(LINE, points), dtype="u1")
+    wkb[:, 9:] = raw[:, 48:48 + 16 * points]
+    fixed = pa.Array.from_buffers(pa.binary(wkb.shape[1]), len(at), [None, pa.py_buffer(wkb.tobytes())])
+    return fixed.cast(pa.binary()), np.ascontiguousarray(raw[:, 4:36]).view("<f8").reshape(-1, 4)
+
+
 def _index(shx: pa.NativeFile, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and content lengths, in bytes, of records ``[first, last)``."""
     entries = np.frombuffer(shx.read_at(8 * (last - first), 100 + 8 * first), ">i4").reshape(-1, 2)
@@ -109,42 +145,65 @@ def _shapes(shp: pa.NativeFile, shx: pa.NativeFile, first: int, last: int) -> di
     offsets, lengths = _index(shx, first, last)
     low, high = int(offsets.min()), int((offsets + lengths).max()) + 8
     block = shp.read_at(high - low, low)
-    shapes = [
-        shape_to_wkb(block[at + 8:at + 8 + size])
-        for at, size in zip((offsets - low).tolist(), lengths.tolist())
-    ]
-    columns = {"geometry": pa.array([w for w, _ in shapes], pa.binary())}
+    starts, sizes = offsets - low + 8, lengths
+    wkb: list = [None] * len(starts)
+    boxes = np.full((len(starts), 4), np.nan)
+    # Records of one size are cut out together; only what is no plain line is looked at by itself.
+    for size in np.unique(sizes).tolist():
+        own = np.flatnonzero(sizes == size)
+        together = _same_lines(block, starts[own], size) if len(own) > 1 else None
+        if together:
+            for i, content in zip(own.tolist(), together[0].to_pylist()):
+                wkb[i] = content
+            boxes[own] = together[1]
+            continue
+        for i in own.tolist():
+            wkb[i], box = shape_to_wkb(block[starts[i]:starts[i] + size])
+            if box:
+                boxes[i] = box
+    columns = {"geometry": pa.array(wkb, pa.binary())}
     for i, side in enumerate(BOX):
-        columns[side] = pa.array([b[i] if b else None for _, b in shapes], pa.float64())
+        columns[side] = pa.array(boxes[:, i], pa.float64(), mask=np.isnan(boxes[:, i]))
     return columns
 
 
 def shapefile_batches(
     shp: pa.NativeFile, shx: pa.NativeFile, table: pa.NativeFile, schema: pa.Schema,
-    options: dict, stem: str, first: int = 0, last: int | None = None,
+    options: dict, stem: str, first: int = 0, last: int | None = None, page: bytes | None = None,
+    projection: str | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """Rows of records ``[first, last)`` of an open shapefile."""
+    """Rows of records ``[first, last)`` of an open shapefile.
+
+    ``page`` and ``projection`` are the texts of its ``.cpg`` and ``.prj`` files.
+    """
     if struct.unpack(">i", shp.read_at(4, 0))[0] != 9994:
         raise ValueError("no shapefile header")
     count = (shx.size() - 100) // 8
     last = count if last is None else min(last, count)
     header = dbf.read_header(table)
+    if header.records != count:
+        raise ValueError(f"{count} shapes and {header.records} records")
+    if page is not None:
+        header.encoding = dbf.code_page(page) or header.encoding
+    number = srid_of(projection)
     # Each batch holds about BATCH_BYTES of shapes.
     step = max(1, ranges.BATCH_BYTES * max(count, 1) // max(shp.size(), 1))
     source = options.get("sourcecolumn")
     shaped = any(f.name in ("geometry", *BOX) for f in schema)
-    for begin in range(first, min(last, header.records), step):
-        end = min(begin + step, last, header.records)
+    for begin in range(first, last, step):
+        end = min(begin + step, last)
         for start, keep, columns in dbf.decode_records(table, header, begin, end, schema, options):
             if shaped:
                 columns |= _shapes(shp, shx, start, start + len(keep))
+            if any(f.name == "srid" for f in schema) and "srid" not in columns:
+                columns["srid"] = pa.array([number] * len(keep), pa.int32())
             if source:
                 columns[source] = pa.array([stem] * len(keep), pa.string())
             yield dbf.to_batch(schema, columns, keep)
 
 
 def shapefile_schema(header: dbf.Header, strict: bool = False, dates_as_text: bool = False) -> T.StructType:
-    """Attributes in file order, then geometry and bounding box."""
+    """Attributes in file order, then geometry, bounding box and coordinate system."""
     return T.StructType(dbf.header_schema(header, strict, dates_as_text).fields + GEOMETRY_FIELDS)
 
 
@@ -159,33 +218,34 @@ class _ShapefileReader(DataSourceReader):
 
     def _piece(self, piece: ranges.Piece, stem: str) -> Iterator[pa.RecordBatch]:
         filesystem, plain = ranges.open_fs(piece.path)
-        base = plain[:-4]
-        upper = plain[-4:].isupper()
-        names = [base + (s.upper() if upper else s) for s in (".shp", ".shx", ".dbf")]
+        names = {s: dbf.sibling(filesystem, plain, s) for s in (".shx", ".dbf", ".cpg", ".prj")}
+        lacking = [s for s in (".shx", ".dbf") if names[s] is None]
+        if lacking:
+            raise ValueError(f"no {' and no '.join(lacking)} file")
+        texts = {}
+        for suffix in (".cpg", ".prj"):
+            if names[suffix]:
+                with filesystem.open_input_file(names[suffix]) as file:
+                    texts[suffix] = file.read()
         with (
-            filesystem.open_input_file(names[0]) as shp,
-            filesystem.open_input_file(names[1]) as shx,
-            filesystem.open_input_file(names[2]) as table,
+            filesystem.open_input_file(plain) as shp,
+            filesystem.open_input_file(names[".shx"]) as shx,
+            filesystem.open_input_file(names[".dbf"]) as table,
         ):
             count, size = (shx.size() - 100) // 8, max(shp.size(), 1)
             # The byte share of the .shp file becomes the same share of records.
             first, last = (count * at // size for at in (piece.start, piece.stop))
             yield from shapefile_batches(
-                shp, shx, table, self.arrow, self.options, stem, first, last
+                shp, shx, table, self.arrow, self.options, stem, first, last,
+                texts.get(".cpg"), texts.get(".prj", b"").decode("latin-1"),
             )
 
     def read(self, partition: ranges.Pieces):
         for piece in partition.pieces:
-            stem = ranges.stem_of(piece.path)
             try:
-                yield from self._piece(piece, stem)
-            except (ValueError, OSError, struct.error) as problem:
-                if self.options.get("mode", "permissive").lower() == "failfast":
-                    raise
-                warnings.warn(f"skipped {piece.path}: {problem}")
-                report = ranges.error_batch(self.arrow, self.options, stem, problem)
-                if report is not None:
-                    yield report
+                yield from self._piece(piece, ranges.stem_of(piece.path))
+            except (ValueError, LookupError, struct.error) as problem:  # a bad format; faults of the store end the task
+                yield from dbf.report_fault(self.arrow, self.options, piece.path, problem)
 
 
 class ShapefileSource(DataSource):
@@ -196,21 +256,7 @@ class ShapefileSource(DataSource):
         return "shapefile"
 
     def schema(self) -> T.StructType:
-        options = ranges.lower_options(self.options)
-        for path, _ in ranges.list_sizes(options, ".shp"):
-            filesystem, plain = ranges.open_fs(path)
-            try:
-                with filesystem.open_input_file(plain[:-4] + (".DBF" if plain[-4:].isupper() else ".dbf")) as file:
-                    header = dbf.read_header(file)
-            except (ValueError, OSError):
-                continue
-            found = shapefile_schema(
-                header,
-                strict=options.get("stricttypes") == "true",
-                dates_as_text=options.get("datesastext") == "true",
-            )
-            return ranges.pick_columns(found, options)
-        raise ValueError("no readable shapefile to take a schema from")
+        return dbf.scan_schema(ranges.lower_options(self.options), ".shp", GEOMETRY_FIELDS)
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return _ShapefileReader(schema, ranges.lower_options(self.options))

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from centerline.operators import manifest
+from centerline.session import JOB_CONF
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 # Key columns and fold of each table kept by a stream.
 VIEWS: dict[str, tuple[list[str], Callable[[DataFrame], DataFrame]]] = {
@@ -24,6 +26,7 @@ VIEWS: dict[str, tuple[list[str], Callable[[DataFrame], DataFrame]]] = {
     "url_lists": (["url"], manifest.fold_url_lists),
     "mark_counters": (["state_fips"], manifest.count_marks),
     "discovered_urls": (["state_fips", "url"], manifest.fold_discovered),
+    "called_urls": (["state_fips", "seq", "url"], manifest.fold_calls),
 }
 
 
@@ -33,8 +36,12 @@ def start_view(
     """Keep one manifest table up to date from a stream of events.
 
     ``mark_events`` feed ``files``, ``url_lists`` and ``mark_counters``;
-    ``discover_calls`` feed ``discovered_urls``.
+    ``discover_calls`` feed ``discovered_urls`` and ``called_urls``.  Unless the session
+    names another store, state is kept on disk (RocksDB).
     """
+    conf = events.sparkSession.conf
+    if conf.get(_STORE, "").endswith("HDFSBackedStateStoreProvider"):
+        conf.set(_STORE, JOB_CONF[_STORE])
     _, fold = VIEWS[view]
 
     def write(changed: DataFrame, batch: int) -> None:
@@ -45,38 +52,16 @@ def start_view(
     return writer.trigger(**({"availableNow": True} if available_now else trigger)).start()
 
 
-def _compacted(spark: SparkSession, view: str, root: str) -> int | None:
-    """Last batch a complete compaction covers."""
-    try:
-        done = spark.read.schema("batch bigint").parquet(f"{root}/{view}/compactions")
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return done.agg(F.max("batch")).first()[0]
-
-
 def current(spark: SparkSession, view: str, root: str) -> DataFrame:
-    """The table as of the last batch: the last compaction and the changes since."""
+    """The table as of the last batch: the latest change of each key."""
     keys, _ = VIEWS[view]
     rows = spark.read.parquet(f"{root}/{view}/changes").withColumn("batch", F.col("batch").cast("bigint"))
-    base = _compacted(spark, view, root)
-    if base is not None:
-        whole = spark.read.parquet(f"{root}/{view}/whole/batch={base}").withColumn("batch", F.lit(base))
-        rows = whole.unionByName(rows.where(F.col("batch") > base))
     values = [c for c in rows.columns if c not in (*keys, "batch")]
     latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("row"))
     return latest.select(*keys, "row.*")
 
 
-def compact(spark: SparkSession, view: str, root: str) -> int:
-    """Write the table as of the last batch as a whole, for readers to start from.
-
-    It counts only once its batch is noted, which is the last step; folders of
-    earlier changes may be removed after that.
-    """
-    last = spark.read.parquet(f"{root}/{view}/changes").agg(F.max("batch")).first()[0]
-    current(spark, view, root).write.mode("overwrite").parquet(f"{root}/{view}/whole/batch={last}")
-    note = spark.createDataFrame([(last,)], "batch bigint")
-    note.write.mode("append").parquet(f"{root}/{view}/compactions")
-    return last
+def states(spark: SparkSession, root: str) -> DataFrame:
+    """State rows as of the last batches: names, counters and when they changed last."""
+    calls = current(spark, "called_urls", root)
+    return manifest.merge_counters(current(spark, "mark_counters", root), manifest.count_calls(calls))

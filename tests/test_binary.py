@@ -1,6 +1,9 @@
 import datetime
+import decimal
+import io
 import os
 import struct
+import zipfile
 
 import formats
 import pytest
@@ -61,7 +64,7 @@ def test_dbf_splits_small_files_and_errors(spark, tmp_path):
     frame = dbf.read_dbf(spark, str(tmp_path), splitBytes=777)
     assert frame.rdd.getNumPartitions() > 20
     assert sorted(r.id for r in frame.collect() if r.id is not None) == list(range(3000))
-    assert [tuple(r) for r in frame.where("id IS NULL").collect()] == [(None, "w")]
+    assert [tuple(r) for r in frame.where("id IS NULL").collect()] == [(None, "w", "q")]
     assert dbf.read_dbf(spark, str(tmp_path)).rdd.getNumPartitions() == 1
 
     (tmp_path / "bad.dbf").write_bytes(b"short")
@@ -69,7 +72,9 @@ def test_dbf_splits_small_files_and_errors(spark, tmp_path):
     (bad,) = reported.where("err IS NOT NULL").collect()
     assert bad.src == "bad" and "no DBF header" in bad.err
     assert reported.where("src = 'f1'").count() == 1000
-    assert dbf.read_dbf(spark, str(tmp_path)).count() == 3001
+    assert dbf.read_dbf(spark, str(tmp_path), mode="DROPMALFORMED").count() == 3001
+    with pytest.raises(Exception, match="no DBF header"):
+        dbf.read_dbf(spark, str(tmp_path)).count()
     with pytest.raises(Exception, match="no DBF header"):
         dbf.read_dbf(spark, str(tmp_path), mode="FAILFAST").count()
 
@@ -115,7 +120,7 @@ def test_shapefile_scan(spark, tmp_path):
     shapes[7] = formats.null_shape()
     write_shapefile(tmp_path, "tl_2025_06001_edges", shapes, [[b"%d" % i, b"06"] for i in range(500)])
     frame = shapefile.read_shapefile(spark, str(tmp_path), splitBytes=4000, sourceColumn="src")
-    assert frame.columns == ["tlid", "statefp", "geometry", "xmin", "ymin", "xmax", "ymax", "src"]
+    assert frame.columns == ["tlid", "statefp", "geometry", "xmin", "ymin", "xmax", "ymax", "srid", "src"]
     assert frame.rdd.getNumPartitions() > 5
     got = {r.tlid: r for r in frame.collect()}
     assert sorted(got) == list(range(500))
@@ -162,7 +167,8 @@ def archive_dir(tmp_path):
     root = tmp_path / "zips"
     (root / "deep").mkdir(parents=True)
     addr = [("TLID", "N", 10, 0), ("FROMHN", "C", 12, 0), ("TOHN", "C", 12, 0), ("SIDE", "C", 1, 0), ("ZIP", "C", 5, 0), ("PLUS4", "C", 4, 0)]
-    edge = [("STATEFP", "C", 2, 0), ("COUNTYFP", "C", 3, 0), ("TLID", "N", 10, 0), ("FULLNAME", "C", 20, 0), ("ZIPL", "C", 5, 0)]
+    edge = [("STATEFP", "C", 2, 0), ("COUNTYFP", "C", 3, 0), ("TLID", "N", 10, 0), ("FULLNAME", "C", 20, 0), ("ZIPL", "C", 5, 0),
+            ("MTFCC", "C", 5, 0)]
     for state, county, folder in (("13", "001", root), ("13", "003", root / "deep"), ("06", "001", root)):
         ids = [int(state + county) * 10 + i for i in range(3)]
         base = f"tl_2025_{state}{county}"
@@ -170,7 +176,7 @@ def archive_dir(tmp_path):
         (folder / f"{base}_addr.zip").write_bytes(formats.archive({f"{base}_addr.dbf": table}))
         shapes = [formats.poly(3, [[(i, 1), (i + 1, 2)]]) for i in range(3)]
         members = write_shapefile(None, f"{base}_edges", shapes, [
-            [state.encode(), county.encode(), b"%d" % i, b"Main St", b"00501"] for i in ids
+            [state.encode(), county.encode(), b"%d" % i, b"Main St", b"00501", b"S1400"] for i in ids
         ], edge)
         (folder / f"{base}_edges.zip").write_bytes(formats.archive({**members, f"{base}_edges.prj": b"GEOGCS"}))
     (root / "tl_2025_13005_addr.zip").write_bytes(b"this is no archive")
@@ -205,19 +211,83 @@ def test_inventory_and_archives(spark, archive_dir):
     ]
 
 
-def test_large_archives_are_shared_out_by_table(spark, archive_dir):
-    tables = {f"tl_2025_13{n:03d}_addr.dbf": formats.dbf([("TLID", "N", 9, 0)], [[b"%d" % n]]) for n in range(20)}
-    (archive_dir / "tl_2025_13999_addr.zip").write_bytes(formats.archive(tables))
-    listing = files.list_archives(spark, str(archive_dir), state="13", dataset="addr")
-    units = files.archive_units(listing, large=1200).collect()
-    assert sum(u.stem is not None for u in units) == 20 and len(units) == 20 + listing.count() - 1
-    schema = T.StructType([T.StructField("tlid", T.LongType())])
-    for large in (1, 1200, files.LARGE_ARCHIVE):
-        got = archive_tables.read_tables(listing, schema, large=large)
-        assert sorted(r.tlid for r in got.where("tlid < 100").collect()) == list(range(20))
-        assert got.where("error IS NOT NULL").count() == 2
-        members = files.expand_archives(listing, large=large)
-        assert members.where("error IS NULL").count() == 23 and members.where("error IS NOT NULL").count() == 1
+def test_archives_are_shared_out_by_table_and_faults_stay_apart(spark, tmp_path):
+    tables = {f"tl_2025_13{n:03d}_addr.dbf": formats.dbf([("TLID", "N", 9, 0)], [[b"%d" % n]]) for n in range(4)}
+    raw = bytearray(formats.archive(tables))
+    with zipfile.ZipFile(io.BytesIO(raw)) as archive:
+        info = archive.infolist()[2]
+        raw[info.header_offset + 30 + len(info.filename) + 3] ^= 0xFF  # spoils one member
+    (tmp_path / "tl_2025_13999_addr.zip").write_bytes(bytes(raw))
+    listing = files.list_archives(spark, str(tmp_path))
+    assert files.archive_units(listing).count() == 4
+    got = archive_tables.read_tables(listing, archive_tables.archive_schema(listing))
+    assert sorted(r.tlid for r in got.where("error IS NULL").collect()) == [0, 1, 3]
+    assert [r.source_table for r in got.where("error IS NOT NULL").collect()] == ["tl_2025_13002_addr"]
+    members = files.expand_archives(listing)
+    assert members.where("error IS NULL").count() == 3
+    assert [r.member for r in members.where("error IS NOT NULL").collect()] == ["tl_2025_13002_addr.dbf"]
+
+
+def test_short_files_are_errors(spark, tmp_path):
+    whole = formats.dbf([("ID", "N", 9, 0)], [[b"%d" % i] for i in range(10)])
+    (tmp_path / "cut.dbf").write_bytes(whole[:-50])
+    with pytest.raises(Exception, match="cut off"):
+        dbf.read_dbf(spark, str(tmp_path)).count()
+    (row,) = dbf.read_dbf(spark, str(tmp_path), errorColumn="err").collect()
+    assert "cut off" in row.err
+    shapes = [formats.poly(3, [[(i, 0), (i + 1, i)]]) for i in range(10)]
+    (tmp_path / "s").mkdir()
+    write_shapefile(tmp_path / "s", "tl_2025_06001_edges", shapes, [[b"%d" % i, b"06"] for i in range(6)])
+    with pytest.raises(Exception, match="10 shapes and 6 records"):
+        shapefile.read_shapefile(spark, str(tmp_path / "s")).count()
+    (tmp_path / "s" / "tl_2025_06001_edges.shx").unlink()
+    with pytest.raises(Exception, match="no .shx file"):
+        shapefile.read_shapefile(spark, str(tmp_path / "s")).count()
+
+
+def test_encoding_comes_from_the_file(spark, tmp_path):
+    fields = [("C", "C", 4, 0)]
+    raw = bytearray(formats.dbf(fields, [["né".encode("cp850")]]))
+    raw[29] = 0x02
+    (tmp_path / "a.dbf").write_bytes(bytes(raw))
+    assert rows(dbf.read_dbf(spark, str(tmp_path))) == [("né",)]
+    (tmp_path / "a.dbf").write_bytes(formats.dbf(fields, [["ż".encode("cp1250")]]))
+    (tmp_path / "a.cpg").write_text("1250")
+    assert rows(dbf.read_dbf(spark, str(tmp_path))) == [("ż",)]
+    (tmp_path / "a.cpg").write_text("UTF-8")
+    assert rows(dbf.read_dbf(spark, str(tmp_path), encoding="cp1250")) == [("ż",)]
+    # A value that is cut inside a character leaves the others alone.
+    (tmp_path / "a.cpg").unlink()
+    (tmp_path / "a.dbf").write_bytes(formats.dbf(fields, [["né".encode()], [b"abc\xc3"], ["é".encode()]]))
+    for size in (1, 1000):
+        assert {r.c for r in dbf.read_dbf(spark, str(tmp_path), splitBytes=size).collect()} == {"né", "abcÃ", "é"}
+    assert [dbf.code_page(x) for x in (b"", b"utf8\n", b"ISO 88591", b"ANSI 1252", b"OEM 850", b"8859-2")] == [
+        None, "utf-8", "iso8859-1", "cp1252", "cp850", "iso8859-2"
+    ]
+
+
+def test_headers_of_all_files_are_merged(spark, tmp_path):
+    (tmp_path / "a.dbf").write_bytes(formats.dbf([("N", "N", 3, 0), ("C", "C", 4, 0), ("X", "N", 4, 0)], [[b"7", b"a", b"1"]]))
+    (tmp_path / "b.dbf").write_bytes(formats.dbf([("N", "N", 5, 2), ("X", "C", 4, 0), ("Y", "D", 8, 0)], [[b"1.25", b"t", b"20250102"]]))
+    frame = dbf.read_dbf(spark, str(tmp_path))
+    assert frame.dtypes == [("n", "double"), ("c", "string"), ("x", "string"), ("y", "date")]
+    assert rows(frame) == sorted([(7.0, "a", "1", None), (1.25, None, "t", datetime.date(2025, 1, 2))], key=str)
+
+
+def test_wide_numbers_keep_their_digits(spark, tmp_path):
+    (tmp_path / "a.dbf").write_bytes(formats.dbf([("N", "N", 20, 0)], [[b"12345678901234567891"], [b""]]))
+    frame = dbf.read_dbf(spark, str(tmp_path))
+    assert frame.dtypes == [("n", "decimal(20,0)")]
+    assert rows(frame) == sorted([(decimal.Decimal("12345678901234567891"),), (None,)], key=str)
+
+
+@pytest.mark.parametrize("text, want", [
+    ('GEOGCS["GCS_North_American_1983",DATUM["D_North_American_1983"]]', 4269),
+    ('GEOGCS["WGS 84",DATUM["WGS_1984",AUTHORITY["EPSG","6326"]],AUTHORITY["EPSG","4326"]]', 4326),
+    ('PROJCS["Mine",GEOGCS["WGS 84",AUTHORITY["EPSG","4326"]],UNIT["metre",1]]', None), ("", None), (None, None),
+])
+def test_srid_of_projection(text, want):
+    assert shapefile.srid_of(text) == want
 
 
 def test_table_that_fails_midway_gives_no_rows(spark, tmp_path, monkeypatch):
@@ -245,12 +315,21 @@ def test_import_from_archives_to_tables(spark, archive_dir, tmp_path, database):
     counts = import_streets.import_streets(spark, root, out, database, ("edges", "addr"), year="2025")
     assert sorted(tuple(r) for r in counts.collect()) == [("addr", 9), ("edges", 9)]
     edges = spark.table(f"{database}.edges")
-    assert edges.columns[-5:] == ["geometry", "xmin", "ymin", "xmax", "ymax"]
+    assert {"geometry", "xmin", "ymin", "xmax", "ymax", "srid", "mtfcc"} <= set(edges.columns)
     (row,) = edges.where("tlid = 60011").collect()
-    assert (row.statefp, row.countyfp, row.zipl) == ("06", "001", "00501")
+    assert (row.statefp, row.countyfp, row.zipl, row.mtfcc) == ("06", "001", "00501", "S1400")
     assert formats.read_wkb(row.geometry) == (2, [(1, 1), (2, 2)])
     failed = import_streets.load_errors(spark, f"{out}/addr").collect()
     assert {r.source_table for r in failed} == {"tl_2025_13005_addr", "tl_2025_13001_addrfeat"}
+    # An archive that cannot be read any more leaves what was loaded alone.
+    spoiled = archive_dir / "tl_2025_13001_addr.zip"
+    whole = spoiled.read_bytes()
+    spoiled.write_bytes(b"this is no archive")
+    import_streets.load_dataset(spark, root, out, "addr")
+    assert import_streets.loaded_rows(spark, f"{out}/addr", "addr").count() == 9
+    failed = {r.source_table for r in import_streets.load_errors(spark, f"{out}/addr").collect()}
+    assert failed == {"tl_2025_13001_addr", "tl_2025_13005_addr", "tl_2025_13001_addrfeat"}
+    spoiled.write_bytes(whole)
     # Loading one state again replaces its counties and leaves the others.
     import_streets.load_dataset(spark, root, out, "addr", state="13")
     assert import_streets.loaded_rows(spark, f"{out}/addr", "addr").count() == 9

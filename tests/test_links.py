@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from centerline.operators import links, requests, worklist
@@ -124,3 +125,12 @@ def test_requests(spark):
     assert [r.dataset for r in requests.request_errors(checked).collect()] == ["ROADS"]
     ok = requests.accepted(checked).orderBy("request_id", "position").select("dataset").collect()
     assert [r.dataset for r in ok] == ["EDGES", "FACES", "EDGES", "ADDR", "FEATNAMES"]
+
+
+@pytest.mark.parametrize("raw, want", [
+    ("a&#47;b.zip", "a/b.zip"), ("q&#x2F;c", "q/c"), ("caf&eacute;", "café"), ("a&amp;lt;b", "a&lt;b"), ("x&b=1&nope;", "x&b=1&nope;"),
+    ("&#8364;&apos;&#X41", "€'A"), ("&#0;&#1114112;&", "&#0;&#1114112;&"), ("plain", "plain"), ("&quot;&lt;&gt;", '"<>'),
+])
+def test_character_references(spark, raw, want):
+    frame = spark.createDataFrame([(raw,)], "raw string")
+    assert frame.select(pages.resolved(F.col("raw"))).first()[0] == want

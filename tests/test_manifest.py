@@ -223,6 +223,10 @@ def test_outcomes(spark):
     marks = spark.createDataFrame(rows, schemas.MARK_EVENTS)
     got = {(r.state_fips, r.level): tuple(r)[2:] for r in worklist.outcome_counts(marks).collect()}
     assert got == {("06", 0): (1, 0, 1), ("13", 0): (0, 1, 0), (None, 1): (1, 1, 1)}
+    odd = marks.where("kind = 'failed'").limit(1).select("seq", "ts", "kind", "url", "path", "state_fips", "size", "bytes_downloaded")
+    texts = ["error 4040", "14048", "status=404", "404", "Not Found", "http/1.1 404 gone"]
+    shown = odd.crossJoin(marks.sparkSession.createDataFrame([(t,) for t in texts], "error string"))
+    assert worklist.outcome_counts(shown).where("level = 1").first().not_found == 4
     plain = worklist.outcome_counts(marks, not_found_from_error=False).where("level = 1").first()
     assert tuple(plain)[2:] == (1, 2, 0)
 
@@ -259,6 +263,20 @@ def test_json_document(spark, tables, tmp_path):
     assert back["discovered_urls"].count() == tables["discovered_urls"].count()
 
 
+def test_json_in_several_documents(spark, tables, tmp_path):
+    path = str(tmp_path / "docs")
+    manifest_json.write_document(tables, path, 5)
+    lines = [line for p in glob.glob(f"{path}/part-*") for line in open(p)]
+    assert len(lines) == 5 and all(isinstance(json.loads(line)["files"], dict) for line in lines)
+    back = manifest_json.read_document(spark, path)
+    for name, columns in (("files", "*"), ("states", "*"), ("url_lists", "url, list_type"), ("discovered_urls", "state_fips, url")):
+        got, want = (t[name].selectExpr(*columns.split(", ")).collect() for t in (back, tables))
+        assert sorted(map(str, got)) == sorted(map(str, want)) and got
+    (tmp_path / "bad.json").write_text('{"files": {"a": ')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        manifest_json.read_document(spark, str(tmp_path / "bad.json"))["files"].collect()
+
+
 def test_json_of_an_empty_manifest(spark, tmp_path):
     empty = manifest_json.empty_tables(spark)
     manifest_json.write_document(empty, str(tmp_path / "doc"))

@@ -148,8 +148,6 @@ def test_type_maps():
     assert kinds == {"C": "string", "N": "double", "F": "double", "I": "int", "D": "date",
                      "L": "boolean", "X": "string"}
     assert typemap.dbf_spark_type("N", 10, 0).simpleString() == "bigint"
-    assert typemap.dbf_spark_type("N", 19, 0).simpleString() == "double"
+    assert typemap.dbf_spark_type("N", 19, 0).simpleString() == "decimal(19,0)"
     assert typemap.dbf_spark_type("N", 10, 2).simpleString() == "double"
-    ogr = {t: typemap.ogr_spark_type(t).simpleString() for t in ("int:10", "int32", "float:24.15", "real", "date", "str:80")}
-    assert list(ogr.values()) == ["bigint", "bigint", "double", "double", "string", "string"]
-    assert typemap.ogr_spark_type("date", dates_as_text=False).simpleString() == "date"
+    assert typemap.dbf_spark_type("N", 20).simpleString() == "decimal(20,0)"

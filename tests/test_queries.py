@@ -4,8 +4,8 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from centerline.plans.catalogue import ORACLES, QUERIES
 
-QUERIES = entry.queries()
 WITH_FILES = {"dbf_roundtrip", "shp_roundtrip", "zip_expand", "zip_tables", "zip_shapes", "wkb_roundtrip"}
 
 
@@ -15,13 +15,14 @@ def db(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(QUERIES)
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and ORACLES.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, db, name):
     frame = QUERIES[name](spark, sf_dir)
-    _, problem = oracle.compare(frame, db, entry.oracle_sql()[name])
+    _, problem = oracle.compare(frame, db, ORACLES[name])
     assert problem is None
     text = frame._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", text)

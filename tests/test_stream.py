@@ -1,5 +1,4 @@
 import random
-import re
 
 from centerline.operators import manifest
 from centerline.plans import schemas
@@ -26,6 +25,7 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = {
         "files": ("marks", manifest.fold_files), "url_lists": ("marks", manifest.fold_url_lists),
         "discovered_urls": ("calls", manifest.fold_discovered), "mark_counters": ("marks", manifest.count_marks),
+        "called_urls": ("calls", manifest.fold_calls),
     }
     for view, (name, fold) in batch.items():
         events, schema = sources[name]
@@ -45,23 +45,8 @@ def test_stream_equals_batch(spark, tmp_path):
     want = rows(manifest.fold_files(spark.createDataFrame(marks + late, schemas.MARK_EVENTS)))
     assert rows(manifest_stream.current(spark, "files", root)) == want
 
-    # After a compaction the earlier changes are not needed, and later ones count.
-    last = manifest_stream.compact(spark, "files", root)
-    assert rows(manifest_stream.current(spark, "files", root)) == want
-    text = manifest_stream.current(spark, "files", root)._jdf.queryExecution().executedPlan().toString()
-    assert re.search(rf"PartitionFilters: \[isnotnull\(batch#\d+\), \(batch#\d+ > {last}", text)
-    more = [(20_000, 9.0, "failed", "u1", "p1", "01", None, None, "new")]
-    spark.createDataFrame(more, schemas.MARK_EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "marks"))
-    stream = spark.readStream.schema(schemas.MARK_EVENTS).parquet(str(tmp_path / "marks"))
-    manifest_stream.start_view(stream, "files", root).awaitTermination()
-    want = rows(manifest.fold_files(spark.createDataFrame(marks + late + more, schemas.MARK_EVENTS)))
-    assert rows(manifest_stream.current(spark, "files", root)) == want
-
     # The states of the stream are its counters and the calls.
-    states = manifest.merge_counters(
-        manifest_stream.current(spark, "mark_counters", root),
-        manifest.count_calls(spark.createDataFrame(calls, schemas.DISCOVER_CALLS)),
-    )
+    states = manifest_stream.states(spark, root)
     both = manifest.fold_states(
         spark.createDataFrame(marks, schemas.MARK_EVENTS), spark.createDataFrame(calls, schemas.DISCOVER_CALLS)
     )
