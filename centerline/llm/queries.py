@@ -77,6 +77,28 @@ def op3_balanced_shards(spark, sf):
     )
 
 
+# CRC-32 byte by byte: the table of the reflected polynomial comes from its rule.
+ORACLES["op3_balanced_shards"] = """
+WITH t AS (
+  SELECT list(v ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(strlen(text), 0) + 1 AS size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS b
+  FROM documents),
+k AS (
+  SELECT r, doc_id, size, xor(list_reduce(list_prepend(4294967295, b),
+    lambda a, x: xor(a >> 8, crc[xor(a, x) % 256 + 1])), 4294967295) AS text_crc32 FROM d, t),
+o AS (
+  SELECT *, row_number() OVER w AS n, sum(size) OVER w - size AS start, sum(size) OVER () AS total FROM k
+  WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size, r ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT *, CAST(start * 8 // total AS INTEGER) AS shard FROM o)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY n) - 1 AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard FROM s"""
+
+
 @query
 def op4_token_counts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
