@@ -19,7 +19,7 @@ from centerline.plans.inputs import (
     FX_CALLS, FX_COUNTIES, FX_FILES, FX_LINKS, FX_LISTING, FX_MARKS, code, table,
 )
 from centerline.session import scratch_dir
-from centerline.sources import archive_tables, dbf, dims, files, manifest_json, pages, shapefile
+from centerline.sources import archive_tables, catalog, dbf, dims, files, manifest_json, pages, shapefile
 from centerline.streaming import manifest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -783,6 +783,38 @@ def consolidate_by_name(spark, sf):
     )
 
 
+@query("catalog_steps", """
+WITH a AS (SELECT count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS ids FROM lineitem WHERE l_returnflag IN ('A', 'N')),
+t AS (SELECT l_returnflag AS flag, count(*) AS n FROM lineitem GROUP BY 1), o AS (SELECT count(*) AS n FROM orders)
+SELECT 'listed' AS step, 'tl_2025_13000_addr' AS table_name, NULL AS n_rows, NULL AS ids
+UNION ALL SELECT 'listed', 'tl_2025_13001_addr', NULL, NULL UNION ALL SELECT 'listed', 'tl_2025_13009_addr', NULL, NULL
+UNION ALL SELECT 'written', 'addr', n, ids FROM a
+UNION ALL SELECT 'refused: 6 columns, expected 3', 'tl_2025_13009_addr', NULL, NULL
+UNION ALL SELECT 'left', 'addr', least(n, 10), NULL FROM a
+UNION ALL SELECT 'left', 'tl_2025_13009_addr', least(n, 10), NULL FROM o
+UNION ALL SELECT 'left', name, 0, NULL FROM (VALUES ('edge'), ('feature'), ('feature_edge'), ('place'), ('range')) s(name)""")
+def catalog_steps(spark, sf):
+    """Per-county tables listed, consolidated into one and dropped; the star schema; the first rows of what is left."""
+    path = scratch_dir(spark, "database")
+    database = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    item = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_partkey", "l_linestatus")
+    for number, flag in enumerate("AN"):
+        own = item.where(F.col("l_returnflag") == flag).drop("l_returnflag")
+        own.write.saveAsTable(f"{database}.tl_2025_1300{number}_addr")
+    table(spark, sf, "orders").write.saveAsTable(f"{database}.tl_2025_13009_addr")
+    # A row per table: what the catalog holds is small.
+    rows = [("listed", r.table_name, None, None) for r in catalog.list_tables(spark, database, "addr").collect()]
+    counts, rejects = con.consolidate_catalog(spark, database, ("addr",), drop_sources=True)
+    ids = spark.table(f"{database}.addr").agg(F.sum("l_orderkey")).first()[0]
+    rows += [("written", r.table_name, r.n_rows, ids) for r in counts.collect()]
+    rows += [(f"refused: {r.reason}", r.source_table, None, None) for r in rejects.collect()]
+    layout.create_star_schema(spark, database)
+    rows += [("left", name, first.count(), None) for name, first in catalog.preview(spark, database, 10).items()]
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.createDataFrame(rows, "step string, table_name string, n_rows bigint, ids bigint")
+
+
 @query("append_by_position", """
 SELECT c_custkey AS c_custkey, c_name AS c_name FROM customer
 UNION ALL SELECT s_suppkey, s_name FROM supplier""")
