@@ -115,6 +115,69 @@ def op5_simhash_near_dedup(spark, sf):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _rotated(x: str, bits: int) -> str:
+    """A 64-bit number turned left, in 128-bit arithmetic modulo ``m``."""
+    return f"(({x}) * {1 << bits}::UHUGEINT % m + ({x}) * {1 << bits}::UHUGEINT // m)"
+
+
+def _lane(x: str) -> str:
+    return f"({_rotated(f'{x} * p2 % m', 31)} * p1 % m)"
+
+
+# XXH64 from its published rules; lanes are read from the hexadecimal text of a shingle.
+ORACLES["op5_simhash_near_dedup"] = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+'), []) AS w
+  FROM documents),
+g AS (
+  SELECT r, array_to_string(w[s:s + 2], ' ') AS shingle
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS s FROM d WHERE len(w) > 0)),
+u AS (SELECT DISTINCT shingle, hex(encode(shingle)) AS h, strlen(shingle) AS n FROM g),
+b AS (
+  SELECT shingle, n, n // 32 * 4 AS striped, 18446744073709551616::UHUGEINT AS m,
+    list_transform(range(n // 8), lambda i: CAST('0x' || array_to_string(list_reverse(
+      regexp_extract_all(substr(h, 16 * i + 1, 16), '..')), '') AS UHUGEINT)) AS lanes,
+    CASE WHEN n % 8 >= 4 THEN CAST('0x' || array_to_string(list_reverse(
+      regexp_extract_all(substr(h, n // 8 * 16 + 1, 8), '..')), '') AS UHUGEINT) END AS half,
+    list_transform(regexp_extract_all(substr(h, n // 4 * 8 + 1), '..'), lambda x: CAST('0x' || x AS UHUGEINT)) AS rest,
+    11400714785074694791::UHUGEINT AS p1, 14029467366897019727::UHUGEINT AS p2, 1609587929392839161::UHUGEINT AS p3,
+    9650029242287828579::UHUGEINT AS p4, 2870177450012600261::UHUGEINT AS p5, 42::UHUGEINT AS seed
+  FROM u),
+v AS (
+  SELECT *, list_transform([seed + p1 + p2, seed + p2, seed, m + seed - p1], lambda start, i: list_reduce(
+    list_prepend(start % m, lanes[i:striped:4]), lambda a, x: {_rotated("(a + x * p2 % m) % m", 31)} * p1 % m)) AS acc
+  FROM b),
+s AS (
+  SELECT *, (n::UHUGEINT + CASE WHEN striped = 0 THEN seed + p5 ELSE list_reduce(list_prepend(
+      ({_rotated("acc[1]", 1)} + {_rotated("acc[2]", 7)} + {_rotated("acc[3]", 12)} + {_rotated("acc[4]", 18)}) % m, acc),
+    lambda a, x: (xor(a, {_lane("x")}) * p1 + p4) % m) END) % m AS h0
+  FROM v),
+l AS (
+  SELECT *, list_reduce(list_prepend(h0, lanes[striped + 1:]),
+    lambda a, x: ({_rotated(f"xor(a, {_lane('x')})", 27)} * p1 + p4) % m) AS h1 FROM s),
+q AS (
+  SELECT *, CASE WHEN half IS NULL THEN h1 ELSE ({_rotated("xor(h1, half * p1 % m)", 23)} * p2 + p3) % m END AS h2 FROM l),
+y AS (SELECT *, list_reduce(list_prepend(h2, rest), lambda a, x: {_rotated("xor(a, x * p5 % m)", 11)} * p1 % m) AS h3 FROM q),
+z AS (
+  SELECT shingle, CAST(xor(h5, h5 // {1 << 32}::UHUGEINT) AS UBIGINT) AS x FROM (
+    SELECT *, xor(h4, h4 // {1 << 29}::UHUGEINT) * p3 % m AS h5 FROM (
+      SELECT *, xor(h3, h3 // {1 << 33}::UHUGEINT) * p2 % m AS h4 FROM y))),
+c AS (
+  SELECT r, bit, count(*) AS n, count(*) FILTER (WHERE (x >> bit) & 1::UBIGINT = 1) AS ones
+  FROM (SELECT r, x, CAST(unnest(range(64)) AS UBIGINT) AS bit FROM g JOIN z USING (shingle)) GROUP BY r, bit),
+f AS (
+  SELECT d.r, doc_id, coalesce(fp, 0)::UBIGINT AS fp FROM d LEFT JOIN (
+    SELECT r, bit_or(CASE WHEN 2 * ones > n THEN 1::UBIGINT << bit ELSE 0::UBIGINT END) AS fp FROM c GROUP BY r) USING (r)),
+e AS (SELECT DISTINCT fp FROM f),
+k AS (SELECT a.fp AS a, b.fp AS b FROM e a JOIN e b ON bit_count(xor(a.fp, b.fp)) <= 3),
+t AS (SELECT a AS fp, a AS to_fp FROM k UNION SELECT t.fp, k.b FROM t JOIN k ON t.to_fp = k.a)
+SELECT doc_id, lower(lpad(hex(fp), 16, '0')) AS fingerprint, component_id
+FROM f JOIN (SELECT t.fp, min(f.doc_id) AS component_id FROM t JOIN f ON f.fp = t.to_fp GROUP BY 1) USING (fp)
+"""
+
+
 @query
 def op6_recompression_dedup(spark, sf):
     found = recompression.recompression_dedup(table(spark, sf, "documents"), 20)
@@ -131,6 +194,20 @@ def op7_main_text(spark, sf):
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+# The pages of these tables hold one article each, with headings and paragraphs as blocks.
+ORACLES["op7_main_text"] = r"""
+WITH a AS (
+  SELECT page_id, url, unnest(list_transform(string_split_regex(
+      regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:p|h1|li|ul)(?:\s[^>]*)?>'),
+    lambda x, i: {'i': i, 'x': replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')})) AS b
+  FROM pages),
+t AS (SELECT page_id, url, b.i AS i, trim(regexp_replace(b.x, '\s+', ' ', 'g')) AS block FROM a),
+j AS (SELECT page_id, url, string_agg(block, chr(10) || chr(10) ORDER BY i) AS text FROM t WHERE block <> '' GROUP BY 1, 2)
+SELECT p.page_id, p.url, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars
+FROM pages p LEFT JOIN j ON p.page_id = j.page_id AND p.url = j.url"""
+
+
 @query
 def op8_sampled_pieces(spark, sf):
     return pieces.with_pieces(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
