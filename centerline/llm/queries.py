@@ -65,10 +65,77 @@ def op2_quality_rules(spark, sf):
     judged = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "stratum", "broken",
+        "stratum", F.array_join("broken", ",").alias("broken"),
     )
 
 
+def _quality_sql(risk: float = 0.01, error: float = 0.05, weight: float = 10.0) -> str:
+    """The rules in SQL. A bound is within the risk if so few failures have at most the error's chance at that risk."""
+    names = list(quality.RULES)
+    values = {
+        "symbols": "n_symbols / nullif(n_words, 0)", "dup_lines": "n_dup_lines / nullif(n_lines, 0)",
+        "repeats": "n_repeat_words / nullif(n_words, 0)", "long_words": "word_chars / nullif(n_words, 0)",
+        "short_words": "-(word_chars / nullif(n_words, 0))",
+    }
+    cutoffs = ", ".join(
+        f"({n}, '{name}', {i}, {float(c)!r}::DOUBLE)"
+        for n, name in enumerate(names) for i, c in enumerate(quality.RULES[name][1])
+    )
+    measured = " UNION ALL ".join(f"SELECT r, '{name}' AS rule, {values[name]} AS value FROM m" for name in names)
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+x AS (
+  SELECT r, s, array_to_string(w[s:s + 4], ' ') AS run FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS s FROM d)),
+y AS (
+  SELECT r, count(DISTINCT pos) AS n FROM (
+    SELECT r, unnest(range(s, s + 5)) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY r, run) AS n FROM x) WHERE n > 1)
+  GROUP BY r),
+m AS (
+  SELECT d.r, doc_id, stratum, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda v: length(v))), 0) AS BIGINT) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
+    len(w) < 10 OR 100 * coalesce(n, 0) > 20 * len(w) AS base_failed
+  FROM d LEFT JOIN y ON d.r = y.r),
+v AS ({measured}),
+k AS (
+  SELECT r, stratum, quality FROM m JOIN (
+    SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1)
+    USING (doc_id) WHERE NOT base_failed AND quality IN (0, 1)),
+t AS (
+  SELECT stratum, count(*) FILTER (WHERE quality = 1) AS clean, count(*) FILTER (WHERE quality = 0) AS bad FROM k GROUP BY 1),
+c(place, rule, i, cutoff) AS (VALUES {cutoffs}),
+n AS (
+  SELECT stratum, rule, i, cutoff, count(*) FILTER (WHERE quality = 1 AND value > cutoff) AS clean_over,
+    count(*) FILTER (WHERE quality = 0 AND value > cutoff) AS bad_over
+  FROM k JOIN v USING (r) JOIN c USING (rule) GROUP BY ALL),
+p AS (
+  SELECT n.*, clean, bad, clean > 0 AND bad > 0 AND clean_over < clean AND list_sum(list_transform(range(clean_over + 1),
+      lambda j: exp(lgamma(clean + 1) - lgamma(j + 1) - lgamma(clean - j + 1) + j * ln({risk}) + (clean - j) * ln(1 - {risk}))))
+    <= {error} / greatest(1, (SELECT count(*) FROM t) * {len(names)}) AS fine
+  FROM n JOIN t USING (stratum)),
+q AS (
+  SELECT *, bad_over / bad - {weight} * clean_over / clean AS gain FROM (
+    SELECT *, bool_and(fine) OVER (PARTITION BY stratum, rule ORDER BY i) AS reached FROM p) WHERE reached),
+z AS (
+  SELECT stratum, rule, cutoff FROM (
+    SELECT *, row_number() OVER (PARTITION BY stratum, rule ORDER BY round(gain, 10) DESC, i) AS n FROM q WHERE gain > 1e-12)
+  WHERE n = 1),
+b AS (
+  SELECT m.r, string_agg(z.rule, ',' ORDER BY place) AS broken FROM m JOIN z USING (stratum)
+  JOIN v ON v.r = m.r AND v.rule = z.rule AND v.value > z.cutoff
+  JOIN (SELECT DISTINCT place, rule FROM c) o ON o.rule = z.rule GROUP BY m.r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND broken IS NULL AS kept, stratum, coalesce(broken, '') AS broken
+FROM m LEFT JOIN b ON m.r = b.r"""
+
+
+ORACLES["op2_quality_rules"] = _quality_sql()
+
+
 @query
 def op3_balanced_shards(spark, sf):
     return sharding.balanced_shards(table(spark, sf, "documents"), 8).select(
