@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centerline.session import scratch_dir
@@ -60,10 +60,6 @@ def batch_of(columns: dict[str, pa.Array | list | np.ndarray]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in columns.values()], list(columns))
 
 
-def same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -84,11 +80,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary(dict):
-    """Numbers of words within a task, with two 64-bit hashes of each; bounded by ``limit`` words.
-
-    ``numbers`` empties the table first if it has grown past the limit, so that numbers are valid until the
-    next call only.
-    """
+    """Numbers of words within a task; ``trim`` empties it once it holds more than ``limit`` words."""
 
     def __init__(self, limit: int = 1_000_000):
         super().__init__()
@@ -124,7 +116,7 @@ class WordHashes:
             self.known = 0
         ids = self.words.numbers(words)
         if len(self.words) > self.known:
-            new = list(self.words)[self.known:] if self.known == 0 else _tail(self.words, self.known)
+            new = _tail(self.words, self.known)
             while len(self.first) < len(self.words):
                 self.first = np.concatenate([self.first, np.empty_like(self.first)])
                 self.second = np.concatenate([self.second, np.empty_like(self.second)])

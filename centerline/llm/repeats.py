@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from centerline.llm.common import WordHashes, batch_of, in_blocks, mix, texts_of, written
 
 U = np.uint64
-# Bits of a sort key that hold a position within a block; the others hold the order of the anchor there.
-_AT = 26
+# Bits of a sort key that hold a position within a block, as many as a text can have words; the others hold the order
+# of the anchor there.
+_AT = 31
 _AT_MASK = U((1 << _AT) - 1)
 # Odd bases of the rolling hashes, and their inverses modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
