@@ -104,29 +104,30 @@ class Tokens:
         )
 
 
-def _bounds(buckets: int) -> np.ndarray:
-    """First key of each bucket; keys are spread evenly over 64 bits."""
-    return np.array([(b << 64) // buckets for b in range(buckets)], dtype=np.uint64)
+def _cuts(keys: np.ndarray, buckets: int) -> tuple[list[int], list[int]]:
+    """Buckets that sorted keys fall into, and where each begins; keys are spread evenly over 64 bits."""
+    bucket = (keys >> U(32)) * U(buckets) >> U(32)
+    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return bucket[at].tolist(), [*at.tolist(), len(keys)]
 
 
 def _asked(buckets: int):
     """The different tokens and pairs of each chunk, with how often it has them for training, dealt out by key."""
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bounds = WordHashes(), _bounds(buckets)
+        hashes = WordHashes()
         for batch in batches:
             for chunk, held, payload in zip(*(batch.column(x).to_pylist() for x in ("chunk", "held", "payload"))):
                 tokens = Tokens(payload, hashes)
                 for order, keys, counts in ((0, tokens.kinds, tokens.kind_counts), (1, tokens.pairs, tokens.pair_counts)):
                     counts = np.zeros_like(counts) if held else counts
-                    cuts = np.append(np.searchsorted(keys, bounds), len(keys))
-                    found = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+                    found, cuts = _cuts(keys, buckets)
+                    spans = list(zip(cuts, cuts[1:]))
                     yield batch_of({
                         "chunk": pa.array([chunk] * len(found), pa.int64()),
                         "bucket": pa.array([order * buckets + b for b in found], pa.int64()),
-                        "keys": pa.array([
-                            _planes(np.diff(keys[cuts[b]:cuts[b + 1]], prepend=U(0))) for b in found], pa.binary()),
-                        "counts": pa.array([_planes(counts[cuts[b]:cuts[b + 1]]) for b in found], pa.binary()),
+                        "keys": pa.array([_planes(np.diff(keys[a:z], prepend=U(0))) for a, z in spans], pa.binary()),
+                        "counts": pa.array([_planes(counts[a:z]) for a, z in spans], pa.binary()),
                     })
 
     return asked
