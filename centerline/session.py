@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 # Runtime settings every job here expects; all of them are Spark defaults in
@@ -23,6 +24,9 @@ JOB_CONF = {
 }
 
 
+# Paths that ``scratch_dir`` has handed out.
+_MADE: list[str] = []
+
 # Scratch folder of a local run whose session names no shared folder.
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -58,4 +62,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created there yet."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what this process has put below the shared folder, and tables that lie there; number of folders.
+
+    For use when no frame that reads them is needed any more.
+    """
+    made = {path.split(":", 1)[-1].replace("//", "/") for path in _MADE}
+    for row in spark.catalog.listTables():
+        if row.isTemporary or row.tableType != "EXTERNAL":
+            continue
+        detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED `{row.name}`").collect()}
+        if detail.get("Location", "").split(":", 1)[-1].replace("//", "/") in made:
+            spark.sql(f"DROP TABLE `{row.name}`")
+    removed = 0
+    while _MADE:
+        path = _MADE.pop()
+        filesystem, plain = (fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path))
+        if filesystem.get_file_info(plain).type == fs.FileType.Directory:
+            filesystem.delete_dir(plain)
+            removed += 1
+    return removed

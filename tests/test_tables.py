@@ -214,3 +214,14 @@ def test_manifest_layout_prunes(spark, tmp_path):
     one = layout.read_manifest(spark, str(tmp_path / "m"), "06").where("status = 'completed'")
     assert "PartitionFilters: [isnotnull(state_folder" in plan(one) and "EqualTo(status,completed)" in plan(one)
     assert [r.path for r in one.collect()] == ["p1"]
+
+
+def test_scratch_is_cleared(spark):
+    from centerline import session
+
+    session.clear_scratch(spark)
+    path = session.scratch_dir(spark, "mine")
+    spark.range(3).write.option("path", path).saveAsTable("mine_table")
+    session.scratch_dir(spark, "never_written")
+    assert session.clear_scratch(spark) == 1
+    assert not spark.catalog.tableExists("mine_table") and session.clear_scratch(spark) == 0
