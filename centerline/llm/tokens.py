@@ -24,6 +24,16 @@ SETTLED = (
 )
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable characters of Latin-1 stand for themselves, the other bytes in order for those from 256 on.
+    """
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
 def load(path: str):
     """The tokenizer and its special strings, longest first."""
     from tokenizers import Tokenizer
@@ -145,6 +155,7 @@ def with_token_counts(
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, special = shared(path)
         split = splitter(special)
+        merge, characters = encoder.model.tokenize, byte_characters()
         unsettled = re.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in SETTLED) + "]")
         known = worker_store().setdefault(f"token lengths {path}", {})
         known.update(table.value)
@@ -158,9 +169,9 @@ def with_token_counts(
                 known.clear()
                 known.update(table.value)
                 new = list({p for f in found if f for p in f[0]} - known.keys())
-            for at in range(0, len(new), 4096):
-                some = new[at:at + 4096]
-                known.update(zip(some, map(len, encoder.encode_batch_fast(some, add_special_tokens=False))))
+            # A pre-token goes straight to the merges; cutting and mapping it again is what costs in the library.
+            for p in new:
+                known[p] = len(merge(p.encode().decode("latin-1").translate(characters)))
             for t, f in zip(texts, found):
                 yield len(encoder.encode(t, add_special_tokens=False)) if f is None else f[1] + sum(map(known.__getitem__, f[0]))
 
