@@ -246,7 +246,7 @@ def sampled(text: Column, key: Column, path: str, alpha: float = 0.5, seed: int
         pieces = Pieces(path, ranked)
         for texts, keys in batches:
             whole = pa.RecordBatch.from_arrays([texts, keys], ["text", "key"])
-            out = [drawn(b, pieces, alpha, seed) for b in in_blocks([whole], "text", 4 << 20)]
+            out = [drawn(b, pieces, alpha, seed) for b in in_blocks([whole], "text", 1 << 20)]
             yield pa.concat_arrays(out) if out else pa.array([], _sampled_type())
 
     return draw(text.cast("string"), F.coalesce(F.xxhash64(key), F.lit(0)))

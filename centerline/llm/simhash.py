@@ -48,7 +48,8 @@ def fingerprints(text: Column, size: int = 3) -> Column:
         found = [_fingerprint(t, size, xxhash.xxh64_intdigest) for t in texts_of(texts)]
         return pa.array(np.array(found, dtype=np.uint64).view(np.int64))
 
-    return fingerprint(text.cast("string"))
+    # Never null, and known not to be: else a join by it would test that with a computation of its own.
+    return F.coalesce(fingerprint(text.cast("string")), F.lit(0).cast("long"))
 
 
 def links(marks: DataFrame, within: int = 3) -> DataFrame:
