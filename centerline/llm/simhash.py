@@ -82,7 +82,8 @@ def links(marks: DataFrame, within: int = 3) -> DataFrame:
     right = variants.select("rest", "slot", F.col("fp").alias("b"), F.col("one").alias("b_one"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= within
     meet = F.when(F.col("a_one").isNull(), F.col("a") < F.col("b")).otherwise(~F.col("a_one") & F.col("b_one"))
-    return left.join(right, ["rest", "slot"]).where(meet & near).select(
+    # Spark takes the size of the table before it is multiplied by the variants, and might broadcast it.
+    return left.hint("merge").join(right, ["rest", "slot"]).where(meet & near).select(
         F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")
     )
 
