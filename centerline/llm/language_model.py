@@ -190,17 +190,55 @@ def _held_out(buckets: int):
     return outcomes
 
 
+_DELETED = "bucket int, pair long, context long, token long, rest long, n long"
+
+
+def _deleted(buckets: int, total: int):
+    """The different outcomes among training tokens, each with its number; counts are less those of the token's text."""
+
+    def own(doc: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        _, at, n = np.unique(doc * (int(kind.max()) + 1) + kind, return_inverse=True, return_counts=True)
+        return n[at]
+
+    def outcomes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, *counts = _counted(pa.Table.from_batches(list(batches)), buckets, WordHashes())
+        ends = np.append(tokens.first[1:], tokens.sizes.sum())
+        # Whole texts of about 2**17 tokens at a time: a longer text is alone.
+        texts = np.flatnonzero(np.diff(ends >> 17, prepend=-1, append=1 << 46))
+        for i, j in zip(texts[:-1], texts[1:]):
+            a, z = int(tokens.first[i]), int(ends[j - 1])
+            doc = np.repeat(np.arange(i, j), tokens.sizes[i:j])
+            token, context, pair = (x[a:z].astype(np.int64) for x in counts)
+            own_token = own(doc, tokens.kind[a:z])
+            own_context = np.concatenate(([1], own_token[:-1]))
+            own_context[tokens.first[i:j] - a] = 1  # each text begins once
+            pair, context, token = pair - own(doc, tokens.pair[a:z]), context - own_context, token - own_token
+            rest = total - tokens.sizes[doc]
+            key = np.zeros(len(token), dtype=np.uint64)
+            for x in (pair, context, token, rest):
+                key = mix(key * _PAIR + x.astype(np.uint64))
+            _, at, n = np.unique(key, return_index=True, return_counts=True)
+            yield batch_of({
+                "bucket": pa.array(_bucket_of(context[at]), pa.int32()), "pair": pa.array(pair[at]),
+                "context": pa.array(context[at]), "token": pa.array(token[at]), "rest": pa.array(rest[at], pa.int64()),
+                "n": pa.array(n, pa.int64()),
+            })
+
+    return outcomes
+
+
 def learn_weights(outcomes: DataFrame, tokens: int, kinds: int, rounds: int = 20, enough: float = 1e-3) -> np.ndarray:
     """Weights of the pair, single and uniform estimates for each bucket of context counts, by expectation-maximisation.
 
-    ``outcomes`` has the different outcomes of held-out tokens and their numbers. Each round is one aggregation to a
+    ``outcomes`` has the different outcomes of held-out tokens and their numbers, and ``rest``, if its counts are out
+    of other numbers of tokens than ``tokens``. Each round is one aggregation to a
     row per bucket. One token is added to each part of a mixture, so that no weight is 0; buckets without held-out
     tokens keep equal weights. Ends after ``rounds`` rounds or when no weight moves by ``enough``.
     """
     weights = np.full((BUCKETS, 3), 1 / 3)
     estimates = (
         F.when(F.col("context") > 0, F.col("pair") / F.col("context")).otherwise(0.0),
-        F.col("token") / F.lit(float(max(tokens, 1))),
+        F.col("token") / (F.greatest("rest", F.lit(1)) if "rest" in outcomes.columns else F.lit(float(max(tokens, 1)))),
         F.lit(1.0 / (kinds + 1)),
     )
     for _ in range(rounds):
@@ -256,12 +294,14 @@ def is_held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
 
 def score_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: Column | None = None,
-    chunk_bytes: int = 8 << 20,
+    chunk_bytes: int = 8 << 20, weights_from: str = "held_out",
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
-    Tokens are the words of a text with A-Z in lower case, then an end. Documents that are not held out are counted;
-    the weights of the mixture are learned from those that are, and all are scored. ``base_score`` is the add-one
+    Tokens are the words of a text with A-Z in lower case, then an end. Documents that are not held out are counted,
+    and all are scored. With ``weights_from`` "training" the weights of the mixture are learned from the counted
+    documents too, each token under the counts less those of its own document, and held-out ones change nothing but
+    their own rows; with "held_out" the weights are learned from those. ``base_score`` is the add-one
     unigram score, ``score`` the log10 probability under
 
         w2(b) c(context, token) / c(context) + w1(b) c(token) / N + w0(b) / (V + 1)
@@ -276,6 +316,8 @@ def score_documents(
     A null or empty text is an end alone; null ids count for training; repeated rows count each; an empty table gives
     no rows.
     """
+    if weights_from not in ("training", "held_out"):
+        raise ValueError("weights_from is training or held_out")
     spark = docs.sparkSession
     held = is_held_out(F.col(doc_id)) if held_out is None else held_out
     rows = docs.select(
@@ -291,7 +333,10 @@ def score_documents(
     ).unionAll(answers.where("chunk IS NOT NULL").select(
         "chunk", "bucket", "counts", F.lit(None).cast("binary").alias("payload"), F.lit(None).cast("boolean").alias("held")
     ))
-    held_chunks = chunks.where("held").select("chunk")
-    outcomes = both.join(held_chunks, "chunk", "left_semi").groupBy("chunk").applyInArrow(_held_out(buckets), _HELD)
+    training = weights_from == "training"
+    learned = chunks.where(~F.col("held") if training else F.col("held")).select("chunk")
+    outcomes = both.join(learned, "chunk", "left_semi").groupBy("chunk").applyInArrow(
+        *((_deleted(buckets, n), _DELETED) if training else (_held_out(buckets), _HELD))
+    )
     weights = learn_weights(written(outcomes, "lm-held-out"), n, kinds)
     return both.groupBy("chunk").applyInArrow(_scores(buckets, weights, n, kinds), _SCORED)

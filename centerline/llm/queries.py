@@ -324,4 +324,4 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)"""
 
 @query
 def op10_deleted_interpolation(spark, sf):
-    return language_model.score_documents(table(spark, sf, "documents"))
+    return language_model.score_documents(table(spark, sf, "documents"), weights_from="training")
