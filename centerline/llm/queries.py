@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from centerline.llm import decontaminate, language_model, pages, pieces, quality, recompression, sharding, simhash, suffixes, tokens
+from centerline.llm import (
+    decontaminate, filter_audit, hard_negatives, language_model, pages, pieces, quality, recompression, records, sharding,
+    simhash, suffixes, tokens,
+)
+from centerline.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -325,3 +329,85 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)"""
 @query
 def op10_deleted_interpolation(spark, sf):
     return language_model.score_documents(table(spark, sf, "documents"), weights_from="training")
+
+
+@query
+def op11_hard_negatives(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf, "embeddings"), label=label)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, e.vec_id AS id, a.label = e.label AS alike,
+    CAST(list_inner_product(a.q, e.q) AS BIGINT) AS score
+  FROM e a JOIN e ON a.vec_id % 100 = 0 AND a.vec_id <> e.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10"""
+
+
+@query
+def op12_token_records(spark, sf):
+    tokenizer, path = public_tokenizers.path("byte_bpe_50k.json"), scratch_dir(spark, "token-records")
+    index = records.write_records(table(spark, sf, "documents"), path, tokenizer, end_id=2)
+    found = records.read_records(index, path, tokenizer)
+    # One row for each file.
+    return found.join(F.broadcast(records.starts(index)), "part").select(
+        "doc_id", (F.col("start") + F.col("before")).alias("start"), F.size("ids").cast("long").alias("n_tokens"),
+        records.ids_checksum(F.col("ids")).alias("ids_crc32"),
+    )
+
+
+@query
+def op13_filter_audit(spark, sf):
+    return filter_audit.interactions(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+ORACLES["op13_filter_audit"] = """
+WITH l(c, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (
+  SELECT v.c || w.c || x.c || y.c || z.c AS filter_order, [v, w, x, y, z] AS ls FROM l v, l w, l x, l y, l z
+  WHERE len(list_distinct([v.c, w.c, x.c, y.c, z.c])) = 5),
+s AS (
+  SELECT filter_order, step, ls[step].c AS letter, ls[step].b AS bit,
+    CAST(coalesce(list_sum(list_transform(ls[:step - 1], lambda x: x.b)), 0) AS INTEGER) AS before
+  FROM (SELECT filter_order, ls, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM o)),
+d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, coalesce(doc_id, 9223372036854775807) AS id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN id > min(id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+  FROM d),
+k AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+c AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM f LEFT JOIN k USING (doc_id) GROUP BY 1, 2),
+t AS (
+  SELECT part, filter_order, step, letter,
+    CAST(coalesce(sum(n) FILTER (WHERE mask & (before | bit) = 0), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & before = 0), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & before > 0), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (WHERE mask = bit), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (WHERE mask & bit > 0 AND mask & before = 0), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (WHERE mask & bit > 0 AND mask & before = 0), 0) AS BIGINT) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM t"""
