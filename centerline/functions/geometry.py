@@ -67,30 +67,152 @@ def wkb_point(wkb: Column) -> Column:
     return decode(wkb)
 
 
-def wkb_coordinates(wkb: Column) -> Column:
-    """Coordinates of all points of a line or several, in order: ``array<double>``; NULL for other shapes."""
+# WKB types whose members are geometries of their own, and how deep they may stand in each other.
+_POINT, _LINE, _POLYGON, _COLLECTIONS = 1, 2, 3, (4, 5, 6, 7)
+_DEPTH = 8
 
-    @F.arrow_udf("array<double>")
+RUNS = "array<struct<part:int,ring:int,xy:array<double>>>"
+
+
+def _at(data: np.ndarray, at: np.ndarray, width: int, kind: str) -> np.ndarray:
+    """Numbers of ``width`` bytes at some places."""
+    if not len(at):
+        return np.zeros((0, width // np.dtype(kind).itemsize), kind)
+    return np.lib.stride_tricks.sliding_window_view(data, width)[at].view(kind)
+
+
+def _buffers(wkb: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of a column, where each value begins and ends, with NULLs empty."""
+    wkb = wkb.cast(pa.large_binary())
+    if not len(wkb):
+        return np.zeros(0, "u1"), np.zeros(0, "i8"), np.zeros(0, "i8")
+    offsets = np.frombuffer(wkb.buffers()[1], "<i8")[wkb.offset:wkb.offset + len(wkb) + 1]
+    known = np.asarray(wkb.is_valid())
+    return np.frombuffer(wkb.buffers()[2] or b"", dtype="u1"), offsets[:-1], np.where(known, offsets[1:], offsets[:-1])
+
+
+def _runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The runs of points in a column of WKB: row, part, ring, first byte and number of points, in order by row.
+
+    Every value has a place to read at and a stack of what is still to come, all values' in arrays. A step reads a
+    head or a ring for all values that are not done, so there are as many steps as the longest value has heads and
+    rings. What is big-endian, cut off, of another type or followed by more bytes has no runs, and is told as bad.
+    """
+    n = len(begin)
+    at, depth, bad = begin.copy(), np.zeros(n, "i8"), begin == end
+    left = np.zeros((n, _DEPTH), "i8")  # members to come, by depth
+    left[:, 0] = 1
+    rings = np.zeros(n, "i8")  # rings to come of the polygon being read
+    part, ring = np.full(n, -1), np.zeros(n, "i8")
+    found: list[tuple[np.ndarray, ...]] = []
+
+    def points(rows: np.ndarray, ring_of: np.ndarray, first: np.ndarray, count: np.ndarray) -> None:
+        fits = first + 16 * count <= end[rows]
+        bad[rows[~fits]] = True
+        rows, ring_of, first, count = (x[fits] for x in (rows, ring_of, first, count))
+        found.append((rows, part[rows], ring_of, first, count))
+        at[rows] = first + 16 * count
+
+    while True:
+        # What has no members left at its depth goes back up.
+        while True:
+            up = np.flatnonzero(~bad & (rings == 0) & (depth > 0) & (left[np.arange(n), depth] == 0))
+            if not len(up):
+                break
+            depth[up] -= 1
+        more = ~bad & ((rings > 0) | (left[np.arange(n), depth] > 0))
+        inner = np.flatnonzero(more & (rings > 0))
+        outer = np.flatnonzero(more & (rings == 0))
+        if not len(inner) and not len(outer):
+            break
+        short = inner[at[inner] + 4 > end[inner]]
+        bad[short] = True
+        inner = np.setdiff1d(inner, short, assume_unique=True)
+        if len(inner):
+            count = _at(data, at[inner], 4, "<u4")[:, 0].astype("i8")
+            rings[inner] -= 1
+            points(inner, ring[inner].copy(), at[inner] + 4, count)
+            ring[inner] += 1
+        short = outer[at[outer] + 5 > end[outer]]
+        bad[short] = True
+        outer = np.setdiff1d(outer, short, assume_unique=True)
+        if not len(outer):
+            continue
+        kind = _at(data, at[outer] + 1, 4, "<u4")[:, 0].astype("i8")
+        wrong = (data[at[outer]] != 1) | ~np.isin(kind, (_POINT, _LINE, _POLYGON, *_COLLECTIONS))
+        wrong |= (kind != _POINT) & (at[outer] + 9 > end[outer])
+        wrong |= np.isin(kind, _COLLECTIONS) & (depth[outer] + 1 >= _DEPTH)
+        bad[outer[wrong]] = True
+        outer, kind = outer[~wrong], kind[~wrong]
+        left[outer, depth[outer]] -= 1
+        group = np.isin(kind, _COLLECTIONS)
+        part[outer[~group]] += 1
+        lone = outer[kind == _POINT]
+        points(lone, np.zeros(len(lone), "i8"), at[lone] + 5, np.ones(len(lone), "i8"))
+        counted, kind = outer[kind != _POINT], kind[kind != _POINT]
+        count = _at(data, at[counted] + 5, 4, "<u4")[:, 0].astype("i8")
+        at[counted] += 9
+        line = kind == _LINE
+        points(counted[line], np.zeros(int(line.sum()), "i8"), at[counted[line]], count[line])
+        area = kind == _POLYGON
+        rings[counted[area]], ring[counted[area]] = count[area], 0
+        group = ~line & ~area
+        depth[counted[group]] += 1
+        left[counted[group], depth[counted[group]]] = count[group]
+    bad |= at != end
+    runs = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, "i8")] * 5
+    order = np.flatnonzero(~bad[runs[0]])
+    order = order[np.lexsort((runs[3][order], runs[0][order]))]
+    return (*(x[order] for x in runs), bad)
+
+
+def _coordinates(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Coordinates of runs of points, one run after the other."""
+    within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    return _at(data, np.repeat(first, count) + 16 * within, 16, "<f8").ravel() if len(within) else np.zeros(0)
+
+
+def _lists(counts: np.ndarray, bad: np.ndarray | None, values: pa.Array) -> pa.Array:
+    offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
+    return pa.ListArray.from_arrays(offsets, values, mask=None if bad is None else pa.array(bad))
+
+
+def _wkb_to_runs(wkb: pa.Array) -> pa.Array:
+    data, begin, end = _buffers(wkb)
+    row, part, ring, first, count, bad = _runs(data, begin, end)
+    xy = _lists(2 * count, None, pa.array(_coordinates(data, first, count)))
+    runs = pa.StructArray.from_arrays([pa.array(part, pa.int32()), pa.array(ring, pa.int32()), xy], ["part", "ring", "xy"])
+    return _lists(np.bincount(row, minlength=len(wkb)), bad, runs)
+
+
+def _wkb_to_coordinates(wkb: pa.Array) -> pa.Array:
+    data, begin, end = _buffers(wkb)
+    row, _, _, first, count, bad = _runs(data, begin, end)
+    return _lists(np.bincount(row, weights=2 * count, minlength=len(wkb)).astype("i8"), bad, pa.array(_coordinates(data, first, count)))
+
+
+def wkb_runs(wkb: Column) -> Column:
+    """The runs of points of any WKB geometry: ``array<struct<part, ring, xy>>``.
+
+    A run is a point, a line or a ring; ``part`` counts the points, lines and polygons of a collection, ``ring`` the
+    rings of a polygon (0: its shell). NULL for NULL and for what is no little-endian WKB of two dimensions.
+    """
+
+    @F.arrow_udf(RUNS)
     def decode(wkb: pa.Array) -> pa.Array:
-        return pa.array([_line_coordinates(b) for b in wkb.to_pylist()], pa.list_(pa.float64()))
+        return _wkb_to_runs(wkb)
 
     return decode(wkb)
 
 
-def _line_coordinates(blob: bytes | None) -> np.ndarray | None:
-    if blob is None or blob[:1] != b"\x01":
-        return None
-    kind, count = np.frombuffer(blob, "<u4", 2, 1).tolist()
-    if kind == 2:
-        return np.frombuffer(blob, "<f8", 2 * count, 9)
-    if kind != 5:
-        return None
-    parts, at = [], 9
-    for _ in range(count):
-        points = int(np.frombuffer(blob, "<u4", 1, at + 5)[0])
-        parts.append(np.frombuffer(blob, "<f8", 2 * points, at + 9))
-        at += 9 + 16 * points
-    return np.concatenate(parts)
+def wkb_coordinates(wkb: Column) -> Column:
+    """Coordinates of all points of any WKB geometry, in order: ``array<double>``; NULL where ``wkb_runs`` is."""
+
+    @F.arrow_udf("array<double>")
+    def decode(wkb: pa.Array) -> pa.Array:
+        return _wkb_to_coordinates(wkb)
+
+    return decode(wkb)
 
 
 def srid(value: int | None = None) -> Column:

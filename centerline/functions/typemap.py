@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Iterable
+
 from pyspark.sql import types as T
 
 # DBF field codes and the SQL types they load as.
@@ -56,3 +59,22 @@ def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     if isinstance(a, numbers) and isinstance(b, numbers) and not any(isinstance(t, T.DecimalType) for t in (a, b)):
         return T.DoubleType()
     return None
+
+
+def merged_schema(found: Iterable[tuple[str, T.DataType]]) -> T.StructType:
+    """Fields of several files, by name, in the order they are met.
+
+    A field whose types differ gets the wider one; where only text holds both it
+    becomes text, and a warning names it.
+    """
+    fields: dict[str, T.DataType] = {}
+    for name, kind in found:
+        known = fields.setdefault(name, kind)
+        if known != kind:
+            wide = wider_type(known, kind)
+            if wide is None:
+                if not isinstance(known, T.StringType):
+                    warnings.warn(f"column {name} is {known.simpleString()} and {kind.simpleString()}: read as text")
+                wide = T.StringType()
+            fields[name] = wide
+    return T.StructType([T.StructField(n, k) for n, k in fields.items()])

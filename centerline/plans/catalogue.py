@@ -1018,6 +1018,72 @@ def dbf_roundtrip(spark, sf):
     return _plain(dbf.read_dbf(spark, path))
 
 
+_FAULT_FIELDS = [roundtrip.DbfField("p_partkey", "N", 12), roundtrip.DbfField("p_name", "C", 60), roundtrip.DbfField("p_size", "N", 6)]
+
+
+@query("dbf_faults", """
+WITH p AS (
+  SELECT p_partkey // 100 AS grp, p_partkey, p_size, p_partkey % 701 = 5 AS spoiled,
+    row_number() OVER (PARTITION BY p_partkey // 100 ORDER BY p_partkey) AS n FROM part),
+b AS (SELECT grp, min(n) FILTER (WHERE spoiled) AS bad_record FROM p GROUP BY 1)
+SELECT grp, p_partkey, CAST(p_size AS BIGINT) AS p_size, CAST(NULL AS BIGINT) AS bad_record
+FROM p JOIN b USING (grp) WHERE bad_record IS NULL
+UNION ALL SELECT grp, NULL, NULL, bad_record FROM b WHERE bad_record IS NOT NULL""")
+def dbf_faults(spark, sf):
+    """Files of 100 records in splits of some 40, of which those with an unreadable number come out as one row."""
+    path = scratch_dir(spark, "dbf")
+    size = F.when(F.col("p_partkey") % 701 == 5, "x9").otherwise(F.col("p_size").cast("string"))
+    rows = table(spark, sf, "part").withColumns({"grp": F.expr("p_partkey div 100"), "p_size": size})
+    roundtrip.write_files(rows, _FAULT_FIELDS, path, "parts", by="grp")
+    found = dbf.read_dbf(spark, path, splitBytes=3200, sourceColumn="file", errorColumn="problem")
+    number = lambda c, pattern: F.regexp_extract(c, pattern, 1).try_cast("bigint")
+    return found.select(
+        number("file", r"parts(\d+)$").alias("grp"), "p_partkey", "p_size", number("problem", r"record (\d+):").alias("bad_record")
+    )
+
+
+# Closed rings of unit steps: shells clockwise, holes the other way round.
+_SHELL = [(0, 0), (0, 4), (4, 4), (4, 0), (0, 0)]
+_HOLE = [(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)]
+_EAST = [[(x + 5, y) for x, y in ring] for ring in (_SHELL, _HOLE)]
+# By the remainder of the key: shape type, rings as they stand in the file, and the place of each in the result.
+_SHAPES = [
+    (5, [_SHELL, _HOLE], [(0, 0), (0, 1)]),
+    (5, [_EAST[1], _SHELL, _HOLE, _EAST[0]], [(1, 1), (0, 0), (0, 1), (1, 0)]),
+    (3, [_SHELL, _EAST[1], _HOLE], [(0, 0), (1, 0), (2, 0)]),
+]
+_CORNERS = ", ".join(
+    f"({case}, {part}, {ring}, {n}, {x}, {y})"
+    for case, (_, rings, places) in enumerate(_SHAPES)
+    for points, (part, ring) in zip(rings, places) for n, (x, y) in enumerate(points)
+)
+
+
+@query("polygon_roundtrip", f"""
+WITH c(case_id, part, ring, n, dx, dy) AS (VALUES {_CORNERS}),
+p AS (
+  SELECT c_custkey, part, ring, n, CAST(c_custkey % 100 * 10 + dx AS DOUBLE) AS x, CAST(c_custkey // 100 * 10 + dy AS DOUBLE) AS y
+  FROM customer JOIN c ON c_custkey % 3 = case_id)
+SELECT *, min(x) OVER w AS xmin, min(y) OVER w AS ymin, max(x) OVER w AS xmax, max(y) OVER w AS ymax, 4269 AS srid
+FROM p WINDOW w AS (PARTITION BY c_custkey)""")
+def polygon_roundtrip(spark, sf):
+    """Polygons with holes, several polygons and lines of several parts: every point of each."""
+    path = scratch_dir(spark, "polygons")
+    key = F.col("c_custkey")
+    for case, (kind, rings, _) in enumerate(_SHAPES):
+        flat = [c for ring in rings for x, y in ring for c in (key % 100 * 10 + x, F.expr("c_custkey div 100") * 10 + y)]
+        rows = table(spark, sf, "customer").where(key % 3 == case).withColumn("points", F.array(*flat))
+        starts = [sum(map(len, rings[:i])) for i in range(len(rings))]
+        roundtrip.write_files(rows, [roundtrip.DbfField("c_custkey", "N", 12)], path, f"case{case}x", "points", starts, kind=kind)
+    found = shapefile.read_shapefile(spark, path).select(
+        "c_custkey", F.explode(geometry.wkb_runs(F.col("geometry"))).alias("run"), "xmin", "ymin", "xmax", "ymax", "srid"
+    ).select("*", F.explode(F.expr("sequence(0, cast(size(run.xy) div 2 AS int) - 1)")).alias("n"))
+    return found.select(
+        "c_custkey", "run.part", "run.ring", "n", F.get("run.xy", F.col("n") * 2).alias("x"),
+        F.get("run.xy", F.col("n") * 2 + 1).alias("y"), "xmin", "ymin", "xmax", "ymax", "srid",
+    )
+
+
 _LINE_FIELDS = [roundtrip.DbfField("vec_id", "N", 12), roundtrip.DbfField("label", "N", 8)]
 _LINE_SQL = f"WITH {_POINTS}" + """
 SELECT vec_id, CAST(label AS BIGINT) AS label, n, x, y, xmin, ymin, xmax, ymax, 4269 AS srid FROM points

@@ -48,8 +48,8 @@ def dbf_bytes(fields: list[DbfField], records: list[str]) -> bytes:
     return head + b"\r" + "".join(records).encode("ascii") + b"\x1a"
 
 
-def line_bytes(points: np.ndarray, parts: list[int]) -> tuple[bytes, bytes]:
-    """Polyline ``.shp`` and ``.shx`` bytes; all records have the same part starts.
+def line_bytes(points: np.ndarray, parts: list[int], kind: int = 3) -> tuple[bytes, bytes]:
+    """Polyline or polygon (``kind`` 5) ``.shp`` and ``.shx`` bytes; all records have the same part starts.
 
     ``points`` is records by points by two.
     """
@@ -63,7 +63,7 @@ def line_bytes(points: np.ndarray, parts: list[int]) -> tuple[bytes, bytes]:
 
     put(0, np.arange(1, count + 1), ">i4")
     put(4, np.full(count, content // 2), ">i4")
-    put(8, np.full(count, 3), "<i4")
+    put(8, np.full(count, kind), "<i4")
     low, high = points.min(axis=1), points.max(axis=1)
     put(12, np.hstack([low, high]), "<f8")
     put(44, np.tile([len(parts), n_points, *parts], (count, 1)), "<i4")
@@ -73,7 +73,7 @@ def line_bytes(points: np.ndarray, parts: list[int]) -> tuple[bytes, bytes]:
     box = [*low.min(axis=0), *high.max(axis=0)] if count else [0.0] * 4
 
     def head(size: int) -> bytes:
-        return struct.pack(">i20xi", 9994, (100 + size) // 2) + struct.pack("<2i4d32x", 1000, 3, *box)
+        return struct.pack(">i20xi", 9994, (100 + size) // 2) + struct.pack("<2i4d32x", 1000, kind, *box)
 
     return head(body.nbytes) + body.tobytes(), head(len(index)) + index
 
@@ -89,34 +89,46 @@ def zip_bytes(members: dict[str, bytes]) -> bytes:
 def write_files(
     rows: DataFrame, fields: list[DbfField], path: str, stem: str,
     points: str | None = None, parts: list[int] | None = None, zipped: bool = False,
-    deleted: str | None = None,
+    deleted: str | None = None, kind: int = 3, by: str | None = None,
 ) -> None:
     """Write the rows as DBF files, shapefiles (with a point list), or zip archives.
 
-    A file is named by its task and batch, so a repeated task writes it again.
+    A file is named by its task and batch, so a repeated task writes it again; with ``by``
+    there is a file for each value of that column, with its records in order.
     """
     columns = [record_text(fields, deleted).alias("record")]
     if points:
         columns.append(F.col(points).cast("array<double>").alias("points"))
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
+    def put(name: str, batch: pa.RecordBatch | pa.Table) -> pa.Table:
         filesystem, folder = ranges.open_fs(path)
         filesystem.create_dir(folder, recursive=True)
+        members = {f"{name}.dbf": dbf_bytes(fields, batch.column(0).to_pylist())}
+        if points:
+            lists = batch.column(1)
+            lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            members[f"{name}.prj"] = b'GEOGCS["GCS_North_American_1983",DATUM["D_North_American_1983"]]'
+            members[f"{name}.shp"], members[f"{name}.shx"] = line_bytes(
+                flat.reshape(batch.num_rows, -1, 2), parts or [0], kind
+            )
+        if zipped:
+            members = {f"{name}.zip": zip_bytes(members)}
+        for member, content in members.items():
+            with filesystem.open_output_stream(f"{folder}/{member}") as out:
+                out.write(content)
+        return pa.table({"file": pa.array([name]), "n": pa.array([batch.num_rows], pa.int64())})
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
-            name = f"tl_2025_{task % 100:02d}{number % 1000:03d}_{stem}{task}x{number}"
-            members = {f"{name}.dbf": dbf_bytes(fields, batch.column(0).to_pylist())}
-            if points:
-                flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-                members[f"{name}.prj"] = b'GEOGCS["GCS_North_American_1983",DATUM["D_North_American_1983"]]'
-                members[f"{name}.shp"], members[f"{name}.shx"] = line_bytes(
-                    flat.reshape(batch.num_rows, -1, 2), parts or [0]
-                )
-            if zipped:
-                members = {f"{name}.zip": zip_bytes(members)}
-            for member, content in members.items():
-                with filesystem.open_output_stream(f"{folder}/{member}") as out:
-                    out.write(content)
-            yield pa.RecordBatch.from_pydict({"file": [name], "n": [batch.num_rows]})
-
-    rows.select(*columns).mapInArrow(write, "file string, n bigint").write.format("noop").mode("overwrite").save()
+            yield from put(f"tl_2025_{task % 100:02d}{number % 1000:03d}_{stem}{task}x{number}", batch).to_batches()
+
+    def write_group(group: pa.Table) -> pa.Table:
+        return put(f"tl_2025_13001_{stem}{group.column('by')[0].as_py()}", group.sort_by("record"))
+
+    if by:
+        done = rows.select(*columns, F.col(by).alias("by")).groupBy("by").applyInArrow(write_group, "file string, n bigint")
+    else:
+        done = rows.select(*columns).mapInArrow(write, "file string, n bigint")
+    done.write.format("noop").mode("overwrite").save()

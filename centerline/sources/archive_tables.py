@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from centerline.functions.typemap import merged_schema
 from centerline.sources import dbf, files, ranges, shapefile
 
 SUFFIXES = (".shp", ".shx", ".dbf", ".cpg", ".prj")
@@ -58,7 +59,7 @@ def archive_schema(archives: DataFrame, dates_as_text: bool = False) -> T.Struct
     ).orderBy("position", "name", "kind").collect()
     if not rows:
         raise ValueError("no archive holds a table to take a schema from")
-    merged = dbf.merged_schema((r.name, T.DataType.fromDDL(r.kind)) for r in rows)
+    merged = merged_schema((r.name, T.DataType.fromDDL(r.kind)) for r in rows)
     return T.StructType(merged.fields + (shapefile.GEOMETRY_FIELDS if any(r.shaped for r in rows) else []))
 
 
@@ -97,6 +98,6 @@ def read_tables(archives: DataFrame, schema: T.StructType, **options) -> DataFra
                     # A table counts as a whole or not at all, so its rows wait until the last is decoded.
                     yield from rows(stem, parts)
                 except BAD_TABLE as problem:
-                    yield ranges.error_batch(arrow, options, stem or ranges.stem_of(path), problem)
+                    yield ranges.error_batch(arrow, options, stem or ranges.stem_of(path), f"{type(problem).__name__}: {problem}")
 
     return files.archive_units(archives).mapInArrow(decode, out)

@@ -10,8 +10,7 @@ from __future__ import annotations
 import codecs
 import re
 import struct
-import warnings
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,8 +22,8 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from centerline.functions.typemap import dbf_spark_type, wider_type
-from centerline.sources import ranges
+from centerline.functions.typemap import dbf_spark_type
+from centerline.sources import ranges, scans
 
 
 # Language bytes of a header and the encodings they stand for.
@@ -146,10 +145,13 @@ def decode_field(
         text = pc.if_else(pc.equal(pc.utf8_trim(text, characters="0"), ""), None, text)
         return pc.strptime(text, format="%Y%m%d", unit="s").cast(pa.date32()).cast(want)
     text = pc.if_else(pc.equal(text, ""), None, text)
-    try:
+    if not pa.types.is_integer(want):
         return text.cast(want)
-    except pa.ArrowInvalid:  # a decimal point in a field of whole numbers
-        return text.cast(pa.float64()).cast(want)
+    # A decimal point in a field of whole numbers; each value is read by itself.
+    pointed = pc.match_substring_regex(text, "[.eE]")
+    if not pc.any(pointed).as_py():
+        return text.cast(want)
+    return pc.if_else(pointed, pc.if_else(pointed, text, None).cast(pa.float64()).cast(want), pc.if_else(pointed, None, text).cast(want))
 
 
 def decode_records(
@@ -164,14 +166,15 @@ def decode_records(
         count = min(step, last - start)
         block = file.read_at(count * header.record_length, header.length + start * header.record_length)
         raw = np.frombuffer(block, dtype="u1").reshape(count, header.record_length)
-        columns = {
-            out.name: decode_field(
-                raw[:, f.offset:f.offset + f.width], f.code, out.type, encoding, blank_null
-            )
-            for out in schema
-            if (f := by_name.get(out.name)) is not None
-        }
-        yield start, raw[:, 0] != ord("*"), columns
+
+        def fields(a: int, z: int, raw=raw) -> dict[str, pa.Array]:
+            return {
+                out.name: decode_field(raw[a:z, f.offset:f.offset + f.width], f.code, out.type, encoding, blank_null)
+                for out in schema
+                if (f := by_name.get(out.name)) is not None
+            }
+
+        yield start, raw[:, 0] != ord("*"), ranges.or_first_fault(fields, 0, count, start, (ValueError, LookupError))
 
 
 def to_batch(schema: pa.Schema, columns: dict[str, pa.Array], keep: np.ndarray) -> pa.RecordBatch:
@@ -205,25 +208,6 @@ def dbf_batches(
         yield to_batch(schema, columns, keep)
 
 
-def merged_schema(found: Iterable[tuple[str, T.DataType]]) -> T.StructType:
-    """Fields of several files, by name, in the order they are met.
-
-    A field whose types differ gets the wider one; where only text holds both it
-    becomes text, and a warning names it.
-    """
-    fields: dict[str, T.DataType] = {}
-    for name, kind in found:
-        known = fields.setdefault(name, kind)
-        if known != kind:
-            wide = wider_type(known, kind)
-            if wide is None:
-                if not isinstance(known, T.StringType):
-                    warnings.warn(f"column {name} is {known.simpleString()} and {kind.simpleString()}: read as text")
-                wide = T.StringType()
-            fields[name] = wide
-    return T.StructType([T.StructField(n, k) for n, k in fields.items()])
-
-
 def sibling(filesystem: fs.FileSystem, plain: str, suffix: str) -> str | None:
     """Path of the file of the same name with another suffix, if it exists."""
     for s in (suffix, suffix.upper()):
@@ -232,75 +216,40 @@ def sibling(filesystem: fs.FileSystem, plain: str, suffix: str) -> str | None:
     return None
 
 
-def report_fault(schema: pa.Schema, options: dict, path: str, problem: Exception) -> Iterator[pa.RecordBatch]:
-    """A row in ``errorColumn`` for a file that is no good; without that column an error.
+def _open_page(filesystem: fs.FileSystem, plain: str) -> bytes | None:
+    page = sibling(filesystem, plain, ".cpg")
+    if page is None:
+        return None
+    with filesystem.open_input_file(page) as file:
+        return file.read()
 
-    ``mode=DROPMALFORMED`` leaves the file out, ``FAILFAST`` always raises.
-    """
-    mode = options.get("mode", "permissive").lower()
-    report = ranges.error_batch(schema, options, ranges.stem_of(path), problem)
-    if mode == "failfast" or (report is None and mode != "dropmalformed"):
-        raise problem
-    if report is not None:
-        yield report
-
-
-class _DbfReader(DataSourceReader):
-    def __init__(self, schema: T.StructType, options: dict):
-        self.arrow = to_arrow_schema(schema)
-        self.options = options
-
-    def partitions(self):
-        target = int(self.options.get("splitbytes", ranges.SPLIT_BYTES))
-        return ranges.split_pieces(ranges.list_sizes(self.options, ".dbf"), target)
-
-    def read(self, partition: ranges.Pieces):
-        for piece in partition.pieces:
-            filesystem, plain = ranges.open_fs(piece.path)
-            page = sibling(filesystem, plain, ".cpg")
-            text = None
-            if page:
-                with filesystem.open_input_file(page) as file:
-                    text = file.read()
-            with filesystem.open_input_file(plain) as file:
-                try:
-                    yield from dbf_batches(
-                        file, self.arrow, self.options, ranges.stem_of(piece.path), piece.start, piece.stop, text
-                    )
-                except (ValueError, LookupError) as problem:  # a bad format; faults of the store end the task
-                    yield from report_fault(self.arrow, self.options, piece.path, problem)
-
-
-def scan_schema(options: dict, suffix: str, fields: list[T.StructField]) -> T.StructType:
-    """Merged columns of all tables a scan covers, then ``fields``; bad files are left to the scan."""
-
-    def columns() -> Iterator[tuple[str, T.DataType]]:
-        for path, _ in ranges.list_sizes(options, suffix):
-            filesystem, plain = ranges.open_fs(path)
-            table = plain if suffix == ".dbf" else sibling(filesystem, plain, ".dbf")
-            if table is None:
-                continue
-            with filesystem.open_input_file(table) as file:
-                try:
-                    header = read_header(file, whole=False)
-                except ValueError:
-                    continue
-            strict, as_text = (options.get(o) == "true" for o in ("stricttypes", "datesastext"))
-            yield from ((f.name, f.dataType) for f in header_schema(header, strict, as_text))
-
-    found = merged_schema(columns())
-    if not found.fields:
-        raise ValueError("no readable file to take a schema from")
-    return ranges.pick_columns(T.StructType(found.fields + fields), options)
+
+def _piece_batches(piece: ranges.Piece, schema: pa.Schema, options: dict) -> Iterator[pa.RecordBatch]:
+    filesystem, plain = ranges.open_fs(piece.path)
+    page = _open_page(filesystem, plain)
+    with filesystem.open_input_file(plain) as file:
+        yield from dbf_batches(file, schema, options, ranges.stem_of(piece.path), piece.start, piece.stop, page)
+
+
+def table_fields(path: str, options: dict) -> list[T.StructField]:
+    """Columns that the header of a DBF file names."""
+    filesystem, plain = ranges.open_fs(path)
+    with filesystem.open_input_file(plain) as file:
+        header = read_header(file, whole=False)
+    strict, as_text = (options.get(o) == "true" for o in ("stricttypes", "datesastext"))
+    return header_schema(header, strict, as_text).fields
+
+
+FORMAT = scans.Format(".dbf", table_fields, _piece_batches, (ValueError, LookupError))
 
 
 class DbfSource(DataSource):
-    """``spark.read.format("dbf").load(path)``.
+    """``spark.read.format("dbf").load(path)``; ``read_dbf`` does more in parallel.
 
     Options: ``columns``, ``state``, ``dataset``, ``recursiveFileLookup``,
     ``encoding``, ``blankAsNull``, ``strictTypes``, ``datesAsText``,
     ``sourceColumn``, ``errorColumn``, ``mode`` and ``splitBytes``.  Without a
-    schema the headers of all files are read first and merged.
+    schema the headers of all files are read first and merged, here on the driver.
     """
 
     @classmethod
@@ -308,14 +257,12 @@ class DbfSource(DataSource):
         return "dbf"
 
     def schema(self) -> T.StructType:
-        return scan_schema(ranges.lower_options(self.options), ".dbf", [])
+        return scans.driver_schema(FORMAT, ranges.lower_options(self.options))
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _DbfReader(schema, ranges.lower_options(self.options))
+        return scans.Reader(FORMAT, schema, ranges.lower_options(self.options))
 
 
 def read_dbf(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options) -> DataFrame:
-    """Rows of the DBF files below a path."""
-    spark.dataSource.register(DbfSource)
-    reader = spark.read.format("dbf").options(**options)
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    """Rows of the DBF files below a path; without a schema tasks read the headers of all files."""
+    return scans.scan(spark, DbfSource, FORMAT, path, schema, options)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -18,11 +19,12 @@ BATCH_BYTES = 8 << 20  # file bytes per Arrow batch
 
 @dataclass
 class Piece:
-    """A share of one file: bytes ``[start, stop)`` of the file that is split."""
+    """A share of one file: bytes ``[start, stop)`` of the file that is split, or all of it."""
 
     path: str
     start: int
     stop: int
+    whole: bool = False
 
 
 class Pieces(InputPartition):
@@ -69,17 +71,17 @@ def list_sizes(options: dict, suffix: str) -> list[tuple[str, int]]:
     )
 
 
-def split_pieces(files: list[tuple[str, int]], target: int) -> list[Pieces]:
-    """Cut large files and put small ones together, about ``target`` bytes each."""
+def split_pieces(files: list[tuple[str, int]], target: int, whole: bool = False) -> list[Pieces]:
+    """Cut large files, unless they are to stay ``whole``, and put small ones together, about ``target`` bytes each."""
     tasks, open_task, filled = [], [], 0
     for path, size in files:
-        cuts = list(range(0, size, target)) or [0]
+        cuts = [0] if whole else list(range(0, size, target)) or [0]
         for start in cuts:
-            stop = min(start + target, size)
+            stop = size if whole else min(start + target, size)
             if open_task and filled + stop - start > target:
                 tasks.append(Pieces(open_task))
                 open_task, filled = [], 0
-            open_task.append(Piece(path, start, stop))
+            open_task.append(Piece(path, start, stop, len(cuts) == 1))
             filled += stop - start
     return tasks + [Pieces(open_task)] if open_task else tasks
 
@@ -99,12 +101,37 @@ def lower_options(options: dict) -> dict:
     return {k.lower(): v for k, v in options.items()}
 
 
-def error_batch(schema: pa.Schema, options: dict, stem: str, problem: Exception) -> pa.RecordBatch | None:
+def or_first_fault(decode: Callable, first: int, last: int, before: int, faults: tuple[type[Exception], ...]):
+    """What ``decode`` makes of items ``[first, last)``; if it fails, an error for the first of them that does.
+
+    Items are found by halving, so that the error is the same whatever is decoded
+    together; ``before`` items of the file stand before them.
+    """
+    try:
+        return decode(first, last)
+    except faults as problem:
+        found = problem
+    while last - first > 1:
+        middle = (first + last) // 2
+        try:
+            decode(first, middle)
+        except faults as problem:
+            last, found = middle, problem
+        else:
+            first = middle
+    try:
+        decode(first, last)
+    except faults as problem:
+        found = problem
+    raise ValueError(f"record {before + first + 1}: {found}") from found
+
+
+def error_batch(schema: pa.Schema, options: dict, stem: str, problem: str) -> pa.RecordBatch | None:
     """One row that reports a file which could not be read, if asked for."""
     column = options.get("errorcolumn")
     if not column:
         return None
-    known = {column: f"{stem}: {type(problem).__name__}: {problem}", options.get("sourcecolumn"): stem}
+    known = {column: f"{stem}: {problem}", options.get("sourcecolumn"): stem}
     return pa.RecordBatch.from_arrays(
         [pa.array([known.get(f.name)], f.type) for f in schema], schema=schema
     )

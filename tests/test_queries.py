@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 from centerline.plans.catalogue import ORACLES, QUERIES
 
-WITH_FILES = {"dbf_roundtrip", "shp_roundtrip", "zip_expand", "zip_tables", "zip_shapes", "wkb_roundtrip"}
+WITH_FILES = {"dbf_roundtrip", "dbf_faults", "polygon_roundtrip", "shp_roundtrip", "zip_expand", "zip_tables", "zip_shapes", "wkb_roundtrip"}
 
 
 @pytest.fixture(scope="module")
