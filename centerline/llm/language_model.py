@@ -115,7 +115,7 @@ def _asked(buckets: int):
     """The different tokens and pairs of each chunk, with how often it has them for training, dealt out by key."""
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(300_000)
         for batch in batches:
             for chunk, held, payload in zip(*(batch.column(x).to_pylist() for x in ("chunk", "held", "payload"))):
                 tokens = Tokens(payload, hashes)
@@ -172,29 +172,22 @@ def _bucket_of(context: np.ndarray) -> np.ndarray:
     return np.where(context > 0, np.floor(np.log2(np.maximum(context, 1).astype(np.float64))).astype(np.int64) + 1, 0)
 
 
-_HELD = "bucket int, pair long, context long, token long, n long"
+# Estimates that weights are learned from are rounded to this many steps of a halving.
+STEPS = 16
 
+_DELETED = "bucket int, double int, single int, n long"
 
-def _held_out(buckets: int):
-    """The different outcomes among held-out tokens, each with its number."""
-
-    def outcomes(rows: pa.Table) -> pa.Table:
-        _, token, context, pair = _counted(rows, buckets, WordHashes())
-        found, n = np.unique(np.stack([pair, context, token], axis=1), axis=0, return_counts=True)
-        pair, context, token = (found[:, i].astype(np.int64) for i in range(3))
-        return pa.table({
-            "bucket": pa.array(_bucket_of(context), pa.int32()), "pair": pa.array(pair), "context": pa.array(context),
-            "token": pa.array(token), "n": pa.array(n, pa.int64()),
-        })
-
-    return outcomes
 
-
-_DELETED = "bucket int, pair long, context long, token long, rest long, n long"
+def _step(estimate: np.ndarray) -> np.ndarray:
+    """0 for an estimate of 0, else 1 and the number of steps it is below 1."""
+    return np.where(estimate > 0, 1 + np.rint(-np.log2(np.where(estimate > 0, estimate, 1.0)) * STEPS), 0).astype(np.int64)
 
 
 def _deleted(buckets: int, total: int):
-    """The different outcomes among training tokens, each with its number; counts are less those of the token's text."""
+    """The different outcomes among training tokens, each with its number; counts are less those of the token's text.
+
+    An outcome is the bucket of the context and the rounded pair and single estimates, so there are few.
+    """
 
     def own(doc: np.ndarray, kind: np.ndarray) -> np.ndarray:
         _, at, n = np.unique(doc * (int(kind.max()) + 1) + kind, return_inverse=True, return_counts=True)
@@ -213,32 +206,27 @@ def _deleted(buckets: int, total: int):
             own_context = np.concatenate(([1], own_token[:-1]))
             own_context[tokens.first[i:j] - a] = 1  # each text begins once
             pair, context, token = pair - own(doc, tokens.pair[a:z]), context - own_context, token - own_token
-            rest = total - tokens.sizes[doc]
-            key = np.zeros(len(token), dtype=np.uint64)
-            for x in (pair, context, token, rest):
-                key = mix(key * _PAIR + x.astype(np.uint64))
-            _, at, n = np.unique(key, return_index=True, return_counts=True)
+            rest = np.maximum(total - tokens.sizes[doc], 1)
+            key = (_bucket_of(context) << 32) + (_step(pair / np.maximum(context, 1)) << 16) + _step(token / rest)
+            key, n = np.unique(key, return_counts=True)
             yield batch_of({
-                "bucket": pa.array(_bucket_of(context[at]), pa.int32()), "pair": pa.array(pair[at]),
-                "context": pa.array(context[at]), "token": pa.array(token[at]), "rest": pa.array(rest[at], pa.int64()),
-                "n": pa.array(n, pa.int64()),
+                "bucket": pa.array(key >> 32, pa.int32()), "double": pa.array(key >> 16 & 0xFFFF, pa.int32()),
+                "single": pa.array(key & 0xFFFF, pa.int32()), "n": pa.array(n, pa.int64()),
             })
 
     return outcomes
 
 
-def learn_weights(outcomes: DataFrame, tokens: int, kinds: int, rounds: int = 20, enough: float = 1e-3) -> np.ndarray:
+def learn_weights(outcomes: DataFrame, kinds: int, rounds: int = 20, enough: float = 1e-3) -> np.ndarray:
     """Weights of the pair, single and uniform estimates for each bucket of context counts, by expectation-maximisation.
 
-    ``outcomes`` has the different outcomes of held-out tokens and their numbers, and ``rest``, if its counts are out
-    of other numbers of tokens than ``tokens``. Each round is one aggregation to a
-    row per bucket. One token is added to each part of a mixture, so that no weight is 0; buckets without held-out
-    tokens keep equal weights. Ends after ``rounds`` rounds or when no weight moves by ``enough``.
+    ``outcomes`` has the different outcomes (``bucket, double, single``) and their numbers. Each round is one
+    aggregation to a row per bucket. One token is added to each part of a mixture, so that no weight is 0; buckets
+    without outcomes keep equal weights. Ends after ``rounds`` rounds or when no weight moves by ``enough``.
     """
     weights = np.full((BUCKETS, 3), 1 / 3)
     estimates = (
-        F.when(F.col("context") > 0, F.col("pair") / F.col("context")).otherwise(0.0),
-        F.col("token") / (F.greatest("rest", F.lit(1)) if "rest" in outcomes.columns else F.lit(float(max(tokens, 1)))),
+        *(F.when(F.col(c) > 0, F.pow(F.lit(2.0), (1 - F.col(c)) / STEPS)).otherwise(0.0) for c in ("double", "single")),
         F.lit(1.0 / (kinds + 1)),
     )
     for _ in range(rounds):
@@ -294,15 +282,15 @@ def is_held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
 
 def score_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: Column | None = None,
-    chunk_bytes: int = 8 << 20, weights_from: str = "held_out",
+    chunk_bytes: int = 4 << 20,
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Tokens are the words of a text with A-Z in lower case, then an end. Documents that are not held out are counted,
-    and all are scored. With ``weights_from`` "training" the weights of the mixture are learned from the counted
-    documents too, each token under the counts less those of its own document, and held-out ones change nothing but
-    their own rows; with "held_out" the weights are learned from those. ``base_score`` is the add-one
-    unigram score, ``score`` the log10 probability under
+    and all are scored. The weights of the mixture are learned from the counted documents too, each token under the
+    counts less those of its own document (its estimates rounded to a sixteenth of a halving), and held-out documents
+    change nothing but their own rows. ``base_score`` is the add-one unigram score, ``score`` the log10 probability
+    under
 
         w2(b) c(context, token) / c(context) + w1(b) c(token) / N + w0(b) / (V + 1)
 
@@ -316,8 +304,6 @@ def score_documents(
     A null or empty text is an end alone; null ids count for training; repeated rows count each; an empty table gives
     no rows.
     """
-    if weights_from not in ("training", "held_out"):
-        raise ValueError("weights_from is training or held_out")
     spark = docs.sparkSession
     held = is_held_out(F.col(doc_id)) if held_out is None else held_out
     rows = docs.select(
@@ -333,10 +319,8 @@ def score_documents(
     ).unionAll(answers.where("chunk IS NOT NULL").select(
         "chunk", "bucket", "counts", F.lit(None).cast("binary").alias("payload"), F.lit(None).cast("boolean").alias("held")
     ))
-    training = weights_from == "training"
-    learned = chunks.where(~F.col("held") if training else F.col("held")).select("chunk")
-    outcomes = both.join(learned, "chunk", "left_semi").groupBy("chunk").applyInArrow(
-        *((_deleted(buckets, n), _DELETED) if training else (_held_out(buckets), _HELD))
-    )
-    weights = learn_weights(written(outcomes, "lm-held-out"), n, kinds)
+    learned = chunks.where(~F.col("held")).select("chunk")
+    outcomes = both.join(learned, "chunk", "left_semi").groupBy("chunk").applyInArrow(_deleted(buckets, n), _DELETED)
+    few = outcomes.groupBy("bucket", "double", "single").agg(F.sum("n").alias("n"))
+    weights = learn_weights(written(few, "lm-outcomes"), kinds)
     return both.groupBy("chunk").applyInArrow(_scores(buckets, weights, n, kinds), _SCORED)

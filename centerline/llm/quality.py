@@ -67,7 +67,7 @@ def measures(text: Column) -> Column:
 
     @F.arrow_udf(MEASURES)
     def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = Vocabulary()
+        vocabulary = Vocabulary(250_000)
         for texts in batches:
             rows = [measure(t, vocabulary) if t else (0,) * len(_FIELDS) for t in texts_of(texts)]
             columns = np.array(rows, dtype=np.int64).reshape(-1, len(_FIELDS)).T
@@ -207,10 +207,15 @@ def judge(
 def without_rejected(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang", **options,
 ) -> DataFrame:
-    """The documents that ``judge`` keeps, with all their columns and unchanged."""
-    level = F.coalesce(F.col(stratum).cast("string"), F.lit(""))
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), level.alias("stratum"), measures(F.col(text)).alias("m"))
-    cutoffs = learn_cutoffs(narrow, labels, **options)
-    rows = docs.select(F.struct("*").alias("doc"), level.alias("stratum"), measures(F.col(text)).alias("m"))
+    """The documents that ``judge`` keeps, with all their columns and unchanged.
+
+    Nulls, repeated rows and an empty table are as in ``judge``; columns may have any names. Texts are measured once:
+    documents are written with their counts, and both learning and judging read these.
+    """
+    rows = written(docs.select(
+        F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("doc_id"),
+        F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), measures(F.col(text)).alias("m"),
+    ), "quality-rows")
+    cutoffs = learn_cutoffs(rows.select("doc_id", "stratum", "m"), labels, **options)
     kept = _with_cutoffs(rows, cutoffs).where(~base_failed("m") & (F.size(broken_rules("m")) == 0))
     return kept.select("doc.*")

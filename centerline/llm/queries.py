@@ -328,7 +328,7 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)"""
 
 @query
 def op10_deleted_interpolation(spark, sf):
-    return language_model.score_documents(table(spark, sf, "documents"), weights_from="training")
+    return language_model.score_documents(table(spark, sf, "documents"))
 
 
 @query
@@ -362,11 +362,10 @@ QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DE
 def op12_token_records(spark, sf):
     tokenizer, path = public_tokenizers.path("byte_bpe_50k.json"), scratch_dir(spark, "token-records")
     index = records.write_records(table(spark, sf, "documents"), path, tokenizer, end_id=2)
-    found = records.read_records(index, path, tokenizer)
+    found = records.check_records(index, path, tokenizer)
     # One row for each file.
     return found.join(F.broadcast(records.starts(index)), "part").select(
-        "doc_id", (F.col("start") + F.col("before")).alias("start"), F.size("ids").cast("long").alias("n_tokens"),
-        records.ids_checksum(F.col("ids")).alias("ids_crc32"),
+        "doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 

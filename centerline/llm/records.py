@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from centerline.llm.checksums import Crc32c
@@ -19,13 +21,30 @@ from centerline.sources.ranges import open_fs
 # Characters other than space and line feed that some library counts as white space: they may stand beside these.
 _OTHER_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
 
+MARK = "\0"  # in front of the first unit of a text, which no space stands before
+SPACED = "\u0120"  # Fixed value: the space in a byte-level vocabulary.
+LINES = 400  # units that the library gets at a time
+
 _HEAD = np.dtype([("doc_id", "<i8"), ("known", "u1")])
 _FRAME = 12  # the length and its checksum stand before a record, its own checksum of 4 bytes behind it
 _INDEX = "part int, file string, doc_id long, offset long, length long, n_tokens long, before long"
 _RECORD = "part int, doc_id long, before long, ids array<int>"
+_CHECKED = "part int, doc_id long, before long, n_tokens long, ids_crc32 long"
 READ_BYTES, GAP = 8 << 20, 1 << 16
 
 
+class _Packs(dict):
+    """Functions that pack so many ids, by their number."""
+
+    def __init__(self, code: str):
+        super().__init__()
+        self.code = code
+
+    def __missing__(self, n: int):
+        pack = self[n] = struct.Struct(f"<{n}{self.code}").pack
+        return pack
+
+
 class Encoder:
     """Ids of whole texts, as the library gives them; what stands between two spaces is encoded once.
 
@@ -34,7 +53,7 @@ class Encoder:
     string, go to the library as they are.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 100_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -49,6 +68,13 @@ class Encoder:
         self.limit = limit
         newline = self._whole(["\n"])[0]
         self.newline = newline[0] if len(newline) == 1 else None
+        # Letters behind a space are one pre-token, which can go straight to the merges.
+        probes = ["a", "the", "Qwzx", "internationalisation"]
+        self.merges = all(
+            [t.id for t in self.tokenizer.model.tokenize(SPACED + p)] == ids.tolist()
+            for p, ids in zip(probes, self._whole([f" {p}" for p in probes]))
+        )
+        self.packs = _Packs("H" if self.type.itemsize == 2 else "I")
         self.tails = {c: ids.tobytes() for c, ids in zip(",.;:!?", self._whole(list(",.;:!?")))}
 
     @classmethod
@@ -66,7 +92,7 @@ class Encoder:
 
     def _plain(self, text: str) -> bool:
         """Whether the text can be cut at its spaces and lines."""
-        if "  " in text or " \n" in text or "\n " in text or text.endswith(" ") or any(s in text for s in self.special):
+        if MARK in text or "  " in text or " \n" in text or "\n " in text or text.endswith(" ") or any(s in text for s in self.special):
             return False
         if "\n\n" in text and ("\n\n\n" in text or text.endswith("\n\n")):
             return False
@@ -74,68 +100,93 @@ class Encoder:
             c in text and (c + " " in text or " " + c in text or c + "\n" in text or "\n" + c in text) for c in _OTHER_SPACES
         )
 
-    def _learn(self, units: set[str]) -> None:
+    def _learn(self, units: list[str]) -> None:
         """Encode units: punctuation at an end by itself, since no pre-token holds letters and punctuation."""
-        tailed = [u for u in units if u[-1:] in self.tails and u[-2:-1].isascii() and u[-2:-1].isalnum()]
-        stems = units.difference(tailed)
+        tailed = [u for u in units if u[-1] in self.tails and len(u) > 2 and u[-2].isascii() and u[-2].isalnum()]
+        stems = set(units).difference(tailed) if tailed else set(units)
         stems.update(u[:-1] for u in tailed)
-        self._encode(stems - self.known.keys())
+        self._encode(list(stems - self.known.keys()))
         for u in tailed:
             self.known[u] = self.known[u[:-1]] + self.tails[u[-1]]
 
-    def _encode(self, units: set[str]) -> None:
-        """Encode units, many in a line of text each: a line's end is a token of its own.
+    def _encode(self, units: list[str]) -> None:
+        """Encode units, many in a text each, of which every line is a unit: a line's end is a token of its own.
 
-        A unit that begins with a line feed stands for itself, any other for itself behind a space.
+        A unit that begins with a mark stands at the begin of a text, one with a line feed behind that, and any other
+        behind a space.
         """
-        lines, alone, size = [[]], [], 0
+        letters, simple, fed, alone = [], [], [], []
         for u in units:
-            inner = u[1:] if u[:1] == "\n" else u
-            if self.newline is None or not inner.isprintable() or not inner or inner[-1].isspace() or inner[0].isspace():
+            if self.merges and u.isascii() and u.isalpha():
+                letters.append(u)
+            elif u.isprintable():  # no white space but the space, which no unit holds
+                simple.append(u)
+            elif u[1:].isprintable() and len(u) > 1 and u[0] in MARK + "\n":
+                fed.append(u)
+            else:
                 alone.append(u)
-                continue
-            if size > 4096:
-                lines.append([])
-                size = 0
-            lines[-1].append(u)
-            size += len(u) + 2
-        lines = [own for own in lines if own]
-        # Between two line feeds stands a unit with its space, or one that had a line feed itself.
-        marked = ["".join([u + "\n" if u[0] == "\n" else f" {u}\n" for u in own]) for own in lines]
-        width, feed = self.type.itemsize, np.array([self.newline or 0], dtype=self.type).tobytes()
-        for own, ids in zip(lines, self._whole(marked) if lines else ()):
-            cuts = (np.flatnonzero(ids == self.newline) * width).tolist()
-            data, at, a = ids.tobytes(), 0, 0
-            if len(cuts) != len(own) + sum([u[0] == "\n" for u in own]):
-                alone += own
-                continue
-            for u in own:
-                z = cuts[at]
-                if u[0] == "\n":
-                    a, at = z + width, at + 1
-                    z = cuts[at]
-                    self.known[u] = feed + data[a:z]
-                else:
-                    self.known[u] = data[a:z]
-                a, at = z + width, at + 1
-        if alone:
-            found = self._whole([u if u[:1] == "\n" else " " + u for u in alone])
-            self.known.update((u, ids.tobytes()) for u, ids in zip(alone, found))
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian numbers of the width of ``type``."""
-        parts = [t.replace("\n", " \n").split(" ") if self._plain(t) else None for t in texts]
-        firsts = [t if p is None else p[0] for t, p in zip(texts, parts)]
-        rest = [p[1:] if p else () for p in parts]
-        every = set().union(*rest)
+        if self.newline is None:
+            simple, fed, alone = [], [], simple + fed + alone
+        merge, packs = self.tokenizer.model.tokenize, self.packs
+        for u in letters:
+            ids = [t.id for t in merge(SPACED + u)]
+            self.known[u] = packs[len(ids)](*ids)
+        lines = [[f" {u}" for u in simple], [u[1:] for u in fed]]
+        for own, texts in zip((simple, fed), lines):
+            groups = [slice(i, i + LINES) for i in range(0, len(own), LINES)]
+            width = self.type.itemsize
+            found = self._whole(["\n".join([*texts[g], ""]) for g in groups]) if groups else []
+            for g, ids in zip(groups, found):
+                stops = (np.flatnonzero(ids == self.newline) * width).tolist()
+                starts = [0, *(z + width for z in stops)]
+                data = ids.tobytes()
+                self.known.update(zip(own[g], [data[a:z] for a, z in zip(starts, stops)], strict=True))
+        if self.newline is not None:
+            feed = np.array([self.newline], dtype=self.type).tobytes()
+            self.known.update((u, feed + self.known[u]) for u in fed if u[0] == "\n")
+        texts = [u[1:] if u[0] == MARK else u if u[0] == "\n" else f" {u}" for u in alone]
+        self.known.update(zip(alone, [ids.tobytes() for ids in self._whole(texts)])) if alone else None
+
+    def _codes(self, units: list[str]) -> list[bytes]:
+        """The ids of different units."""
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known
-        new = every - self.known.keys()
-        seen = new & self.older.keys()
-        self.known.update((u, self.older[u]) for u in seen)
-        self._learn(new - seen)
-        get = self.known.__getitem__
-        return [first.tobytes() + b"".join(map(get, p)) for first, p in zip(self._whole(firsts), rest)]
+        codes = list(map(self.known.get, units))
+        if None in codes:
+            missing = [u for u, code in zip(units, codes) if code is None]
+            seen = [(u, code) for u, code in zip(missing, map(self.older.get, missing)) if code is not None]
+            self.known.update(seen)
+            if len(seen) < len(missing):
+                self._learn([u for u in missing if u not in self.known])
+            codes = list(map(self.known.__getitem__, units))
+        return codes
+
+    def of(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, as little-endian numbers of the width of ``type``.
+
+        Texts are cut into units, and units told apart, for a whole block at a time; Python sees each different unit
+        of the block once.
+        """
+        values = texts.to_pylist()
+        plain = [self._plain(t) for t in values]
+        others = iter(self._whole([t for t, p in zip(values, plain) if not p]) if not all(plain) else ())
+        if not any(plain):
+            return [ids.tobytes() for ids in others]
+        marked = pc.replace_substring(texts.filter(pa.array(plain)), "\n", " \n")
+        lists = pc.split_pattern(pc.binary_join_element_wise(MARK, marked, ""), " ")
+        units = lists.flatten().dictionary_encode()
+        codes = self._codes(units.dictionary.to_pylist())
+        of = units.indices.to_numpy()
+        size = np.fromiter(map(len, codes), np.int64, len(codes))
+        data = np.frombuffer(b"".join(codes), self.type)
+        size //= self.type.itemsize
+        start = np.cumsum(size) - size
+        n = size[of]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        ids = data[np.repeat((start[of] - upto[:-1]).astype(np.int32), n) + np.arange(upto[-1], dtype=np.int32)]
+        cuts = upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        found = iter([ids[a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:])])
+        return [next(found) if p else next(others).tobytes() for p in plain]
 
 
 def _frames(ids: list[int | None], bodies: list[bytes], crc: Crc32c) -> tuple[list[bytes], list[int]]:
@@ -163,11 +214,11 @@ def _writer(path: str, tokenizer: str, end_id: int | None):
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.records"
         sink, at, before = None, 0, 0
-        for block in in_blocks(batches, "text", 1 << 20):
+        for block in in_blocks(batches, "text", 2 << 20):
             if sink is None and block.num_rows:
                 filesystem.create_dir(plain, recursive=True)
                 sink = filesystem.open_output_stream(f"{plain}/{name}")
-            bodies = [b + end for b in encoder.of([t or "" for t in block.column("text").to_pylist()])]
+            bodies = [b + end for b in encoder.of(pc.fill_null(block.column("text"), ""))]
             frames, lengths = _frames(block.column("doc_id").to_pylist(), bodies, crc)
             sink.write(b"".join(frames))
             sizes = np.fromiter(map(len, frames), np.int64, len(frames))
@@ -246,62 +297,94 @@ def _runs(files: list[str], offsets: np.ndarray, stops: np.ndarray) -> Iterator[
             a = k
 
 
-def _reader(path: str, width: int):
-    """The records that index rows name, in their order; every checksum is tested."""
+def _fetched(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The records that index rows name, in their order, some rows at a time; every checksum is tested."""
+    crc = Crc32c()
+    filesystem, plain = open_fs(path)
+    name, source = None, None
+    for batch in batches:
+        files = batch.column("file").to_pylist()
+        offsets = batch.column("offset").to_numpy()
+        lengths = batch.column("length").to_numpy()
+        stops = offsets + lengths + _FRAME + 4
+        for a, z in _runs(files, offsets, stops):
+            if files[a] != name:
+                if source is not None:
+                    source.close()
+                name, source = files[a], filesystem.open_input_file(f"{plain}/{files[a]}")
+            start = int(offsets[a])
+            data = source.read_at(int(stops[z - 1]) - start, start)
+            heads, bodies, told = [], [], []
+            for at, n in zip((offsets[a:z] - start).tolist(), lengths[a:z].tolist()):
+                stop = at + _FRAME + n
+                if len(data) < stop + 4 or int.from_bytes(data[at:at + 8], "little") != n:
+                    raise BrokenRecord(f"{name} at {start + at}: not {n} bytes long")
+                heads.append(data[at:at + 8])
+                bodies.append(data[at + _FRAME:stop])
+                told.append(data[at + 8:at + _FRAME] + data[stop:stop + 4])
+            sums = np.frombuffer(b"".join(told), "<u4").reshape(-1, 2)
+            if (crc.masked(heads) != sums[:, 0]).any() or (crc.masked(bodies) != sums[:, 1]).any():
+                raise BrokenRecord(f"{name} from {start} on: a checksum differs")
+            yield batch.slice(a, z - a), bodies
+    if source is not None:
+        source.close()
+
+
+def _opened(rows: pa.RecordBatch, bodies: list[bytes]) -> dict[str, pa.Array]:
+    head = np.frombuffer(b"".join([b[:_HEAD.itemsize] for b in bodies]), _HEAD)
+    return {
+        "part": rows.column("part"), "doc_id": pa.array(head["doc_id"].astype(np.int64), pa.int64(), mask=head["known"] == 0),
+        "before": rows.column("before"),
+    }
 
+
+def _reader(path: str, width: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crc = Crc32c()
-        filesystem, plain = open_fs(path)
-        name, source = None, None
-        for batch in batches:
-            files = batch.column("file").to_pylist()
-            offsets = batch.column("offset").to_numpy()
-            lengths = batch.column("length").to_numpy()
-            stops = offsets + lengths + _FRAME + 4
-            for a, z in _runs(files, offsets, stops):
-                if files[a] != name:
-                    if source is not None:
-                        source.close()
-                    name, source = files[a], filesystem.open_input_file(f"{plain}/{files[a]}")
-                start = int(offsets[a])
-                data = source.read_at(int(stops[z - 1]) - start, start)
-                heads, records = [], []
-                for at, n in zip((offsets[a:z] - start).tolist(), lengths[a:z].tolist()):
-                    frame = data[at:at + _FRAME + n + 4]
-                    if len(frame) < _FRAME + n + 4 or int.from_bytes(frame[:8], "little") != n:
-                        raise BrokenRecord(f"{name} at {start + at}: not {n} bytes long")
-                    heads.append(frame[:8])
-                    records.append(frame)
-                bodies = [r[_FRAME:-4] for r in records]
-                told = [np.frombuffer(b"".join(p), "<u4") for p in ([r[8:12] for r in records], [r[-4:] for r in records])]
-                if (crc.masked(heads) != told[0]).any() or (crc.masked(bodies) != told[1]).any():
-                    raise BrokenRecord(f"{name} from {start} on: a checksum differs")
-                head = np.frombuffer(b"".join(b[:_HEAD.itemsize] for b in bodies), _HEAD)
-                ids = np.frombuffer(b"".join(b[_HEAD.itemsize:] for b in bodies), f"<u{width}").astype(np.int32)
-                ends = np.cumsum(lengths[a:z] - _HEAD.itemsize) // width
-                yield batch_of({
-                    "part": batch.column("part")[a:z],
-                    "doc_id": pa.array(head["doc_id"].astype(np.int64), pa.int64(), mask=head["known"] == 0),
-                    "before": batch.column("before")[a:z],
-                    "ids": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids)),
-                })
-        if source is not None:
-            source.close()
+        for rows, bodies in _fetched(path, batches):
+            ids = np.frombuffer(b"".join([b[_HEAD.itemsize:] for b in bodies]), f"<u{width}").astype(np.int32)
+            ends = np.cumsum([len(b) - _HEAD.itemsize for b in bodies]) // width
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids))
+            yield batch_of({**_opened(rows, bodies), "ids": lists})
 
     return read
 
 
+def _checker(path: str, width: int):
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bodies in _fetched(path, batches):
+            ids = [np.frombuffer(b, f"<u{width}", offset=_HEAD.itemsize) for b in bodies]
+            yield batch_of({
+                **_opened(rows, bodies), "n_tokens": pa.array(list(map(len, ids)), pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
+            })
+
+    return check
+
+
+def _width(tokenizer: str) -> int:
+    from tokenizers import Tokenizer
+
+    return 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else 4
+
+
+_ROW = ("part", "file", "offset", "length", "before")
+
+
 def read_records(index: DataFrame, path: str, tokenizer: str) -> DataFrame:
     """``part, doc_id, before, ids`` of the records that rows of the index name, read from the files in that order.
 
     Rows that follow each other in a file are fetched by one read of up to 8 MB, others by one read each. Lengths and
     both checksums are tested, and a record that differs ends the job.
     """
-    from tokenizers import Tokenizer
+    return mapped(index.select(*_ROW), _reader(f"{path}/records", _width(tokenizer)), _RECORD)
 
-    width = 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else 4
-    rows = index.select("part", "file", "offset", "length", "before")
-    return mapped(rows, _reader(f"{path}/records", width), _RECORD)
+
+def check_records(index: DataFrame, path: str, tokenizer: str) -> DataFrame:
+    """``part, doc_id, before, n_tokens, ids_crc32`` of the records, read and tested like those of ``read_records``.
+
+    ``ids_crc32`` is the unsigned CRC-32 of the ids as little-endian numbers of four bytes. The ids stay in the task.
+    """
+    return mapped(index.select(*_ROW), _checker(f"{path}/records", _width(tokenizer)), _CHECKED)
 
 
 def shuffled(index: DataFrame, seed: int) -> DataFrame:
@@ -310,18 +393,6 @@ def shuffled(index: DataFrame, seed: int) -> DataFrame:
     return index.repartitionByRange(key, "file", "offset").sortWithinPartitions(key, "file", "offset")
 
 
-def ids_checksum(ids: Column) -> Column:
-    """Unsigned CRC-32 of the ids as little-endian numbers of four bytes."""
-
-    @F.arrow_udf("long")
-    def checksum(rows: pa.Array) -> pa.Array:
-        ends = rows.offsets.to_numpy()
-        data = rows.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
-        return pa.array([zlib.crc32(data[a:z].tobytes()) for a, z in zip(ends[:-1], ends[1:])], pa.int64())
-
-    return checksum(ids)
-
-
 def starts(index: DataFrame) -> DataFrame:
     """``part, start``: the tokens of all files before each. A row for each file that was written."""
     totals = index.groupBy("part").agg(F.sum("n_tokens").alias("n"))

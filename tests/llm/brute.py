@@ -113,41 +113,15 @@ def contaminated(text, items):
 
 
 def lm(docs):
-    """Per row: held out, tokens, known tokens, base score, score; and the training tokens."""
+    """Per row: held out, tokens, known tokens, base score; and the training tokens."""
     tokens = [[*words((t or "").translate(LOWER)), None] for _, t in docs]
     held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in docs]
-    single, double = Counter(), Counter()
+    single = Counter()
     for t, h in zip(tokens, held):
         if not h:
             single.update(t)
-            double.update(zip([0, *t[:-1]], t))
     n, kinds = sum(single.values()), len(single)
-    of = lambda c: single[None] if c == 0 else single[c]
-
-    def parts(c, x):
-        return double[c, x] / of(c) if of(c) else 0.0, single[x] / max(n, 1), 1 / (kinds + 1)
-
-    weights = {}
-    for _ in range(20):
-        sums = {}
-        for t, h in zip(tokens, held):
-            for c, x in zip([0, *t[:-1]], t) if h else ():
-                b = of(c).bit_length()
-                mixed = [w * p for w, p in zip(weights.get(b, [1 / 3] * 3), parts(c, x))]
-                own = sums.setdefault(b, [1.0, 1.0, 1.0])
-                for k in range(3):
-                    own[k] += mixed[k] / sum(mixed)
-        new = {b: [v / sum(own) for v in own] for b, own in sums.items()}
-        moved = max((abs(a - z) for b in new for a, z in zip(new[b], weights.get(b, [1 / 3] * 3))), default=0)
-        weights = new
-        if moved < 1e-3:
-            break
-    rows = []
-    for t, h in zip(tokens, held):
-        score = sum(
-            math.log10(sum(w * p for w, p in zip(weights.get(of(c).bit_length(), [1 / 3] * 3), parts(c, x))))
-            for c, x in zip([0, *t[:-1]], t)
-        )
-        base = sum(math.log10((single[x] + 1) / (n + kinds + 1)) for x in t)
-        rows.append((h, len(t), sum(single[x] > 0 for x in t), base, score))
-    return rows, n
+    return [
+        (h, len(t), sum(single[x] > 0 for x in t), sum(math.log10((single[x] + 1) / (n + kinds + 1)) for x in t))
+        for t, h in zip(tokens, held)
+    ], n

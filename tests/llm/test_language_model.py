@@ -14,6 +14,11 @@ from centerline.llm import language_model
 from centerline.llm.queries import QUERIES
 
 
+def rounded(estimate):
+    """To the nearest sixteenth of a halving."""
+    return 2 ** (round(math.log2(estimate) * 16) / 16) if estimate else 0.0
+
+
 def brute_scores(docs):
     """Scores under weights learned from each training text by the counts of all the others."""
     tokens = [[*words((t or "").translate(LOWER)), None] for _, t in docs]
@@ -31,13 +36,14 @@ def brute_scores(docs):
             own, two = Counter(t), Counter(p)
             for c, x, start in p:
                 context = single[c] - own[c]
-                outcomes[double[c, x, start] - two[c, x, start], context, single[x] - own[x], n - len(t)] += 1
+                pair, token = double[c, x, start] - two[c, x, start], single[x] - own[x]
+                estimates = pair / context if context else 0.0, token / max(n - len(t), 1)
+                outcomes[context.bit_length(), *map(rounded, estimates)] += 1
     weights = {}
     for _ in range(20):
         sums = {}
-        for (pair, context, token, rest), count in outcomes.items():
-            b = context.bit_length()
-            estimates = pair / context if context else 0.0, token / max(rest, 1), 1 / (kinds + 1)
+        for (b, *two), count in outcomes.items():
+            estimates = *two, 1 / (kinds + 1)
             mixed = [w * e for w, e in zip(weights.get(b, [1 / 3] * 3), estimates)]
             own = sums.setdefault(b, [1.0, 1.0, 1.0])
             for k in range(3):
@@ -61,7 +67,7 @@ def brute_scores(docs):
 
 @pytest.mark.parametrize("chunk", [8 << 20, 2000])
 def test_weights_from_training(docs, rows, chunk):
-    found = language_model.score_documents(docs, chunk_bytes=chunk, weights_from="training").collect()
+    found = language_model.score_documents(docs, chunk_bytes=chunk).collect()
     want = Counter((i, round(s, 5)) for (i, _), s in zip(rows, brute_scores(rows)))
     assert Counter((r.doc_id, round(r.score, 5)) for r in found) == want
 
