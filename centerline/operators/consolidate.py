@@ -11,14 +11,16 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from centerline.session import scratch_dir
 from centerline.sources import catalog
 
 TABLE_TYPES = ("edges", "featnames", "addr")
 REJECTS = "source_table string, reason string"
+_MARK = "_lost_"
 
 
 @dataclass
@@ -114,29 +116,46 @@ def _aligned(group: list[Source], target: T.StructType, by_name: bool) -> list[t
     return out
 
 
-def _lost(have: T.DataType, value: Column, cast: Column) -> Column:
+def _lost(have: T.DataType, want: T.DataType, value: Column, cast: Column) -> Column:
     """Whether a value does not survive its cast.
 
-    Text is lost if it cannot be read; anything else if it does not come back.
+    Text for whole numbers has to come back as it was, so that a code keeps its zeros; text for other numbers may not
+    be a code or stand between spaces, and other text has to be readable.  Anything else has to come back.
     """
     gone = value.isNotNull() & cast.isNull()
-    return gone if isinstance(have, T.StringType) else gone | ~cast.try_cast(have).eqNullSafe(value)
-
-
-def _uncastable(rows: DataFrame, group: list[Source], target: T.StructType, by_name: bool) -> dict[str, str]:
-    """Tables of the group in which some value does not fit its target column.
-
-    One aggregation over the tables whose types differ; it returns a row per table.
+    if not isinstance(have, T.StringType):
+        return gone | ~cast.try_cast(have).eqNullSafe(value)
+    if isinstance(want, T.IntegralType):
+        return gone | ~cast.cast("string").eqNullSafe(value)
+    if isinstance(want, T.NumericType):
+        return gone | F.coalesce(value.rlike(r"^\s|\s$|^\+|^-?0\d"), F.lit(False))
+    return gone
+
+
+def _cast_rows(
+    rows: DataFrame, group: list[Source], aligned: list[tuple[str, Column]], wanted: list[T.StructField]
+) -> tuple[DataFrame, dict[str, str]]:
+    """Rows of tables whose types differ from the target, without tables that lose a value, and why these go.
+
+    The tables are read once: the rows are written below the shared folder with a mark on those that lose something,
+    and the number of marks is counted on the way.  Only if it is not 0 are the marks looked at.
     """
-    columns = group[0].schema.fields
-    wanted = [target[f.name] for f in columns] if by_name else target.fields
+    spark = rows.sparkSession
     lost = F.lit(False)
-    for have, want in zip(columns, wanted):
+    for have, want in zip(group[0].schema.fields, wanted):
         if have.dataType != want.dataType:
             value = F.col(have.name)
-            lost = lost | _lost(have.dataType, value, value.try_cast(want.dataType))
-    bad = rows.groupBy("source_table").agg(F.count_if(lost).alias("n")).where("n > 0")
-    return {r.source_table: f"{r.n} rows do not fit" for r in bad.collect()}
+            lost = lost | _lost(have.dataType, want.dataType, value, value.try_cast(want.dataType))
+    marked = rows.select(*[c.alias(n) for n, c in aligned], "source_table", lost.alias(_MARK))
+    seen, path = Observation(), scratch_dir(spark, "consolidated")
+    marked.observe(seen, F.count_if(_MARK).alias("n")).write.parquet(path)
+    staged = spark.read.schema(marked.schema).parquet(path)
+    bad: dict[str, str] = {}
+    if seen.get["n"]:
+        counts = staged.where(_MARK).groupBy("source_table").agg(F.count(F.lit(1)).alias("n"))
+        bad = {r.source_table: f"{r.n} rows do not fit" for r in counts.collect()}
+        staged = staged.where(~F.col("source_table").isin(*bad))
+    return staged.drop(_MARK), bad
 
 
 def consolidate(
@@ -144,11 +163,10 @@ def consolidate(
 ) -> Consolidation:
     """Rows of all sources under the columns of the first, with ``source_table``.
 
-    A source with another number of columns, or with a value its target column
-    cannot hold, is left out as a whole and reported.  ``by_name`` matches columns
-    by name and fills absent ones with NULL.  Tables whose types differ from the
-    target are read once more, before anything else, to find such values: what is
-    written must be known before the write.
+    A source with another number of columns, or with a value its target column cannot hold, is left out as a whole and
+    reported.  ``by_name`` matches columns by name and fills absent ones with NULL.  Tables whose types differ from
+    the target are cast and written below the shared folder here, once, and their rows come from there; other tables
+    are read when the result is.
     """
     if not sources:
         raise ValueError("nothing to consolidate")
@@ -165,14 +183,14 @@ def consolidate(
         rows = _read_group(spark, group)
         wanted = [target[f.name] for f in group[0].schema] if by_name else target.fields
         if any(f.dataType != w.dataType for f, w in zip(group[0].schema, wanted)):
-            bad = _uncastable(rows, group, target, by_name)
+            rows, bad = _cast_rows(rows, group, aligned, wanted)
             rejects += sorted(bad.items())
-            if bad:
-                group = [s for s in group if s.name not in bad]
-                if not group:
-                    continue
-                rows = _read_group(spark, group)
-        parts.append(rows.select(*[c.alias(n) for n, c in aligned], "source_table"))
+            group = [s for s in group if s.name not in bad]
+            if not group:
+                continue
+        else:
+            rows = rows.select(*[c.alias(n) for n, c in aligned], "source_table")
+        parts.append(rows)
         written += [s.name for s in group]
     rows = reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame(
         [], T.StructType([*target.fields, T.StructField("source_table", T.StringType())])
@@ -184,7 +202,8 @@ def replace_table(rows: DataFrame, table: str) -> None:
     """Write beside the old table and take its name when the write is complete.
 
     The old table keeps its rows under another name until the new one has taken its
-    place, and gets its name back if that fails.
+    place, and gets its name back if that fails.  Between the two renames there is no
+    table of that name for a moment: a catalog has no exchange of names.
     """
     spark = rows.sparkSession
     staged, old = f"{table}__staged", f"{table}__old"

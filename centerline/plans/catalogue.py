@@ -761,9 +761,9 @@ UNION ALL
 SELECT l_orderkey, NULL, l_linestatus, 'tl_2025_13001_addr', NULL FROM lineitem WHERE l_returnflag = 'N'
 UNION ALL
 SELECT NULL, NULL, NULL, name, (SELECT CAST(count(*) AS VARCHAR) || ' rows do not fit' FROM lineitem WHERE l_returnflag = 'R')
-FROM (VALUES ('tl_2025_13002_addr'), ('tl_2025_13003_addr')) r(name)""")
+FROM (VALUES ('tl_2025_13002_addr'), ('tl_2025_13003_addr'), ('tl_2025_13004_addr')) r(name)""")
 def consolidate_by_name(spark, sf):
-    """By name: columns in another order and one too few fit; fractions and words for whole numbers do not."""
+    """By name: columns in another order and one too few fit; fractions, words and codes for whole numbers do not."""
     root = scratch_dir(spark, "counties")
     item = table(spark, sf, "lineitem")
     shapes = (
@@ -771,6 +771,7 @@ def consolidate_by_name(spark, sf):
         ("N", ("l_linestatus AS side", "CAST(l_orderkey AS STRING) AS tlid")),
         ("R", ("l_linestatus AS side", "l_orderkey + 0.5D AS tlid")),
         ("R", ("l_linestatus AS side", "concat('x', l_orderkey) AS tlid")),
+        ("R", ("concat('0', l_orderkey) AS tlid", "l_linestatus AS side")),
     )
     paths = {}
     for number, (flag, columns) in enumerate(shapes):

@@ -87,6 +87,30 @@ def test_values_that_do_not_survive_a_cast(spark, database):
         }
 
 
+def test_codes_keep_their_zeros(spark, tmp_path, monkeypatch):
+    def make(name, values, kind="string"):
+        spark.createDataFrame([(v,) for v in values], f"x {kind}").write.parquet(str(tmp_path / name))
+        return str(tmp_path / name)
+
+    reads = []
+    real = con._read_group
+    monkeypatch.setattr(con, "_read_group", lambda spark, group: reads.append(len(group)) or real(spark, group))
+    whole = [("t1", ["01001"]), ("t2", ["1001", None, "-7"]), ("t3", ["+5"]), ("t4", [" 6"]), ("t5", ["7 "]), ("t6", ["1.0"]), ("t7", ["0"])]
+    paths = {"t0": make("t0", [1], "bigint")} | {n: make(n, v) for n, v in whole}
+    result = con.consolidate(spark, con.path_sources(spark, paths))
+    assert sorted(r.x for r in result.rows.collect() if r.x is not None) == [-7, 0, 1, 1001]
+    assert {r.source_table for r in result.rejects.collect()} == {"t1", "t3", "t4", "t5", "t6"}
+    assert result.written == ["t0", "t2", "t7"]
+    assert reads == [1, 7]  # one reading of each group
+    assert not any(str(tmp_path / n) in plan(result.rows) for n, _ in whole)
+
+    part = [("d1", ["0.50", "1.5", "1e3", "-0.25", "7"]), ("d2", ["007"]), ("d3", ["-01.5"]), ("d4", ["nothing"])]
+    paths = {"d0": make("d0", [0.5], "double")} | {n: make(n, v) for n, v in part}
+    result = con.consolidate(spark, con.path_sources(spark, paths))
+    assert sorted(r.x for r in result.rows.collect()) == [-0.25, 0.5, 0.5, 1.5, 7.0, 1000.0]
+    assert {r.source_table for r in result.rejects.collect()} == {"d2", "d3", "d4"}
+
+
 def test_many_tables_are_one_scan(spark, tmp_path):
     paths = {}
     for n in range(12):
