@@ -30,7 +30,7 @@ def test_stream_equals_batch(spark, tmp_path):
     for view, (name, fold) in batch.items():
         events, schema = sources[name]
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
-        manifest_stream.start_view(stream, view, root).awaitTermination()
+        manifest_stream.start_view(stream, view, root, snapshot_every=3).awaitTermination()
         want = fold(spark.createDataFrame(events, schema))
         now = manifest_stream.current(spark, view, root)
         assert now.columns == want.columns
@@ -51,3 +51,35 @@ def test_stream_equals_batch(spark, tmp_path):
         spark.createDataFrame(marks, schemas.MARK_EVENTS), spark.createDataFrame(calls, schemas.DISCOVER_CALLS)
     )
     assert rows(states) == rows(both)
+
+
+def test_many_batches_and_repeated_ones_give_one_table(spark, tmp_path):
+    rng = random.Random(3)
+    root, want = str(tmp_path), {}
+    schema = "url string, list_type string, added_at double"
+    batches = []
+    for n in range(200):
+        keys = {rng.choice([None, *(f"u{k}" for k in range(12))]) for _ in range(rng.randint(0, 3))}
+        batches.append([(k, rng.choice(["completed", "failed"]), float(n)) for k in keys])
+
+    def put(n):
+        manifest_stream.write_batch(spark.createDataFrame(batches[n], schema).coalesce(1), "url_lists", root, n, 8)
+
+    def folders():
+        return [sorted(manifest_stream._folders(f"{root}/url_lists/{kind}")) for kind in ("changes", "snapshots")]
+
+    for n, batch in enumerate(batches):
+        put(n)
+        want.update((r[0], r) for r in batch)
+        if n % 40 in (5, 7, 8, 31):
+            put(n)  # again, as after a lost driver
+            now = manifest_stream.current(spark, "url_lists", root)
+            assert sorted(map(str, map(tuple, now.collect()))) == sorted(map(str, want.values()))
+            changes, snapshots = folders()
+            assert len(changes) <= 16 and len(snapshots) <= 2
+            assert len({f.rsplit("/", 2)[1] for f in now.inputFiles()}) <= 9
+    # A snapshot whose writing did not end is not read.
+    last = max(folders()[1])
+    (tmp_path / "url_lists" / "snapshots" / f"upto={last}" / "_SUCCESS").unlink()
+    now = manifest_stream.current(spark, "url_lists", root)
+    assert sorted(map(str, map(tuple, now.collect()))) == sorted(map(str, want.values()))
