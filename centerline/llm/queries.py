@@ -305,8 +305,7 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
     coalesce(regexp_extract_all({_FOLDED.format('text')}, '{_ITEM_WORD}'), []) AS w FROM documents),
 i AS (
-  SELECT item_id, regexp_extract_all({_FOLDED.format('text')}, '{_ITEM_WORD}') AS w FROM benchmark
-  WHERE item_id IS NOT NULL AND text IS NOT NULL),
+  SELECT item_id, regexp_extract_all({_FOLDED.format('text')}, '{_ITEM_WORD}') AS w FROM benchmark WHERE text IS NOT NULL),
 p AS (
   SELECT DISTINCT item_id, m, w[s:s + m - 1] AS pat
   FROM (SELECT item_id, w, least(13, len(w)) AS m, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s
@@ -319,7 +318,7 @@ o AS (SELECT x.r, x.s, x.m, p.item_id FROM x JOIN p ON x.m = p.m AND x.pat = p.p
 h AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(s, s + m)) AS pos FROM o) GROUP BY r),
 t AS (
   SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM o) GROUP BY r)
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM o WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

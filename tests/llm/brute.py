@@ -99,11 +99,11 @@ def hits(text, items, window=13):
     for item, body in items:
         p = ITEM_WORD.findall((body or "").translate(LOWER))
         m = min(window, len(p))
-        for k in range(len(p) - m + 1 if m and item is not None else 0):
+        for k in range(len(p) - m + 1 if m else 0):
             for s in range(len(w) - m + 1):
                 if w[s:s + m] == p[k:k + m]:
                     hit.update(range(s, s + m))
-                    found.add(str(item))
+                    found |= {str(item)} - {"None"}
     return len(w), len(hit), sorted(found)
 
 

@@ -274,3 +274,26 @@ def test_empty_tables(spark, nothing, benchmark, labels, docs):
         assert df.count() == 0
     assert decontaminate.without_contaminated(docs, no_items).count() == docs.count()
     assert quality.judge(docs, no_labels).where("base_failed = kept").count() == 0
+
+
+def test_tables_of_a_benchmark_block_are_small():
+    import random
+
+    rng = random.Random(1)
+    items = [(i, " ".join(rng.choice("abcdefgh") * rng.randint(1, 6) + str(rng.randrange(10**5)) for _ in range(200)).encode()) for i in range(400)]
+    size = sum(len(t) for _, t in items)
+    tables = decontaminate.tables_of(items, 13)
+    held = sum(len(t.text) + len(t.shift) + sum(getattr(t, x).nbytes for x in ("ends", "begin", "stop", "items", "held")) for t in tables)
+    assert held < 10 * size
+    body = decontaminate.Words(decontaminate.words_of(b"x y " + items[7][1] + b" z"))
+    assert [s for t in tables for s, held in t.occurrences(body) if held.tolist() == [7]] == list(range(2, 190))
+
+
+def test_long_items_are_cut_without_loss(spark, docs, rows, benchmark, items):
+    long = " ".join(t for _, t in rows[:40] if t)
+    wide = spark.createDataFrame([*items, (77, long), (78, long + " end"), (77, long)], "item_id long, text string")
+    every = [*items, (77, long), (78, long + " end")]
+    some = {i for i, _ in rows[:60]}
+    found = decontaminate.contamination(docs.where(F.col("doc_id").isin(*some - {None})), wide, block_bytes=2000).collect()
+    want = [(i, *brute.hits(t, every)) for i, t in rows if i in some and i is not None]
+    assert bag((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found) == bag(want)
