@@ -2,12 +2,13 @@
 
 An id becomes a bucket, the county a partition folder, every other key a copy
 sorted by it, so that a lookup reads one bucket, one folder, or the few row groups
-whose statistics match.
+whose statistics match.  The star tables, which are asked for many keys at a time,
+lie in folders by a hash of the key: a set of keys reads the folders it falls into.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centerline.functions import geometry
@@ -100,6 +101,49 @@ def write_sorted(
     writer.saveAsTable(table)
 
 
+# Folder of a row whose table is laid out by a hash of its keys.
+KEY_PART = "key_part"
+
+
+def _key_part(keys: list[Column], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+
+
+def write_keyed(rows: DataFrame, table: str, keys: list[str], parts: int, path: str | None = None) -> None:
+    """Folders by a hash of the keys, each sorted by them; a folder with very many rows gets several files.
+
+    The table knows its keys and the number of folders.
+    """
+    placed = rows.withColumn(KEY_PART, _key_part([F.col(k) for k in keys], parts))
+    near = placed.hint("rebalance", F.col(KEY_PART)).sortWithinPartitions(KEY_PART, *keys)
+    writer = near.write.format("parquet").mode("overwrite").partitionBy(KEY_PART)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    rows.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('key_columns' = '{','.join(keys)}', 'key_parts' = '{parts}')")
+
+
+def _keyed(spark: SparkSession, table: str) -> tuple[list[str], int]:
+    """Keys of a table in folders by their hash, and the number of folders; no keys for other tables."""
+    known = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return [k for k in known.get("key_columns", "").split(",") if k], int(known.get("key_parts", 0))
+
+
+def look_up_set(spark: SparkSession, table: str, asked: DataFrame) -> DataFrame:
+    """Rows whose keys are among the rows of ``asked``, which has the key columns.
+
+    The folders that the keys fall into are found first, at most as many numbers as there are folders, and no others
+    are read.  Keys that repeat count once; a key with a NULL finds nothing.
+    """
+    keys, parts = _keyed(spark, table)
+    if not keys:
+        raise ValueError(f"{table} is not laid out by a hash of its keys")
+    rows = spark.table(table)
+    wanted = asked.select(*[F.col(k).cast(rows.schema[k].dataType).alias(k) for k in keys]).dropna().distinct()
+    folders = [r[0] for r in wanted.select(_key_part([F.col(k) for k in keys], parts)).distinct().collect()]
+    return rows.where(F.col(KEY_PART).isin(folders)).join(wanted, keys, "left_semi").drop(KEY_PART)
+
+
 def build_access_paths(
     spark: SparkSession, database: str = "default", buckets: int | None = None,
     tables: dict[str, list[list[str]]] = ACCESS_PATHS, columns: dict[str, list[str]] = COPIED,
@@ -108,8 +152,8 @@ def build_access_paths(
 
     A copy has its keys, the table's ids and the ``columns`` of the table that are
     looked up by them, not the geometry; the whole row is found by its id.  There
-    are as many buckets as the session has shuffle partitions, unless told.  An
-    existing copy is replaced.
+    are as many buckets, and folders of the star tables, as the session has shuffle
+    partitions, unless told.  An existing copy is replaced.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     done = []
@@ -120,6 +164,11 @@ def build_access_paths(
         ids = [c for c in BUCKET_KEYS if c in whole.columns]
         for keys in paths:
             target = f"{database}.{access_table(table, keys)}"
+            if table in schemas.STAR:
+                wanted = whole.columns if keys[0] in BUCKET_KEYS else dict.fromkeys([*keys, *ids, *columns.get(table, ())])
+                write_keyed(whole.select(*[c for c in wanted if c in whole.columns]), target, keys, buckets)
+                done.append(target)
+                continue
             if keys[0] in BUCKET_KEYS:
                 # The id leads to the row, so this copy alone has all of it.
                 write_bucketed(whole, target, keys[0], buckets)
@@ -144,10 +193,16 @@ def _lookup_session(spark: SparkSession) -> SparkSession:
 
 
 def look_up(spark: SparkSession, table: str, **keys) -> DataFrame:
-    """Rows of an access path with the given key values; prunes buckets too."""
+    """Rows of an access path with the given key values; prunes buckets and folders too."""
     rows = _lookup_session(spark).table(table)
     for column, value in keys.items():
         rows = rows.where(F.col(column) == F.lit(value))
+    if KEY_PART in rows.columns:
+        by, parts = _keyed(spark, table)
+        if set(by) <= set(keys):
+            given = [F.lit(keys[k]).cast(rows.schema[k].dataType) for k in by]
+            rows = rows.where(F.col(KEY_PART) == _key_part(given, parts))
+        rows = rows.drop(KEY_PART)
     return rows
 
 

@@ -907,6 +907,66 @@ def lookup_place(spark, sf):
     )
 
 
+_STAR_ROWS = {
+    "place": ("customer", {
+        "zip": "lpad(CAST(c_custkey % 1000 AS STRING), 5, '0')", "city": "c_mktsegment", "state": "lpad(CAST(c_nationkey AS STRING), 2, '0')",
+        "city_phone": "upper(substr(c_mktsegment, 1, 5))", "priority": "substr(c_name, -1)",
+    }),
+    "feature": ("orders", {
+        "fid": "o_orderkey", "street": "o_orderpriority", "street_phone": "substr(o_orderpriority, 1, 5)",
+        "paflag": "o_orderstatus = 'F'", "zip": "lpad(CAST(o_custkey % 1000 AS STRING), 5, '0')",
+    }),
+    "feature_edge": ("lineitem", {"fid": "l_orderkey", "tlid": "l_orderkey * 10 + l_linenumber"}),
+    "range": ("lineitem", {
+        "tlid": "l_orderkey * 10 + l_linenumber", "fromhn": "l_partkey", "tohn": "l_partkey + l_suppkey", "side": "l_linestatus",
+    }),
+}
+
+
+@query("lookup_star", """
+WITH p AS (
+  SELECT DISTINCT lpad(CAST(c_custkey % 1000 AS VARCHAR), 5, '0') AS zip, upper(substr(c_mktsegment, 1, 5)) AS city_phone
+  FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)),
+f AS (
+  SELECT DISTINCT o_orderkey AS fid, o_orderpriority AS street, o_orderstatus = 'F' AS paflag, zip FROM orders
+  JOIN p ON lpad(CAST(o_custkey % 1000 AS VARCHAR), 5, '0') = p.zip
+  WHERE city_phone = (SELECT min(upper(substr(c_mktsegment, 1, 5))) FROM customer)
+    AND substr(o_orderpriority, 1, 5) = (SELECT min(substr(o_orderpriority, 1, 5)) FROM orders))
+SELECT fid, e.l_orderkey * 10 + e.l_linenumber AS tlid, street, paflag, zip, r.l_partkey AS fromhn,
+  r.l_partkey + r.l_suppkey AS tohn, r.l_linestatus AS side
+FROM f JOIN lineitem e ON e.l_orderkey = fid
+JOIN lineitem r ON r.l_orderkey * 10 + r.l_linenumber = e.l_orderkey * 10 + e.l_linenumber""")
+def lookup_star(spark, sf):
+    """From the sounds of a city and a street to house numbers: every access path of the star tables, by sets of keys."""
+    path = scratch_dir(spark, "star")
+    database = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    layout.create_star_schema(spark, database)
+    for name, (given, columns) in _STAR_ROWS.items():
+        target = spark.table(f"{database}.{name}").schema
+        rows = table(spark, sf, given).select(*[F.expr(e).alias(c) for c, e in columns.items()])
+        rows.select(*[(F.col(f.name) if f.name in columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in target]).write.insertInto(
+            f"{database}.{name}"
+        )
+    star = {t: layout.ACCESS_PATHS[t] for t in ("place", "feature", "feature_edge", "range")}
+    layout.build_access_paths(spark, database, tables=star)
+
+    def found(name: str, asked: DataFrame) -> DataFrame:
+        return layout.look_up_set(spark, f"{database}.{name}", asked)
+
+    city = F.min(F.expr(_STAR_ROWS["place"][1]["city_phone"]))
+    street = F.min(F.expr(_STAR_ROWS["feature"][1]["street_phone"]))
+    first = [table(spark, sf, t).agg(c).first()[0] for t, c in (("customer", city), ("orders", street))]
+    asked = table(spark, sf, "nation").where("n_regionkey = 1").select(F.lit(first[0]).alias("city_phone"), code(F.col("n_nationkey"), 2).alias("state"))
+    zips = found("place_by_city_phone_state", asked).select("zip").distinct()
+    features = found("feature_by_street_phone_zip", zips.select(F.lit(first[1]).alias("street_phone"), "zip"))
+    lines = found("feature_edge_by_fid", features.select("fid"))
+    ranges = found("range_by_tlid", lines.select("tlid")).select("tlid", "fromhn", "tohn", "side")
+    return lines.join(features.select("fid", "street", "paflag", "zip"), "fid").join(ranges, "tlid").select(
+        "fid", "tlid", "street", "paflag", "zip", "fromhn", "tohn", "side"
+    )
+
+
 @query("lookup_county", """
 SELECT c_custkey AS tlid, CAST(floor(c_acctbal * 100) AS BIGINT) AS cents,
   lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS statefp, lower(c_mktsegment) AS countyfp

@@ -207,6 +207,40 @@ def test_lookups_read_little(spark, streets):
         assert found.count() == spark.table(f"streets.{base}").where(F.col(column) == value).count() > 0
 
 
+def test_a_set_of_keys_reads_its_folders(spark, database):
+    rows = spark.range(4000).selectExpr("id % 500 AS fid", "id AS tlid")
+    rows.write.saveAsTable(f"{database}.feature_edge")
+    (name,) = layout.build_access_paths(spark, database, 64, {"feature_edge": [["fid"]]})
+    asked = spark.createDataFrame([(3,), (499,), (3,), (None,), (77777,)], "fid int")
+    found = layout.look_up_set(spark, name, asked)
+    assert found.columns == ["fid", "tlid"]
+    assert sorted(tuple(r) for r in found.collect()) == sorted((i % 500, i) for i in range(4000) if i % 500 in (3, 499))
+    read = [line for line in plan(found).split("\n") if "PartitionFilters" in line]
+    assert any("key_part" in line and "IN" in line for line in read)
+    folders = {f.split("key_part=")[1].split("/")[0] for f in spark.table(name).inputFiles()}
+    pruned = found._jdf.queryExecution().executedPlan().toString()
+    assert len(folders) == 64 and "key_part" in pruned
+    one = layout.look_up(spark, name, fid=3)
+    assert sorted(r.tlid for r in one.collect()) == list(range(3, 4000, 500)) and "key_part" in plan(one)
+    assert layout.look_up_set(spark, name, asked.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="not laid out"):
+        layout.look_up_set(spark, f"{database}.feature_edge", asked)
+
+
+def test_a_few_keys_read_a_share_of_the_copy(spark, database):
+    rows = spark.range(200_000).selectExpr("lpad(CAST(id % 5000 AS STRING), 5, '0') AS zip", "id AS tlid")
+    layout.write_keyed(rows, f"{database}.addr_by_zip", ["zip"], 50)
+    few = spark.createDataFrame([("00007",), ("04000",)], "zip string")
+    found = layout.look_up_set(spark, f"{database}.addr_by_zip", few)
+    assert found.count() == 80
+    node = found._jdf.queryExecution().executedPlan()
+    while "FileSourceScan" not in node.getClass().getSimpleName():
+        node = node.executedPlan() if "Adaptive" in node.getClass().getSimpleName() else node.children().head()
+    found.collect()
+    read = node.metrics().apply("numFiles").value()
+    assert 0 < read <= 2 < len(spark.table(f"{database}.addr_by_zip").inputFiles())
+
+
 def test_hot_key_spans_files_of_a_sorted_copy(spark, tmp_path):
     rows = spark.range(40000).selectExpr("IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS zip", "id AS tlid")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
