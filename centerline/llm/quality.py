@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from centerline.llm.common import Vocabulary, batch_of, mapped, mix, texts_of, written
@@ -84,87 +84,90 @@ def _value(rule: str, m: str) -> Column:
     return F.expr(re.sub("|".join(_FIELDS), lambda name: f"{m}.{name[0]}", RULES[rule][0]))
 
 
-def upper_bound(failures: int, trials: int, error: float) -> float:
-    """Exact (Clopper-Pearson) upper bound of a rate after ``failures`` in ``trials``, wrong with chance ``error``.
-
-    It is the rate at which so few failures have just that chance, found by bisection.
-    """
+def tail_chance(failures: int, trials: int, rate: float) -> float:
+    """Chance of so few failures or fewer, each trial failing at ``rate``: exact (binomial)."""
     if failures >= trials:
         return 1.0
+    odds = math.log(rate) - math.log1p(-rate)
+    term = trials * math.log1p(-rate)
+    logs = [term]
+    for k in range(failures):
+        term += math.log(trials - k) - math.log(k + 1) + odds
+        logs.append(term)
+    top = max(logs)
+    return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
 
-    def chance(rate: float) -> float:
-        odds = math.log(rate) - math.log1p(-rate)
-        term = trials * math.log1p(-rate)
-        logs = [term]
-        for k in range(failures):
-            term += math.log(trials - k) - math.log(k + 1) + odds
-            logs.append(term)
-        top = max(logs)
-        return math.exp(top) * sum(math.exp(x - top) for x in logs)
-
-    low, high = 0.0, 1.0
-    for _ in range(60):
-        middle = (low + high) / 2
-        low, high = (middle, high) if chance(middle) > error else (low, middle)
-    return high
-
-
-def choose(
-    cutoffs: tuple[float, ...], clean_over: list[int], clean: int, bad_over: list[int], bad: int,
-    risk: float, error: float, weight: float,
-) -> float | None:
-    """The cutoff of one rule in one stratum, or None.
-
-    Cutoffs are tested in order from the loosest on. The share of clean documents over a cutoff cannot fall on the
-    way, so testing stops at the first whose upper bound passes ``risk``: a fixed sequence of tests errs with chance
-    ``error`` in all, however many cutoffs there are. Of those that passed, the one with the largest share of bad
-    documents over it less ``weight`` times that of clean ones is taken, the loosest of equals, if that is above 0.
-    """
-    best, found = 0.0, None
-    for cutoff, c, b in zip(cutoffs, clean_over, bad_over):
-        if not clean or not bad or upper_bound(c, clean, error) > risk:
-            break
-        gain = b / bad - weight * c / clean
-        if gain > best + 1e-12:
-            best, found = gain, cutoff
-    return found
 
+CHOOSING = "5"  # ids whose MD5 begins with a smaller digit choose cutoffs: 5 in 16
 
-_CUTOFFS = "stratum string," + ",".join(f"{r} double" for r in RULES)
+LEAST_GAIN = 20  # a rule has to reject one bad document in so many
 
+_TESTED = "stratum string,clean long,clean_lost long,bad long,bad_gone long,chance double"
 
-def learn_cutoffs(
-    measured: DataFrame, labels: DataFrame, risk: float = 0.01, error: float = 0.05, weight: float = 10.0,
-) -> DataFrame:
-    """One row per stratum with the cutoff of each rule (null: the rule rejects nothing there).
+
+def _tested(risk: float):
+    def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {c: batch.column(c) for c in ("stratum", "clean", "clean_lost", "bad", "bad_gone")}
+            found = [tail_chance(x, n, risk) for x, n in zip(batch.column("clean_lost").to_pylist(), batch.column("clean").to_pylist())]
+            yield batch_of({**columns, "chance": pa.array(found, pa.float64())})
+
+    return tested
+
+
+def learn_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.05) -> DataFrame:
+    """One row per stratum: the cutoff of each rule (null: the rule rejects nothing there), and what the test found
+    (``clean, clean_lost, bad, bad_gone, chance, allowed``).
 
     ``measured`` has ``doc_id, stratum, m``; ``labels`` has ``doc_id, quality`` (1 clean, 0 bad; rows with nulls are
-    left out, and an id with both counts as bad). Only labelled documents that the base rules pass are counted. For
-    each rule and stratum the share of clean documents that the chosen cutoff rejects is at most ``risk``; all these
-    statements hold together with chance ``1 - error``, which is shared out evenly over rules and strata. Strata
-    with few labels get no cutoffs. Counting is one aggregation; what is left is one row per stratum.
+    left out, and an id with both counts as bad). Only labelled documents that the base rules pass are counted.
+
+    Some of them, by a hash of the id, choose, one rule after the other. Of its listed cutoffs that no clean one of the
+    stratum passes, a rule gets the loosest that as many bad ones pass as any, of those that the rules before it leave;
+    and only if these are a twentieth of all bad ones. The others test the rules of a stratum together, once: if a share
+    ``risk`` of clean documents were rejected or more, so few rejections as were seen would have at most the chance
+    ``chance`` (exact, binomial). Holm's procedure over the strata allows those whose chances are small enough for
+    all allowed strata to hold together, but with chance ``error``; the others get no cutoffs. At 0.02 and 0.05 a
+    stratum needs 149 clean labels to test with, and up to 217 if it is the first of four. All counting is
+    aggregation; what is left is one row per stratum.
     """
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = measured.where(~base_failed("m")).join(marks, "doc_id")
-    counts = [F.count_if(F.col("quality") == q).alias(f"all_{q}") for q in (0, 1)] + [
-        F.count_if((F.col("quality") == q) & (_value(rule, "m") > cutoff)).alias(f"{rule}_{q}_{i}")
-        for rule, (_, cutoffs) in RULES.items() for i, cutoff in enumerate(cutoffs) for q in (0, 1)
-    ]
-    counted = written(known.where("quality IN (0, 1)").groupBy("stratum").agg(*counts), "quality-counts")
-    share = error / max(1, counted.count() * len(RULES))
-
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            picked = {"stratum": pa.array([r["stratum"] for r in rows], pa.string())}
-            for rule, (_, cutoffs) in RULES.items():
-                over = [[[r[f"{rule}_{q}_{i}"] for i in range(len(cutoffs))] for q in (0, 1)] for r in rows]
-                picked[rule] = pa.array([
-                    choose(cutoffs, o[1], r["all_1"], o[0], r["all_0"], risk, share, weight) for r, o in zip(rows, over)
-                ], pa.float64())
-            yield batch_of(picked)
-
-    return written(mapped(counted, chosen, _CUTOFFS), "quality-cutoffs")
+    chooses = F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 1) < CHOOSING
+    known = written(
+        measured.where(~base_failed("m")).join(marks.where("quality IN (0, 1)"), "doc_id").select("stratum", "m", "quality", chooses.alias("chooses")),
+        "quality-known",
+    )
+    left = known.where("chooses")
+    chosen = written(left.groupBy("stratum").agg(F.count_if(F.col("quality") == 0).alias("all_bad")), "quality-chosen")
+    for rule, (_, cutoffs) in RULES.items():
+        over = {
+            (i, q): F.count_if((F.col("quality") == q) & (_value(rule, "m") > c)).alias(f"over_{q}_{i}")
+            for i, c in enumerate(cutoffs) for q in (0, 1)
+        }
+        safe = [F.when(F.col(f"over_1_{i}") == 0, F.col(f"over_0_{i}")) for i in range(len(cutoffs))]
+        most = F.coalesce(F.greatest(*safe), F.lit(0))
+        enough = (most > 0) & (most * LEAST_GAIN >= F.col("all_bad"))
+        loosest = F.coalesce(*[F.when(enough & (n == most), F.lit(c)) for n, c in zip(safe, cutoffs)])
+        counted = left.groupBy("stratum").agg(*over.values())
+        chosen = written(chosen.join(counted, "stratum", "left").select(*chosen.columns, loosest.alias(rule)), "quality-chosen")
+        cut = chosen.select("stratum", F.col(rule).alias("_cut"))
+        passed = F.coalesce(_value(rule, "m") > F.col("_cut"), F.lit(False))
+        left = left.join(cut, "stratum", "left").where(~passed).drop("_cut")
+    judged = _with_cutoffs(known.where("NOT chooses"), chosen).select(
+        "stratum", "quality", (F.size(broken_rules("m")) > 0).alias("gone")
+    )
+    tests = judged.groupBy("stratum").agg(*[
+        F.count_if((F.col("quality") == q) & (F.col("gone") | F.lit(whole))).alias(name)
+        for name, q, whole in (("clean", 1, True), ("clean_lost", 1, False), ("bad", 0, True), ("bad_gone", 0, False))
+    ])
+    by_chance = Window.orderBy("chance", "stratum")
+    ranked = mapped(tests, _tested(risk), _TESTED).withColumn(
+        "fine", F.col("chance") <= F.lit(float(error)) / (F.count("*").over(Window.partitionBy()) - F.row_number().over(by_chance) + 1)
+    )
+    allowed = F.every("fine").over(by_chance.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = chosen.drop("all_bad").join(ranked.withColumn("allowed", allowed).drop("fine"), "stratum", "left")
+    cutoffs = [F.when(F.coalesce("allowed", F.lit(False)), F.col(rule)).alias(rule) for rule in RULES]
+    return written(found.select("stratum", *cutoffs, "clean", "clean_lost", "bad", "bad_gone", "chance", "allowed"), "quality-cutoffs")
 
 
 def broken_rules(m: str) -> Column:

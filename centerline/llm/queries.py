@@ -73,8 +73,8 @@ def op2_quality_rules(spark, sf):
     )
 
 
-def _quality_sql(risk: float = 0.01, error: float = 0.05, weight: float = 10.0) -> str:
-    """The rules in SQL. A bound is within the risk if so few failures have at most the error's chance at that risk."""
+def _quality_sql(risk: float = 0.02, error: float = 0.05) -> str:
+    """The rules in SQL; a stratum's test passes if so few failures have a small enough chance at the risk."""
     names = list(quality.RULES)
     values = {
         "symbols": "n_symbols / nullif(n_words, 0)", "dup_lines": "n_dup_lines / nullif(n_lines, 0)",
@@ -86,6 +86,17 @@ def _quality_sql(risk: float = 0.01, error: float = 0.05, weight: float = 10.0)
         for n, name in enumerate(names) for i, c in enumerate(quality.RULES[name][1])
     )
     measured = " UNION ALL ".join(f"SELECT r, '{name}' AS rule, {values[name]} AS value FROM m" for name in names)
+    # One rule after the other: cutoffs that no clean document passes, and the bad ones that the rules before it leave.
+    chosen = ",\n".join(f"""n{n} AS (
+  SELECT stratum, rule, cutoff, i, count(*) FILTER (WHERE quality = 0 AND value > cutoff) AS bad_over, max(all_bad) AS all_bad
+  FROM k{n} JOIN v USING (r) JOIN c USING (rule) WHERE rule = '{name}' GROUP BY ALL
+  HAVING count(*) FILTER (WHERE quality = 1 AND value > cutoff) = 0),
+q{n} AS (
+  SELECT stratum, rule, cutoff FROM n{n} WHERE bad_over > 0 AND {quality.LEAST_GAIN} * bad_over >= all_bad
+  QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY bad_over DESC, i) = 1),
+k{n + 1} AS (
+  SELECT k{n}.* FROM k{n} LEFT JOIN q{n} USING (stratum) LEFT JOIN v ON v.r = k{n}.r AND v.rule = '{name}'
+  WHERE NOT coalesce(value > cutoff, false))""" for n, name in enumerate(names))
     return f"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
@@ -106,28 +117,27 @@ m AS (
   FROM d LEFT JOIN y ON d.r = y.r),
 v AS ({measured}),
 k AS (
-  SELECT r, stratum, quality FROM m JOIN (
+  SELECT r, stratum, quality, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '{quality.CHOOSING}' AS chooses FROM m JOIN (
     SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1)
     USING (doc_id) WHERE NOT base_failed AND quality IN (0, 1)),
-t AS (
-  SELECT stratum, count(*) FILTER (WHERE quality = 1) AS clean, count(*) FILTER (WHERE quality = 0) AS bad FROM k GROUP BY 1),
 c(place, rule, i, cutoff) AS (VALUES {cutoffs}),
-n AS (
-  SELECT stratum, rule, i, cutoff, count(*) FILTER (WHERE quality = 1 AND value > cutoff) AS clean_over,
-    count(*) FILTER (WHERE quality = 0 AND value > cutoff) AS bad_over
-  FROM k JOIN v USING (r) JOIN c USING (rule) GROUP BY ALL),
+k0 AS (SELECT r, stratum, quality, count(*) FILTER (WHERE quality = 0) OVER (PARTITION BY stratum) AS all_bad FROM k WHERE chooses),
+{chosen},
+q AS ({" UNION ALL ".join(f"SELECT * FROM q{n}" for n in range(len(names)))}),
+g AS (
+  SELECT k.r, k.stratum, quality, bool_or(value > cutoff) AS gone FROM k JOIN v ON v.r = k.r
+  LEFT JOIN q ON q.stratum = k.stratum AND q.rule = v.rule WHERE NOT chooses GROUP BY ALL),
+t AS (
+  SELECT stratum, count(*) FILTER (WHERE quality = 1) AS clean, count(*) FILTER (WHERE quality = 1 AND gone) AS lost FROM g
+  GROUP BY 1),
 p AS (
-  SELECT n.*, clean, bad, clean > 0 AND bad > 0 AND clean_over < clean AND list_sum(list_transform(range(clean_over + 1),
-      lambda j: exp(lgamma(clean + 1) - lgamma(j + 1) - lgamma(clean - j + 1) + j * ln({risk}) + (clean - j) * ln(1 - {risk}))))
-    <= {error} / greatest(1, (SELECT count(*) FROM t) * {len(names)}) AS fine
-  FROM n JOIN t USING (stratum)),
-q AS (
-  SELECT *, bad_over / bad - {weight} * clean_over / clean AS gain FROM (
-    SELECT *, bool_and(fine) OVER (PARTITION BY stratum, rule ORDER BY i) AS reached FROM p) WHERE reached),
+  SELECT stratum, CASE WHEN lost >= clean THEN 1.0 ELSE list_sum(list_transform(range(lost + 1),
+    lambda j: exp(lgamma(clean + 1) - lgamma(j + 1) - lgamma(clean - j + 1) + j * ln({risk}) + (clean - j) * ln(1 - {risk})))) END AS chance
+  FROM t),
+h AS (SELECT *, chance <= {error} / (count(*) OVER () - row_number() OVER (ORDER BY chance, stratum) + 1) AS fine FROM p),
 z AS (
-  SELECT stratum, rule, cutoff FROM (
-    SELECT *, row_number() OVER (PARTITION BY stratum, rule ORDER BY round(gain, 10) DESC, i) AS n FROM q WHERE gain > 1e-12)
-  WHERE n = 1),
+  SELECT stratum, rule, cutoff FROM (SELECT *, bool_and(fine) OVER (ORDER BY chance, stratum) AS allowed FROM h)
+  JOIN q USING (stratum) WHERE allowed),
 b AS (
   SELECT m.r, string_agg(z.rule, ',' ORDER BY place) AS broken FROM m JOIN z USING (stratum)
   JOIN v ON v.r = m.r AND v.rule = z.rule AND v.value > z.cutoff

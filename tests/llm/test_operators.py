@@ -76,21 +76,44 @@ def test_quality_cutoffs_bound_false_rejections(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in found.items() if r.kept}
 
 
-def test_upper_bound_is_exact():
-    for k, n, e in ((0, 300, 0.05), (3, 1000, 0.01), (20, 50, 0.001), (5, 5, 0.1)):
-        p = quality.upper_bound(k, n, e)
-        if k == n:
-            assert p == 1.0
-            continue
-        tail = sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
-        assert tail == pytest.approx(e, rel=1e-6)
-
-
-def test_choose_stops_at_the_first_failure():
-    assert quality.choose((3.0, 2.0, 1.0), [0, 90, 0], 1000, [5, 50, 90], 100, 0.01, 0.01, 1.0) == 3.0
-    assert quality.choose((3.0, 2.0), [0, 0], 1000, [50, 50], 100, 0.01, 0.01, 1.0) == 3.0
-    assert quality.choose((3.0,), [0], 10, [50], 100, 0.01, 0.01, 1.0) is None
-    assert quality.choose((3.0,), [0], 0, [0], 0, 0.01, 0.01, 1.0) is None
+def test_tail_chance_is_exact():
+    for k, n, p in ((0, 300, 0.05), (3, 1000, 0.01), (20, 50, 0.3), (5, 5, 0.1), (0, 0, 0.02)):
+        want = sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
+        assert quality.tail_chance(k, n, p) == pytest.approx(1.0 if k >= n else want, rel=1e-9)
+
+
+def test_strata_of_a_few_hundred_labels_get_cutoffs(spark):
+    """Holm's procedure: strata of 400 labels pass, one of 40 does not, and it takes nothing from the others."""
+    good, junk = "words stand here and no two of them are ever alike now ", "junk ### text with $$$ signs in it and more &&& of them ||| all "
+    rows, labels = [], []
+    for stratum, n in (("aa", 400), ("bb", 400), ("cc", 40), ("dd", 600)):
+        for i in range(n):
+            number = len(rows)
+            bad = i % 8 == 0
+            rows.append((number, (junk if bad else good) + str(number), stratum))
+            labels.append((number, int(not bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    kept = Counter((r.stratum, "junk" in rows[r.doc_id][1], r.kept) for r in judged)
+    assert all(kept[s, False, False] == 0 for s in ("aa", "bb", "cc", "dd"))
+    assert all(kept[s, True, True] == 0 and kept[s, True, False] for s in ("aa", "bb", "dd"))
+    assert kept["cc", True, False] == 0
+
+
+def test_false_rejections_stay_below_the_risk():
+    """Strata whose true rate is just over the risk are allowed in at most the promised share of trials."""
+    rng = np.random.default_rng(4)
+    trials, wrong = 3000, 0
+    for _ in range(trials):
+        tests = [(int(rng.binomial(n, rate)), n, rate) for n, rate in ((250, 0.0201), (340, 0.0), (900, 0.0201), (200, 0.0201))]
+        chances = sorted((quality.tail_chance(x, n, 0.02), rate) for x, n, rate in tests)
+        for place, (chance, rate) in enumerate(chances):
+            if chance > 0.05 / (len(chances) - place):
+                break
+            if rate > 0.02:
+                wrong += 1
+                break
+    assert wrong / trials < 0.05 + 3 * (0.05 * 0.95 / trials) ** 0.5
 
 
 @pytest.mark.parametrize("shards", [8, 3, 1])
