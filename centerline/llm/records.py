@@ -53,7 +53,7 @@ class Encoder:
     string, go to the library as they are.
     """
 
-    def __init__(self, path: str, limit: int = 100_000):
+    def __init__(self, path: str, limit: int = 220_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -214,7 +214,7 @@ def _writer(path: str, tokenizer: str, end_id: int | None):
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.records"
         sink, at, before = None, 0, 0
-        for block in in_blocks(batches, "text", 2 << 20):
+        for block in in_blocks(batches, "text", 4 << 20):
             if sink is None and block.num_rows:
                 filesystem.create_dir(plain, recursive=True)
                 sink = filesystem.open_output_stream(f"{plain}/{name}")
