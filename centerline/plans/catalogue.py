@@ -1192,8 +1192,8 @@ def zip_expand(spark, sf):
 def zip_tables(spark, sf):
     path = scratch_dir(spark, "zip")
     roundtrip.write_files(_parts(spark, sf), _PART_FIELDS, path, "parts", zipped=True, deleted="deleted")
-    archives = files.list_archives(spark, path)
-    rows = archive_tables.read_tables(archives, archive_tables.archive_schema(archives))
+    tables = archive_tables.list_tables(files.list_archives(spark, path))
+    rows = archive_tables.read_tables(tables, archive_tables.archive_schema(tables))
     return _plain(rows.where("error IS NULL").drop("error", "source_table"))
 
 
@@ -1201,8 +1201,8 @@ def zip_tables(spark, sf):
 def zip_shapes(spark, sf):
     path = scratch_dir(spark, "zip")
     roundtrip.write_files(_lines(spark, sf), _LINE_FIELDS, path, "lines", "points", [0, 16], zipped=True)
-    archives = files.list_archives(spark, path)
-    rows = archive_tables.read_tables(archives, archive_tables.archive_schema(archives))
+    tables = archive_tables.list_tables(files.list_archives(spark, path))
+    rows = archive_tables.read_tables(tables, archive_tables.archive_schema(tables))
     return _line_points(rows.where("error IS NULL"))
 
 

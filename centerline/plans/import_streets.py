@@ -27,7 +27,9 @@ def load_dataset(
     (``load_errors``) and leaves the counties loaded before as they are.
     """
     archives = files.list_archives(spark, root, recursive, state, dataset)
-    schema = schema or archive_tables.archive_schema(archives, dates_as_text)
+    if schema is None:
+        archives = archive_tables.list_tables(archives, dates_as_text)
+        schema = archive_tables.archive_schema(archives)
     staged = scratch_dir(spark, "load")
     archive_tables.read_tables(archives, schema).write.parquet(staged)
     rows = spark.read.parquet(staged)

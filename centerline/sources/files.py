@@ -92,7 +92,8 @@ def archive_units(archives: DataFrame) -> DataFrame:
     """Units of work ``(path, stem)``: a table of an archive, spread over the tasks.
 
     A deflate stream cannot be split, but an archive can be read by member.  An
-    archive that cannot be opened is one unit without stem, which reports it.
+    archive that cannot be opened is one unit without stem, which reports it.  A
+    listing that has the stems already is taken as it is.
     """
 
     def stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +109,9 @@ def archive_units(archives: DataFrame) -> DataFrame:
                 )
 
     parts = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return archives.select("path").mapInArrow(stems, "path string, stem string").repartition(parts, "path", "stem")
+    known = "stem" in archives.columns
+    units = archives.select("path", "stem") if known else archives.select("path").mapInArrow(stems, "path string, stem string")
+    return units.repartition(parts, "path", "stem")
 
 
 def expand_archives(archives: DataFrame, suffixes: tuple[str, ...] | None = None) -> DataFrame:
