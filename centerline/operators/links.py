@@ -35,18 +35,21 @@ def link_counts(grouped: DataFrame) -> DataFrame:
     """Distinct links per dataset and state, per state, and the sum over states.
 
     ``level`` is 0 for a dataset of a state, 1 for a state over its datasets and
-    2 for the sum.  The rows are distinct already, so only a URL that several
-    datasets of a state share has to be told apart, by level 1.
+    2 for the sum.  Each URL of a state is one row with its datasets, which counts once
+    for each of them and once for the state; so the links are built and moved once.
     """
     none = F.lit(None).cast("string")
-    fine = grouped.groupBy("dataset", "state_fips").agg(F.count(F.lit(1)).alias("n_links")).select(
-        "dataset", "state_fips", F.lit(0).alias("level"), "n_links"
+    by_url = grouped.groupBy("state_fips", "url").agg(F.collect_set("dataset").alias("datasets"))
+    of = F.transform("datasets", lambda d: F.struct(F.lit(0).alias("level"), d.alias("dataset")))
+    state = F.array(F.struct(F.lit(1).alias("level"), none.alias("dataset")))
+    counts = by_url.select("state_fips", F.inline(F.concat(of, state))).groupBy("level", "dataset", "state_fips").agg(
+        F.count(F.lit(1)).alias("n")
     )
-    states = grouped.select("state_fips", "url").distinct().groupBy("state_fips").agg(F.count(F.lit(1)).alias("n"))
-    coarse = states.rollup("state_fips").agg(F.grouping("state_fips").cast("int").alias("total"), F.sum("n").alias("n_links"))
-    return fine.unionByName(coarse.where("total = 0 OR n_links IS NOT NULL").select(
-        none.alias("dataset"), "state_fips", (F.col("total") + 1).cast("int").alias("level"), "n_links"
-    ))
+    # A row per state and dataset is left; that of a state goes into the sum too.
+    itself = F.struct("level", "dataset", "state_fips", "n")
+    summed = F.struct(F.lit(2).alias("level"), none.alias("dataset"), none.alias("state_fips"), "n")
+    rows = counts.select(F.inline(F.when(F.col("level") == 1, F.array(itself, summed)).otherwise(F.array(itself))))
+    return rows.groupBy("dataset", "state_fips", "level").agg(F.sum("n").alias("n_links"))
 
 
 def discovered_by_state(grouped: DataFrame) -> DataFrame:

@@ -46,6 +46,11 @@ def test_groups_combine_before_the_shuffle(spark, sf_dir, name):
     assert "partial_" in text
 
 
+def test_links_are_counted_in_one_pass(spark, sf_dir):
+    text = QUERIES["link_counts"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\(\d+\) Scan parquet", text)) <= 1 and "Union" not in text
+
+
 def test_links_need_no_shuffle(spark, sf_dir):
     text = QUERIES["link_extract"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text
