@@ -251,6 +251,33 @@ def test_pieces_are_drawn_by_their_chances():
     assert lattice.log_total[0] == pytest.approx(math.log(total))
 
 
+@pytest.mark.parametrize("text", ["the on", "né\nin", "a龘b", "of 😀the", "  it", "in\n\non", "\x07"])
+def test_texts_of_several_parts_and_characters_without_piece(text):
+    """All segmentations of the whole text, by the pieces that fit and the bytes of characters that are no piece."""
+    model = pieces.Pieces(PIECES)
+    special = {int(i) for i in model.byte_ids}
+    known = {b.decode(): i for i, b in enumerate(model.bytes) if b and i not in special}
+
+    def ways(s):
+        if not s:
+            yield (), 0.0
+        for n in range(1, len(s) + 1):
+            if s[:n] in known:
+                yield from (((known[s[:n]], *rest), model.logs[known[s[:n]]] + log) for rest, log in ways(s[n:]))
+        if s and s[0] not in known:  # its weight is in every segmentation
+            yield from (((*(int(model.byte_ids[b]) for b in s[0].encode()), *rest), log) for rest, log in ways(s[1:]))
+
+    n, alpha = 20_000, 0.6
+    weight = {w: math.exp(alpha * log) for w, log in ways(" " + text)}
+    ids, count = pieces.segment([text] * n, np.arange(n), model, alpha, 5)
+    ends = np.cumsum(count)
+    drawn = Counter(tuple(ids[b - c:b].tolist()) for b, c in zip(ends, count))
+    total = sum(weight.values())
+    assert set(drawn) <= set(weight)
+    assert all(abs(drawn[w] / n - v / total) < 0.02 for w, v in weight.items())
+    assert all(model.decode(list(w)) == text.encode() for w in drawn)
+
+
 PAGE = """<!DOCTYPE html><html class="has-sidebar"><head><title>T</title><style>p{}</style></head><body>
 <header><h1>Site</h1></header><nav><a href=/>Home</a></nav><div class="cookie-notice">We use, cookies, a lot.</div>
 %s<aside>Also, here</aside><div id="comments"><p>First, nice, text, this, is, long, enough to win points.</p></div>
