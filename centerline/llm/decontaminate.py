@@ -89,21 +89,20 @@ class Table:
         self.ends, self.begin, self.stop = ends[at], begin[at], stop[at]
         self.items, self.held = items[~again], np.append(np.cumsum(~again)[at] - 1, int((~again).sum()))
 
-    def occurrences(self, words: Words) -> Iterator[tuple[int, np.ndarray]]:
+    def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
         """Start of each occurrence of a pattern, and the items that hold the pattern."""
         m, block, shift, mask, checksum = self.m, self.block, self.shift, self.mask, zlib.crc32
-        text, begin, end = words.text, words.begin.tolist(), words.end.tolist()
-        at, last = m - block, len(begin) - block
+        at, last = m - block, len(words) - block
         while at <= last:
-            found = checksum(text[begin[at]:end[at + block - 1]])
+            found = checksum(words[at] if block == 1 else words[at] + b" " + words[at + 1])
             step = shift[found & mask]
             if step:
                 at += step
                 continue
             start = at + block - m
-            body = text[begin[start]:end[at + block - 1]]
-            key = np.uint32(found)
+            key, body = np.uint32(found), None
             for k in range(np.searchsorted(self.ends, key), np.searchsorted(self.ends, key, "right")):
+                body = body or b" ".join(words[start:start + m])
                 if self.text[self.begin[k]:self.stop[k]] == body:
                     yield start, self.items[self.held[k]:self.held[k + 1]]
                     break
@@ -241,11 +240,8 @@ def _found(files: list[str]):
                 store["benchmark file"] = file
             names, tables = store["benchmark tables"]
             for i, words in enumerate(every):
-                if not words:
-                    continue
-                text = Words(words)
                 for table in tables:
-                    for start, held in table.occurrences(text):
+                    for start, held in table.occurrences(words):
                         spans[i].append((start, start + table.m))
                         items[i].update(names[k] for k in held.tolist() if k >= 0)
         return pa.array([

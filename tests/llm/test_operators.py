@@ -335,7 +335,7 @@ def test_tables_of_a_benchmark_block_are_small():
     tables = decontaminate.tables_of(items, 13)
     held = sum(len(t.text) + len(t.shift) + sum(getattr(t, x).nbytes for x in ("ends", "begin", "stop", "items", "held")) for t in tables)
     assert held < 10 * size
-    body = decontaminate.Words(decontaminate.words_of(b"x y " + items[7][1] + b" z"))
+    body = decontaminate.words_of(b"x y " + items[7][1] + b" z")
     assert [s for t in tables for s, held in t.occurrences(body) if held.tolist() == [7]] == list(range(2, 190))
 
 
