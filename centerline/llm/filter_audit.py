@@ -62,7 +62,7 @@ def _entry(**values: Column) -> Column:
 def _folded(orders: Column) -> Column:
     """The entries of one mask: for each order and step what the cell adds, orders one after the other.
 
-    A fold over the steps of an order carries the filter that removed the cell (0: none yet) and the entries so far.
+    A fold over the steps of an order carries whether a filter has removed the cell, and the entries so far.
     """
     mask, n, good, toxic = (F.col(c).cast("long") for c in ("mask", "n", "good", "toxic"))
     nothing = F.lit(0)

@@ -144,8 +144,9 @@ class Encoder:
         if self.newline is not None:
             feed = np.array([self.newline], dtype=self.type).tobytes()
             self.known.update((u, feed + self.known[u]) for u in fed if u[0] == "\n")
-        texts = [u[1:] if u[0] == MARK else u if u[0] == "\n" else f" {u}" for u in alone]
-        self.known.update(zip(alone, [ids.tobytes() for ids in self._whole(texts)])) if alone else None
+        if alone:
+            texts = [u[1:] if u[0] == MARK else u if u[0] == "\n" else f" {u}" for u in alone]
+            self.known.update(zip(alone, [ids.tobytes() for ids in self._whole(texts)]))
 
     def _codes(self, units: list[str]) -> list[bytes]:
         """The ids of different units."""
