@@ -13,7 +13,8 @@ from pyspark.sql.datasource import InputPartition
 
 from centerline.functions.names import STATE_IN_NAME
 
-SPLIT_BYTES = 64 << 20  # file bytes per task
+SPLIT_BYTES = 64 << 20  # file bytes per split
+TASKS = 256  # tasks beyond which small splits are put together, until a task has SPLIT_BYTES
 BATCH_BYTES = 8 << 20  # file bytes per Arrow batch
 
 
@@ -72,13 +73,18 @@ def list_sizes(options: dict, suffix: str) -> list[tuple[str, int]]:
 
 
 def split_pieces(files: list[tuple[str, int]], target: int, whole: bool = False) -> list[Pieces]:
-    """Cut large files, unless they are to stay ``whole``, and put small ones together, about ``target`` bytes each."""
+    """Cut files larger than ``target`` bytes, unless they are to stay ``whole``, and deal the pieces out to tasks.
+
+    A task has about ``target`` bytes. Where that were more than ``TASKS`` tasks it has as many times more, up to
+    ``SPLIT_BYTES``: starting a task costs as much as reading many small pieces.
+    """
     tasks, open_task, filled = [], [], 0
+    share = max(target, min(SPLIT_BYTES, sum(size for _, size in files) // TASKS))
     for path, size in files:
         cuts = [0] if whole else list(range(0, size, target)) or [0]
         for start in cuts:
             stop = size if whole else min(start + target, size)
-            if open_task and filled + stop - start > target:
+            if open_task and filled + stop - start > share:
                 tasks.append(Pieces(open_task))
                 open_task, filled = [], 0
             open_task.append(Piece(path, start, stop, len(cuts) == 1))

@@ -67,6 +67,18 @@ def test_batches_of_a_whole_file_are_judged_first(tmp_path, monkeypatch):
             assert [r["id"] for r in rows] == [None] and f"record {bad + 1}: " in rows[0]["err"]
 
 
+def test_small_splits_of_many_files_share_tasks():
+    for count in (10, 2000, 20_000):
+        files = [(f"f{i:05d}", 7900 + i % 3) for i in range(count)]
+        tasks = ranges.split_pieces(files, 3200)
+        pieces = [(p.path, p.start, p.stop, p.whole) for t in tasks for p in t.pieces]
+        assert pieces == [(f, a, min(a + 3200, size), False) for f, size in files for a in (0, 3200, 6400)]
+        assert len(tasks) <= 300 and (count > 10 or len(tasks) >= 20)
+    # Splits of the usual size stay tasks of their own.
+    big = [(f"b{i}", 3 * ranges.SPLIT_BYTES) for i in range(400)]
+    assert [len(t.pieces) for t in ranges.split_pieces(big, ranges.SPLIT_BYTES)] == [1] * 1200
+
+
 def test_a_bad_shape_takes_its_file_along(spark, tmp_path):
     for name, bad in (("tl_2025_06001_edges", None), ("tl_2025_06003_edges", 30)):
         shapes = [formats.poly(3, [[(i, 0), (i + 1, i)]]) for i in range(40)]
