@@ -694,11 +694,18 @@ def counters_stream(spark, sf):
 @query("states_stream", f"WITH {FX_MARKS}, {FX_CALLS}, {_STATES} SELECT * FROM states")
 def states_stream(spark, sf):
     root = scratch_dir(spark, "stream")
-    for view, events in (("mark_counters", inputs.fx_marks), ("called_urls", inputs.fx_calls)):
-        rows = events(spark, sf)
-        rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "seq").write.parquet(f"{root}/{view}_in")
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/{view}_in")
-        manifest_stream.start_view(stream, view, root).awaitTermination()
+    started = []
+    try:
+        for view, events in (("mark_counters", inputs.fx_marks), ("called_urls", inputs.fx_calls)):
+            rows = events(spark, sf)
+            rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "seq").write.parquet(f"{root}/{view}_in")
+            stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/{view}_in")
+            started.append(manifest_stream.start_view(stream, view, root))
+        for running in started:  # side by side
+            running.awaitTermination()
+    finally:
+        for running in started:
+            running.stop()
     return manifest_stream.states(spark, root)
 
 

@@ -83,3 +83,34 @@ def test_many_batches_and_repeated_ones_give_one_table(spark, tmp_path):
     (tmp_path / "url_lists" / "snapshots" / f"upto={last}" / "_SUCCESS").unlink()
     now = manifest_stream.current(spark, "url_lists", root)
     assert sorted(map(str, map(tuple, now.collect()))) == sorted(map(str, want.values()))
+
+
+def test_state_has_no_more_partitions_than_there_are_cores(spark, tmp_path):
+    marks = [(n, float(n), "completed", f"u{n % 7}", f"p{n % 7}", "01", n, None, None) for n in range(40)]
+    frame = spark.createDataFrame(marks, schemas.MARK_EVENTS)
+    frame.repartition(3).write.parquet(str(tmp_path / "marks"))
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 50)
+    try:
+        for wanted, found in ((None, spark.sparkContext.defaultParallelism), (2, 2)):
+            root = str(tmp_path / f"state{wanted}")
+            stream = spark.readStream.schema(schemas.MARK_EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "marks"))
+            query = manifest_stream.start_view(stream, "files", root, state_partitions=wanted)
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+            query.awaitTermination()
+            state = tmp_path / f"state{wanted}" / "files" / "checkpoint" / "state" / "0"
+            assert len([f for f in state.iterdir() if f.name.isdigit()]) == found
+            assert rows(manifest_stream.current(spark, "files", root)) == rows(manifest.fold_files(frame))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+
+def test_a_table_that_only_grows_is_not_rewritten_at_every_snapshot(spark, tmp_path):
+    root, made = str(tmp_path), set()
+    whole = spark.range(0, 48_000, 1, 1).selectExpr("cast(id AS string) AS url", "'failed' AS list_type", "sqrt(id) AS added_at", "id")
+    for n in range(16):
+        batch = whole.where(f"id div 3000 = {n}").drop("id")
+        manifest_stream.write_batch(batch, "url_lists", root, n, 2)
+        made |= set(manifest_stream._complete(f"{root}/url_lists/snapshots"))
+    assert 3 <= len(made) <= 6
+    assert rows(manifest_stream.current(spark, "url_lists", root)) == rows(whole.drop("id"))
