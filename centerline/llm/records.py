@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import json
 import os
-import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -16,14 +16,13 @@ from pyspark.sql import functions as F
 
 from centerline.llm.checksums import Crc32c
 from centerline.llm.common import batch_of, document_columns, in_blocks, mapped, worker_store
+from centerline.llm.tokens import byte_characters
 from centerline.sources.ranges import open_fs
 
-# Characters other than space and line feed that some library counts as white space: they may stand beside these.
-_OTHER_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
-
-MARK = "\0"  # in front of the first unit of a text, which no space stands before
-SPACED = "\u0120"  # Fixed value: the space in a byte-level vocabulary.
+# Kinds of bytes. White space beyond ASCII, and what some library might count as such, is among the unclear ones.
+LETTER, NUMBER, MARK, QUOTE, SPACE, FEED, UNCLEAR = range(7)
 LINES = 400  # units that the library gets at a time
+CACHE_BYTES = 64 << 20  # of parts that a worker remembers
 
 _HEAD = np.dtype([("doc_id", "<i8"), ("known", "u1")])
 _FRAME = 12  # the length and its checksum stand before a record, its own checksum of 4 bytes behind it
@@ -33,27 +32,84 @@ _CHECKED = "part int, doc_id long, before long, n_tokens long, ids_crc32 long"
 READ_BYTES, GAP = 8 << 20, 1 << 16
 
 
-class _Packs(dict):
-    """Functions that pack so many ids, by their number."""
+def _kinds() -> np.ndarray:
+    """The kind of each byte. Bytes from C3 to C9 lead letters of two bytes (U+00C0 to U+027F, but for two signs)."""
+    kinds = np.full(256, MARK, dtype=np.uint8)
+    kinds[0x80:] = UNCLEAR
+    kinds[0xC3:0xCA] = LETTER
+    kinds[0x1C:0x20] = UNCLEAR
+    kinds[list(b"\t\n\x0b\x0c\r")] = FEED
+    for kind, own in ((SPACE, b" "), (QUOTE, b"'"), (NUMBER, b"0123456789")):
+        kinds[list(own)] = kind
+    kinds[[b for b in range(128) if chr(b).isalpha()]] = LETTER
+    return kinds
+
+
+def _cuts() -> np.ndarray:
+    """Whether a pre-token always begins between two bytes of these kinds, by ``8 * first + second``."""
+    cut = np.zeros((8, 8), dtype=bool)
+    cut[:SPACE, SPACE:UNCLEAR] = True
+    cut[UNCLEAR, SPACE:UNCLEAR] = True  # unless the first ends white space, see ``Cutter``
+    cut[LETTER, [NUMBER, MARK, QUOTE]] = True
+    cut[NUMBER, [LETTER, MARK, QUOTE]] = True
+    cut[MARK, [LETTER, NUMBER]] = True
+    cut[QUOTE, NUMBER] = True  # letters behind a quote may be one pre-token with it
+    return cut.ravel()
+
 
-    def __init__(self, code: str):
-        super().__init__()
-        self.code = code
+class Cutter:
+    """Where texts can be cut so that the parts have the pre-tokens of the whole, by the byte-level pattern
 
-    def __missing__(self, n: int):
-        pack = self[n] = struct.Struct(f"<{n}{self.code}").pack
-        return pack
+    ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``
+
+    Cuts are made where a pre-token begins whatever stands around, and nowhere else, so a part may hold several. A part
+    of ASCII without quote, and one of letters, is one pre-token. In white space before something else, the last
+    character stands by itself or with what follows.
+    """
+
+    def __init__(self) -> None:
+        self.kinds, self.cuts = _kinds(), _cuts()
+        spaces = [c.encode() for c in map(chr, range(0x80, 0x10000)) if c.isspace() or c in "\u180e\u200b\ufeff"]
+        self.odd2, self.odd3 = (
+            np.array([int.from_bytes(c, "big") for c in spaces if len(c) == n], dtype=np.uint32) for n in (2, 3)
+        )
+
+    def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The first byte of each part of the texts that begin at ``offsets[:-1]``; none of these is empty."""
+        kind = self.kinds[data]
+        lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC9))
+        second = data[lead + 1]
+        letter = (data[lead] != 0xC3) | ((second != 0x97) & (second != 0xB7))
+        kind[lead + 1] = np.where(letter, LETTER, UNCLEAR)
+        kind[lead[~letter]] = UNCLEAR
+        pair = kind[:-1] << 3 | kind[1:]
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        cut[1:-1] = self.cuts[pair]
+        begin = np.zeros(len(data) + 1, dtype=bool)
+        begin[offsets] = True
+        unclear = np.flatnonzero((pair == (UNCLEAR << 3 | SPACE)) | (pair == (UNCLEAR << 3 | FEED)))
+        if len(unclear):
+            code = data[np.maximum(unclear[:, None] - [2, 1, 0], 0)].astype(np.uint32) @ np.array([1 << 16, 1 << 8, 1], np.uint32)
+            odd = np.isin(code & 0xFFFF, self.odd2) | np.isin(code, self.odd3) | (code & 0xFF < 0x80)
+            cut[unclear[odd] + 1] = False
+        white = (kind == SPACE) | (kind == FEED)
+        last = np.flatnonzero(white[:-2] & white[1:-1] & (kind[2:] < SPACE)) + 1
+        cut[last[~begin[last + 1]]] = True
+        fed = np.flatnonzero((pair >> 3 == FEED) & (kind[1:] < SPACE))
+        cut[fed + 1] = cut[fed] | begin[fed]
+        cut |= begin
+        cut[-1] = False
+        return np.flatnonzero(cut)
 
 
 class Encoder:
-    """Ids of whole texts, as the library gives them; what stands between two spaces is encoded once.
+    """Ids of whole texts, as the library gives them; parts of texts that are equal are encoded once.
 
-    A byte-level vocabulary whose pre-tokens begin at white space gives the same ids for a text and for its parts, cut
-    in front of each space that stands alone. Texts with other white space beside a space, and those with a special
-    string, go to the library as they are.
+    Texts are cut by ``Cutter`` if the vocabulary is a byte-level one with the usual pattern. With any other, and where a
+    special string stands in a text, the library gets the text as it is.
     """
 
-    def __init__(self, path: str, limit: int = 220_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -62,20 +118,20 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        # Units by their ids: those of late, and those of the time before that; each part holds about ``limit``.
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.limit = limit
+        kind = json.loads(self.tokenizer.to_str())
+        pre = kind["pre_tokenizer"] or {}
+        self.cutter = Cutter() if (
+            kind["normalizer"] is None and kind["model"]["type"] == "BPE" and not kind["model"]["dropout"]
+            and pre.get("type") == "ByteLevel" and not pre["add_prefix_space"] and pre["use_regex"]
+        ) else None
+        self.characters = byte_characters()
         newline = self._whole(["\n"])[0]
         self.newline = newline[0] if len(newline) == 1 else None
-        # Letters behind a space are one pre-token, which can go straight to the merges.
-        probes = ["a", "the", "Qwzx", "internationalisation"]
-        self.merges = all(
-            [t.id for t in self.tokenizer.model.tokenize(SPACED + p)] == ids.tolist()
-            for p, ids in zip(probes, self._whole([f" {p}" for p in probes]))
-        )
-        self.packs = _Packs("H" if self.type.itemsize == 2 else "I")
-        self.tails = {c: ids.tobytes() for c, ids in zip(",.;:!?", self._whole(list(",.;:!?")))}
+        # Parts by their ids, and the block that each was seen in last. Of more than ``limit``, or
+        # ``CACHE_BYTES``, the latest stay, half as many.
+        self.limit = limit
+        self.units, self.codes = pa.array([], pa.binary()), pa.array([], pa.binary())
+        self.seen, self.turn = np.zeros(0, dtype=np.int32), 0
 
     @classmethod
     def shared(cls, path: str) -> "Encoder":
@@ -90,104 +146,94 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.type) for e in found]
 
-    def _plain(self, text: str) -> bool:
-        """Whether the text can be cut at its spaces and lines."""
-        if MARK in text or "  " in text or " \n" in text or "\n " in text or text.endswith(" ") or any(s in text for s in self.special):
-            return False
-        if "\n\n" in text and ("\n\n\n" in text or text.endswith("\n\n")):
-            return False
-        return not any(
-            c in text and (c + " " in text or " " + c in text or c + "\n" in text or "\n" + c in text) for c in _OTHER_SPACES
-        )
-
-    def _learn(self, units: list[str]) -> None:
-        """Encode units: punctuation at an end by itself, since no pre-token holds letters and punctuation."""
-        tailed = [u for u in units if u[-1] in self.tails and len(u) > 2 and u[-2].isascii() and u[-2].isalnum()]
-        stems = set(units).difference(tailed) if tailed else set(units)
-        stems.update(u[:-1] for u in tailed)
-        self._encode(list(stems - self.known.keys()))
-        for u in tailed:
-            self.known[u] = self.known[u[:-1]] + self.tails[u[-1]]
-
-    def _encode(self, units: list[str]) -> None:
-        """Encode units, many in a text each, of which every line is a unit: a line's end is a token of its own.
-
-        A unit that begins with a mark stands at the begin of a text, one with a line feed behind that, and any other
-        behind a space.
-        """
-        letters, simple, fed, alone = [], [], [], []
-        for u in units:
-            if self.merges and u.isascii() and u.isalpha():
-                letters.append(u)
-            elif u.isprintable():  # no white space but the space, which no unit holds
-                simple.append(u)
-            elif u[1:].isprintable() and len(u) > 1 and u[0] in MARK + "\n":
-                fed.append(u)
+    def _merged(self, tokens: list[str]) -> list[bytes]:
+        """The ids of pre-tokens, spelled in the characters that stand for bytes."""
+        merge, out = self.tokenizer.model.tokenize, []
+        for at in range(0, len(tokens), 16 * LINES):
+            found = list(map(merge, tokens[at:at + 16 * LINES]))
+            data = np.array([t.id for own in found for t in own], dtype=self.type).tobytes()
+            stops = (np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) * self.type.itemsize).tolist()
+            out += [data[a:z] for a, z in zip([0, *stops], stops)]
+        return out
+
+    def _lines(self, units: list[str]) -> list[bytes]:
+        """The ids of parts without white space but a space in front, many in a text: a line's end is a token of its own."""
+        out, width = [], self.type.itemsize
+        groups = [units[i:i + LINES] for i in range(0, len(units), LINES)]
+        for own, ids in zip(groups, self._whole(["\n".join([*g, ""]) for g in groups])):
+            stops = (np.flatnonzero(ids == self.newline) * width).tolist()
+            data = ids.tobytes()
+            out += [data[a:z] for _, a, z in zip(own, [0, *(z + width for z in stops)], stops, strict=False)]
+        return out
+
+    def _learn(self, units: pa.Array) -> list[bytes]:
+        """The ids of parts that were not seen before."""
+        texts = units.cast(pa.string())
+        plain = pc.and_not(pc.ascii_is_printable(texts), pc.match_substring(texts, "'")).to_numpy(zero_copy_only=False)
+        tokens = pc.replace_substring(texts, " ", self.characters[ord(" ")]).to_pylist()
+        merged, lines, alone = np.flatnonzero(plain).tolist(), [], []
+        others = dict(zip(np.flatnonzero(~plain).tolist(), texts.filter(pa.array(~plain)).to_pylist()))
+        for k, text in others.items():
+            if (text[1:] if text[0] == " " else text).isalpha() and max(text) < "\u0280":
+                tokens[k] = text.encode().decode("latin-1").translate(self.characters)
+                merged.append(k)
+            elif self.newline is not None and text.isprintable() and " " not in text[1:] and text != " ":
+                lines.append(k)
             else:
-                alone.append(u)
-        if self.newline is None:
-            simple, fed, alone = [], [], simple + fed + alone
-        merge, packs = self.tokenizer.model.tokenize, self.packs
-        for u in letters:
-            ids = [t.id for t in merge(SPACED + u)]
-            self.known[u] = packs[len(ids)](*ids)
-        lines = [[f" {u}" for u in simple], [u[1:] for u in fed]]
-        for own, texts in zip((simple, fed), lines):
-            groups = [slice(i, i + LINES) for i in range(0, len(own), LINES)]
-            width = self.type.itemsize
-            found = self._whole(["\n".join([*texts[g], ""]) for g in groups]) if groups else []
-            for g, ids in zip(groups, found):
-                stops = (np.flatnonzero(ids == self.newline) * width).tolist()
-                starts = [0, *(z + width for z in stops)]
-                data = ids.tobytes()
-                self.known.update(zip(own[g], [data[a:z] for a, z in zip(starts, stops)], strict=True))
-        if self.newline is not None:
-            feed = np.array([self.newline], dtype=self.type).tobytes()
-            self.known.update((u, feed + self.known[u]) for u in fed if u[0] == "\n")
-        if alone:
-            texts = [u[1:] if u[0] == MARK else u if u[0] == "\n" else f" {u}" for u in alone]
-            self.known.update(zip(alone, [ids.tobytes() for ids in self._whole(texts)]))
-
-    def _codes(self, units: list[str]) -> list[bytes]:
-        """The ids of different units."""
-        if len(self.known) > self.limit:
-            self.known, self.older = {}, self.known
-        codes = list(map(self.known.get, units))
-        if None in codes:
-            missing = [u for u, code in zip(units, codes) if code is None]
-            seen = [(u, code) for u, code in zip(missing, map(self.older.get, missing)) if code is not None]
-            self.known.update(seen)
-            if len(seen) < len(missing):
-                self._learn([u for u in missing if u not in self.known])
-            codes = list(map(self.known.__getitem__, units))
-        return codes
+                alone.append(k)
+        out: list[bytes] = [b""] * len(tokens)
+        for own, found in (
+            (merged, self._merged([tokens[k] for k in merged])),
+            (lines, self._lines([others[k] for k in lines])),
+            (alone, [ids.tobytes() for ids in self._whole([others[k] for k in alone])] if alone else []),
+        ):
+            for k, ids in zip(own, found, strict=True):
+                out[k] = ids
+        return out
+
+    def _coded(self, units: pa.Array) -> pa.Array:
+        """The ids of each part. Parts known and met are numbered together, so that only new ones are looked at."""
+        known = len(self.units)
+        numbered = pa.concat_arrays([self.units, units]).dictionary_encode()
+        which = numbered.indices.slice(known)
+        self.turn += 1
+        if len(numbered.dictionary) > known:
+            new = self._learn(numbered.dictionary.slice(known))
+            self.units = numbered.dictionary
+            self.codes = pa.concat_arrays([self.codes, pa.array(new, pa.binary())])
+            self.seen = np.concatenate([self.seen, np.zeros(len(new), dtype=np.int32)])
+        self.seen[which.to_numpy()] = self.turn
+        found = self.codes.take(which)
+        if len(self.units) > self.limit or self.units.nbytes > CACHE_BYTES:
+            late = np.argsort(-self.seen, kind="stable")[:self.limit // 2]
+            late = late[np.cumsum(pc.binary_length(self.units).to_numpy()[late], dtype=np.int64) <= CACHE_BYTES // 2]
+            self.units, self.codes, self.seen = self.units.take(pa.array(late)), self.codes.take(pa.array(late)), self.seen[late]
+        return found
 
     def of(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text, as little-endian numbers of the width of ``type``.
-
-        Texts are cut into units, and units told apart, for a whole block at a time; Python sees each different unit
-        of the block once.
-        """
-        values = texts.to_pylist()
-        plain = [self._plain(t) for t in values]
-        others = iter(self._whole([t for t, p in zip(values, plain) if not p]) if not all(plain) else ())
-        if not any(plain):
+        """The ids of each text, as little-endian numbers of the width of ``type``."""
+        whole = np.full(len(texts), self.cutter is None)
+        for special in self.special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        others = iter(self._whole(texts.filter(pa.array(whole)).to_pylist()) if whole.any() else ())
+        if whole.all():
             return [ids.tobytes() for ids in others]
-        marked = pc.replace_substring(texts.filter(pa.array(plain)), "\n", " \n")
-        lists = pc.split_pattern(pc.binary_join_element_wise(MARK, marked, ""), " ")
-        units = lists.flatten().dictionary_encode()
-        codes = self._codes(units.dictionary.to_pylist())
-        of = units.indices.to_numpy()
-        size = np.fromiter(map(len, codes), np.int64, len(codes))
-        data = np.frombuffer(b"".join(codes), self.type)
-        size //= self.type.itemsize
-        start = np.cumsum(size) - size
-        n = size[of]
-        upto = np.concatenate(([0], np.cumsum(n)))
-        ids = data[np.repeat((start[of] - upto[:-1]).astype(np.int32), n) + np.arange(upto[-1], dtype=np.int32)]
-        cuts = upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
-        found = iter([ids[a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:])])
-        return [next(found) if p else next(others).tobytes() for p in plain]
+        cuttable = pa.concat_arrays([texts.filter(pa.array(~whole)).cast(pa.binary())])
+        offsets = np.frombuffer(cuttable.buffers()[1], np.int32)[:len(cuttable) + 1]
+        found = iter(self._of(np.frombuffer(cuttable.buffers()[2] or b"", np.uint8)[:offsets[-1]], offsets))
+        return [next(others).tobytes() if w else next(found) for w in whole.tolist()]
+
+    def _of(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        if not len(data):
+            return [b""] * (len(offsets) - 1)
+        starts = self.cutter.starts(data, np.unique(offsets))
+        stops = np.append(starts, len(data)).astype(np.int32)
+        units = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(stops), pa.py_buffer(data)])
+        coded = self._coded(units)
+        upto = np.frombuffer(coded.buffers()[1], np.int32)[coded.offset:coded.offset + len(coded) + 1]
+        ids = coded.buffers()[2]
+        cuts = upto[np.searchsorted(starts, offsets)].tolist()
+        return [ids[a:z].to_pybytes() for a, z in zip(cuts[:-1], cuts[1:])]
 
 
 def _frames(ids: list[int | None], bodies: list[bytes], crc: Crc32c) -> tuple[list[bytes], list[int]]:

@@ -113,6 +113,53 @@ def test_encoder_is_the_library(library):
     assert got == want
 
 
+def test_odd_white_space_is_cut(library):
+    words = ["".join(rng.choice("abcdeé") for _ in range(6)) for rng in map(random.Random, range(50))]
+    texts = [random.Random(i).choice(["  ", "\t", " \n", "\n\n\n", ", "]).join(words) + ". " for i in range(200)]
+    encoder, sent = records.Encoder(BPE), []
+    whole = encoder._whole
+    encoder._whole = lambda own: sent.extend(own) or whole(own)
+    assert encoder.of(pa.array(texts)) == [
+        np.array(e.ids, "<u2").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)
+    ]
+    assert 20 * sum(map(len, sent)) < sum(map(len, texts))  # the library gets what is equal once, not whole texts
+
+
+def test_parts_have_the_pre_tokens_of_the_whole(library):
+    """Letters of two bytes, quotes, and characters that some library counts as white space, beside each other."""
+    rng = random.Random(6)
+    kinds = [" ", "  ", "\n", "\t", "\r\n", "a", "é", "ª", "×", "÷", "ß", "\u0301", "'", "'s", "1", "²", "٣", ".", "\0", "\x1c", "\x1f", "\x7f",
+             "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u200b", "\u2028", "\u202f", "\u205f", "\u3000", "\ufeff", "日", "😀", "я", "”", "。"]
+    texts = [f"a{c},{c}b 1{c}2 {c}'{c}  {c}" for c in map(chr, range(0xA0, 0x300))]
+    for _ in range(4000):
+        some = rng.sample(kinds, rng.randint(2, 8))
+        texts.append("".join(rng.choice(some) for _ in range(rng.randint(0, 12))))
+    encoder = records.Encoder(BPE, limit=300)
+    want = [np.array(e.ids, "<u2").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [x for at in range(0, len(texts), 101) for x in encoder.of(pa.array(texts[at:at + 101]))] == want
+
+
+def test_what_is_remembered_is_bounded(library, monkeypatch):
+    monkeypatch.setattr(records, "CACHE_BYTES", 5000)
+    encoder = records.Encoder(BPE)
+    for i in range(30):
+        text = "".join(random.Random(i).choices("abcd ", k=3000)) + " " + "x" * 9000
+        assert encoder.of(pa.array([text])) == [np.array(library.encode(text).ids, "<u2").tobytes()]
+        assert sum(map(len, encoder.units.to_pylist())) <= 5000
+
+
+def test_other_patterns_get_whole_texts(library, tmp_path):
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    other = Tokenizer.from_file(BPE)
+    other.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("e", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=True)])
+    other.save(str(tmp_path / "other.json"))
+    texts = ["the tree, here 12", "", "a  e\n", *ODD]
+    assert records.Encoder(BPE).of(pa.array(["", ""])) == [b"", b""]
+    want = [np.array(e.ids, "<u2").tobytes() for e in other.encode_batch(texts, add_special_tokens=False)]
+    assert records.Encoder(str(tmp_path / "other.json")).of(pa.array(texts)) == want
+
+
 def test_checksums():
     crc = Crc32c()
     assert crc.of([b"123456789", b"\0" * 32, b"\xff" * 32]).tolist() == [0xE3069283, 0x8A9136AA, 0x62A8AB43]  # published values
